@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from failcast.llm import line_dedup
+from failcast.llm import line_dedup, mixing, simhash
 
 QUERIES = {
+    "op6_simhash": simhash.op6_simhash,
+    "op9_mixing": mixing.op9_mixing,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 

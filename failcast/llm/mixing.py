@@ -106,6 +106,7 @@ def _landed(p: np.ndarray, size: np.ndarray) -> np.ndarray:
 def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int = BLOCK) -> DataFrame:
     """(uid, group..., prob, size) -> (uid, chosen int): a sample balanced on number and size within every group."""
     keys = [*group, "block"]
+    units = units.withColumn("prob", F.col("prob").cast("double")).withColumn("size", F.col("size").cast("double"))
     now = units.where(f"prob > {NEAR} and prob < {1 - NEAR}").select("uid", *group, "prob", "size")
     done = [units.where(f"prob <= {NEAR} or prob >= {1 - NEAR}").select("uid", F.round("prob").alias("prob"))]
     schema = now.schema
@@ -121,7 +122,7 @@ def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int
         dealt = now.join(counts.select(*[F.col(g).alias(f"__{g}") for g in group], "blocks"), same).drop(*[f"__{g}" for g in group])
         dealt = dealt.withColumn("block", F.pmod(F.xxhash64(salt, "uid"), F.col("blocks")).cast("int")).withColumn("draw", F.pmod(F.xxhash64("uid", salt), F.lit(1 << 30)) / float(1 << 30)).drop("blocks")
 
-        def fly(pdf: pd.DataFrame, landing: bool = last) -> pd.DataFrame:
+        def fly(pdf: pd.DataFrame, *, landing: bool = last) -> pd.DataFrame:
             pdf = pdf.sort_values(["draw", "uid"], kind="stable").reset_index(drop=True)
             p, size = pdf["prob"].to_numpy(float), pdf["size"].to_numpy(float)
             p = flight(p, size, pdf["draw"].to_numpy(float))

@@ -180,18 +180,20 @@ def update_filters(filters: DataFrame, became: DataFrame, ceased: DataFrame, sha
 
 def probe(state: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
     """Postings whose key may be frequent. A shard with many postings is split, its filter copied to each part."""
-    dealt = state.withColumn("shard", _shard(shards))
+    # pandas would turn whole numbers beside a null into floats
+    dealt = state.select("h1", "h2", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), _shard(shards).alias("shard"))
     parts = dealt.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(PROBE_ROWS)).cast("int").alias("parts"))
     left = dealt.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("doc_id", "h1"), F.col("parts")).cast("int")).drop("parts")
     right = filters.join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
 
     def look(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(known) or not len(rows):
-            return rows.iloc[:0][["h1", "h2", "doc_id"]]
+            return rows.iloc[:0][["h1", "h2", "doc_id", "no_id"]]
         found = CuckooFilter.load(known["slots"].iloc[0], known["stash"].iloc[0]).contains(rows["h1"].to_numpy())
-        return rows.loc[found, ["h1", "h2", "doc_id"]]
+        return rows.loc[found, ["h1", "h2", "doc_id", "no_id"]]
 
-    return left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInPandas(look, state.select("h1", "h2", "doc_id").schema)
+    found = left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInPandas(look, "h1 long, h2 long, doc_id long, no_id boolean")
+    return found.select("h1", "h2", F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"))
 
 
 def dropped_lines(state: DataFrame, *, min_docs: int = 5) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from failcast.llm import line_dedup, mixing, packing, simhash, token_counts
+from failcast.llm import line_dedup, mixing, packing, simhash, token_counts, toxicity
 
 QUERIES = {
     "op5_packing": packing.op5_packing,
     "op6_simhash": simhash.op6_simhash,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }

@@ -141,13 +141,18 @@ def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int
     return out.select("uid", F.col("prob").cast("int").alias("chosen"))
 
 
+def uid(id_: Column, hash_: Column, number: Column) -> Column:
+    """A name for a row that reruns give it again."""
+    return F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("-")), F.hex(hash_), number)
+
+
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 9) -> DataFrame:
     """(doc_id, size, source_size, target, copies long, uid): how often the mix takes each row of ``docs``."""
     text = whole_text(text_col)
     order = Window.partitionBy("doc_id", "hash").orderBy(F.lit(0))
     sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text).alias("size"), F.xxhash64(text, F.col(source_col)).alias("hash"))
     # Rows alike in id, text and source differ by a number alone; which of them gets which does not matter.
-    rows = written(sized.withColumn("uid", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex("hash"), F.row_number().over(order))).drop("hash"))
+    rows = written(sized.withColumn("uid", uid(F.col("doc_id"), F.col("hash"), F.row_number().over(order))).drop("hash"))
     targets = written(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights=weights, share=share, most=most))
     per = targets.select(F.col("source").alias("__source"), "source_size", "target")
     joined = rows.join(per, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
@@ -158,6 +163,17 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     return planned.join(chosen, "uid").withColumn("copies", F.col("whole") + F.col("chosen")).select("doc_id", "uid", "source", "size", "source_size", "target", "copies")
 
 
+def repeat_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """``docs`` as the mix takes them: rows left out, or repeated as often as they are taken."""
+    found = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    times = found.select(F.col("uid").alias("__taken"), F.col("copies").alias("__copies")).where("__copies > 0")
+    order = Window.partitionBy(id_col, "__hash").orderBy(F.lit(0))
+    marked = docs.withColumn("__hash", F.xxhash64(whole_text(text_col), F.col(source_col)))
+    marked = marked.withColumn("__uid", uid(F.col(id_col), F.col("__hash"), F.row_number().over(order)))
+    taken = marked.join(times, F.col("__uid") == F.col("__taken")).withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    return taken.select(*docs.columns)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mix(documents(spark, sf_dir).select("doc_id", "source", "text"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from failcast.llm import line_dedup, mixing, packing, simhash, token_counts, toxicity
+from failcast.llm import licenses, line_dedup, mixing, packing, simhash, token_counts, toxicity
 
 QUERIES = {
+    "op2_licenses": licenses.op2_licenses,
     "op5_packing": packing.op5_packing,
     "op6_simhash": simhash.op6_simhash,
     "op7_token_counts": token_counts.op7_token_counts,
@@ -13,6 +14,9 @@ QUERIES = {
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
-ORACLE_SQL = {
-    "op10_line_dedup": line_dedup.OP10_SQL,
-}
+
+def oracle_sql() -> dict[str, str]:
+    return {
+        "op2_licenses": licenses.oracle_sql(),
+        "op10_line_dedup": line_dedup.OP10_SQL,
+    }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from failcast.llm import licenses, line_dedup, mixing, packing, simhash, token_counts, toxicity
+from failcast.llm import fingerprints, licenses, line_dedup, mixing, packing, simhash, token_counts, toxicity
 
 QUERIES = {
+    "op1_fingerprints": fingerprints.op1_fingerprints,
     "op2_licenses": licenses.op2_licenses,
     "op5_packing": packing.op5_packing,
     "op6_simhash": simhash.op6_simhash,

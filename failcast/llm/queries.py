@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from failcast.llm import fingerprints, licenses, line_dedup, media, mixing, packing, simhash, token_counts, toxicity
+from failcast.llm import fingerprints, licenses, line_dedup, media, mixing, packing, simhash, suffix_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
     "op2_licenses": licenses.op2_licenses,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_media": media.op4_media,
     "op5_packing": packing.op5_packing,
     "op6_simhash": simhash.op6_simhash,

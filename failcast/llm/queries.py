@@ -21,5 +21,6 @@ QUERIES = {
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_licenses": licenses.oracle_sql(),
+        "op3_suffix_dedup": suffix_dedup.OP3_SQL,
         "op10_line_dedup": line_dedup.OP10_SQL,
     }

@@ -342,3 +342,30 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n
+  FROM documents),
+w AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+least_holder AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s),
+hit AS (SELECT doc_id, i FROM w JOIN least_holder USING (s) WHERE m < doc_id),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM hit),
+runs AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+spans AS (SELECT doc_id, run, min(i) AS b, max(i) + 50 AS e FROM runs GROUP BY doc_id, run),
+parts AS (
+  SELECT doc_id, b AS place, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY run) AS a, b AS z FROM spans
+  UNION ALL
+  SELECT d.doc_id, n + 1, coalesce(max(e), 0), n FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id, n),
+kept AS (
+  SELECT doc_id, coalesce(string_agg(substr(h, 2 * a + 1, 2 * (z - a)), '' ORDER BY place), '') AS k
+  FROM parts JOIN d USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(e - b)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(k)) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) JOIN kept USING (doc_id)
+"""

@@ -3,7 +3,9 @@
 A media file (8-bit PCM audio with a 44-byte header) is cut where a rolling gear hash of the
 last 32 bytes has its top bits zero, between ``LEAST`` and ``MOST`` bytes. A chunk is named by
 its digest. Chunks that a store has already are left out by an anti join, and the new
-ones are written once each, compressed, to a table bucketed by digest. A media row is its
+ones are written once each, compressed, to a table bucketed by digest. Chunks are short, so
+they are compressed against a dictionary trained here on at most ``SAMPLE`` chunks (a
+documented bound) and kept beside the store. A media row is its
 ordered list of digests; reading joins the lists to the store, puts the chunks in order and
 checks every chunk's digest and the file's SHA-256 before anything is computed from it.
 
@@ -30,11 +32,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from failcast.llm.common import documents, written
+from failcast.llm.common import documents, free_shuffles, whole_text, written
 
 FRAME = 192
 LEAST, MOST, CUT_BITS = 1024, 16384, 12
-LEVEL = 6
+LEVEL = 16
+DICTIONARY, SAMPLE = 112 * 1024, 4000
 RATE = 8000
 HOT_REFS = 20_000
 HEADER = 44
@@ -103,11 +106,33 @@ def manifests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("doc_id"), listed(F.col(text_col)).alias("m")).select("doc_id", "m.*")
 
 
-def chunks(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+def trained_dictionary(docs: DataFrame, *, text_col: str = "text") -> bytes:
+    """A compression dictionary from chunks of texts chosen by hash; empty where there are too few."""
+    text = whole_text(text_col)
+    share = int(1_000_000 * min(1.0, SAMPLE / max(1, docs.count())))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gear = gear_table()
+        for pdf in batches:
+            yield pd.DataFrame({"chunk": [c for t in pdf["text"] for c in chunks_of(media_file(padded(t)[0]), gear)]})
+
+    chosen = docs.select(text.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
+    sample = sorted({bytes(r.chunk) for r in chosen.mapInPandas(cut, "chunk binary").limit(SAMPLE).collect()})
+    try:
+        return zstandard.train_dictionary(min(DICTIONARY, sum(map(len, sample)) // 8), sample).as_bytes()
+    except (zstandard.ZstdError, ValueError):  # too few or too small
+        return b""
+
+
+def _with(dictionary: bytes) -> dict:
+    return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+
+
+def chunks(docs: DataFrame, dictionary: bytes = b"", *, text_col: str = "text") -> DataFrame:
     """(digest, packed): chunks, each once for a stretch of a task's rows."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gear, pack, seen = gear_table(), zstandard.ZstdCompressor(level=LEVEL, write_checksum=False), set()
+        gear, pack, seen = gear_table(), zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, **_with(dictionary)), set()
         for pdf in batches:
             found: dict[bytes, bytes] = {}
             for text in pdf["text"]:
@@ -131,7 +156,9 @@ def store(new: DataFrame, known: DataFrame | None = None, name: str | None = Non
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = name or f"failcast_chunks_{uuid.uuid4().hex}"
     new.repartition(n, "digest").dropDuplicates(["digest"]).write.bucketBy(n, "digest").option("compression", "none").saveAsTable(name)
-    return spark.table(name)
+    out = spark.table(name)
+    out._stored_as = name  # type: ignore[attr-defined]
+    return out
 
 
 def rebuilt(lists: DataFrame, kept: DataFrame) -> DataFrame:
@@ -148,9 +175,8 @@ def rebuilt(lists: DataFrame, kept: DataFrame) -> DataFrame:
     return both.groupBy("media_sha256", "n_chunks").agg(parts.alias("parts"))
 
 
-def _put_together(sha: bytes, n: int, parts: list) -> bytes:
+def _put_together(sha: bytes, n: int, parts: list, unpack: zstandard.ZstdDecompressor) -> bytes:
     """The file of a media row; raises unless all is there and undamaged."""
-    unpack = zstandard.ZstdDecompressor()
     out = []
     for part in parts:
         chunk = unpack.decompress(bytes(part["packed"]), max_output_size=MOST)
@@ -173,14 +199,15 @@ def describe(payload: bytes) -> str:
 READ = "media_sha256 binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, feature string"
 
 
-def read_back(parts: DataFrame) -> DataFrame:
+def read_back(parts: DataFrame, dictionary: bytes = b"") -> DataFrame:
     """Facts of every media file, computed from its stored bytes."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor(**_with(dictionary))
         for pdf in batches:
             out = []
             for sha, n, own in zip(pdf["media_sha256"], pdf["n_chunks"], pdf["parts"], strict=True):
-                file = _put_together(bytes(sha), int(n), own)
+                file = _put_together(bytes(sha), int(n), own, unpack)
                 payload = samples(file)
                 out.append((bytes(sha), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(file), describe(payload)))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in READ.split(", ")])
@@ -188,20 +215,14 @@ def read_back(parts: DataFrame) -> DataFrame:
     return parts.select("media_sha256", "n_chunks", "parts").mapInPandas(read, READ)
 
 
-def _free_shuffles(spark: SparkSession) -> None:
-    """Let the driver drop the shuffle files of plans that are done."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def media_columns(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Store every text's media file, read it back and describe it: one row for each row of ``docs``."""
     lists = written(manifests(docs, id_col=id_col, text_col=text_col))
-    kept = store(chunks(docs, text_col=text_col))
-    _free_shuffles(docs.sparkSession)
-    facts = read_back(rebuilt(lists.select("media_sha256", "digests"), kept))
+    dictionary = trained_dictionary(docs, text_col=text_col)
+    kept = store(chunks(docs, dictionary, text_col=text_col))
+    docs.sparkSession.createDataFrame([(dictionary,)], "dictionary binary").write.saveAsTable(f"{kept._stored_as}_dictionary")
+    free_shuffles(docs.sparkSession)
+    facts = read_back(rebuilt(lists.select("media_sha256", "digests"), kept), dictionary)
     out = lists.select("doc_id", "n_bytes", "media_sha256").join(facts, "media_sha256")
     return out.withColumn("media_sha256", F.lower(F.hex("media_sha256")))
 

@@ -1,6 +1,567 @@
-"""Queries over the test tables and their DuckDB counterparts."""
+"""Queries over the test tables and their DuckDB counterparts.
+
+The ``events`` table stands in for the metric stream: user for entity, event type for metric
+name and signal, ``props.k`` for node. Windows are widened to its density. Both sides round
+doubles to six places and cast counts to BIGINT and flags to INT.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from failcast.functions import scalars as S
+from failcast.operators import events as E
+from failcast.operators import features as FE
+from failcast.operators import labels as L
+from failcast.operators import metrics as M
+from failcast.operators import reshape as R
+from failcast.operators import split as SP
+from failcast.operators import windows as W
+from failcast.schema import LABEL, TIME
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, name: str | None = None):
+    def add(f: Query) -> Query:
+        key = name or f.__name__
+        QUERIES[key] = f
+        if sql is not None:
+            ORACLE_SQL[key] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def r6(c: str | Column) -> Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def big(c: str | Column) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("bigint")
+
+
+def stream(spark: SparkSession, sf: str) -> DataFrame:
+    """``events`` as a long metric frame."""
+    user = F.col("user_id").cast("string")
+    return table(spark, sf, "events").select(F.col("ts").alias(TIME), F.col("event_type").alias("metric_name"), "value", F.lit("workloads").alias("namespace"), F.concat(F.lit("user-"), user).alias("pod"), user.alias("pod_uid"), F.lit("c").alias("container"), F.get_json_object("props", "$.k").alias("node"), "event_id")
+
+
+def oom_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors stand in for failures."""
+    return stream(spark, sf).where("metric_name = 'error'").select("pod_uid", "container", F.col(TIME).alias("event_ts"), F.lit(E.FROM_COUNTER).alias("source"))
+
+
+# Windows ------------------------------------------------------------------------------------
+
+_SQL_AGG = {"mean": "avg(value)", "max": "max(value)", "min": "min(value)", "sum": "sum(value)", "std": "stddev_samp(value)", "median": "median(value)", "count": "count(value)"}
+
+
+def _rolling(agg: str) -> None:
+    span = {"median": "7d"}.get(agg, "1d")
+    days = span[:-1]
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        rows = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+        out = W.grouped_time_rolling(rows, by=["user_id"], time_col="ts", value_col="value", window=span, agg=agg, new_col="rolled")
+        return out.select("event_id", r6("rolled").alias("rolled"))
+
+    value = "CASE WHEN count(*) OVER w > 0 THEN (count(value) OVER w)::DOUBLE END" if agg == "count" else f"{_SQL_AGG[agg]} OVER w"
+    sql = f"""SELECT event_id, round({value}, 6) AS rolled FROM events
+WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL {days} DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)"""
+    query(sql, f"rolling_left_closed_{agg}")(run)
+
+
+for _agg in W.AGGREGATES:
+    _rolling(_agg)
+
+
+@query("""SELECT a.event_id, round(CASE WHEN abs(b.value) > 1e-12 THEN (a.value - b.value) / b.value END, 6) AS growth
+FROM events a ASOF LEFT JOIN events b ON a.user_id = b.user_id AND a.ts - INTERVAL 1 DAY >= b.ts""")
+def asof_growth_rate(spark, sf):
+    rows = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    out = W.grouped_time_growth_rate(rows, by=["user_id"], time_col="ts", value_col="value", window="1d", new_col="growth")
+    return out.select("event_id", r6("growth").alias("growth"))
+
+
+@query("""SELECT a.event_id, b.event_id AS error_id, round(b.value, 6) AS error_value
+FROM (SELECT * FROM events WHERE event_type <> 'error') a
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') b ON a.user_id = b.user_id AND a.ts >= b.ts""")
+def asof_join_two_tables(spark, sf):
+    rows = table(spark, sf, "events")
+    left = rows.where("event_type <> 'error'").select("event_id", "user_id", "ts")
+    right = rows.where("event_type = 'error'").select("user_id", "ts", F.col("event_id").alias("error_id"), F.col("value").alias("error_value"))
+    out = W.asof_join(left, right, by=["user_id"], time_col="ts", values=["error_id", "error_value"])
+    return out.select("event_id", "error_id", r6("error_value").alias("error_value"))
+
+
+@query("""SELECT event_id, round((epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY user_id))) / 1000000.0::DOUBLE, 6) AS age_sec FROM events""")
+def entity_age(spark, sf):
+    rows = stream(spark, sf)
+    return FE.add_lifecycle_features(rows).select("event_id", r6("feat_pod_age_sec").alias("age_sec"))
+
+
+_SPREAD = """SELECT event_id, round({0}, 6) AS rate FROM events
+WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 3 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)"""
+
+
+@query(_SPREAD.format("max(value) OVER w - min(value) OVER w"))
+def failcnt_rate(spark, sf):
+    rows = table(spark, sf, "events")
+    over = W.keyed(rows, ["user_id"], "ts")
+    return rows.select("event_id", r6(W.rolled("value", over, "3d", "max") - W.rolled("value", over, "3d", "min")).alias("rate"))
+
+
+@query(_SPREAD.format("CASE WHEN max(value) OVER w IS NOT NULL THEN greatest(max(value) OVER w - min(value) OVER w - 100, 0) END"))
+def restart_rate_clip(spark, sf):
+    rows = table(spark, sf, "events")
+    over = W.keyed(rows, ["user_id"], "ts")
+    grown = rows.withColumn("grown", W.rolled("value", over, "3d", "max") - W.rolled("value", over, "3d", "min") - 100)
+    return grown.select("event_id", r6(S.clip("grown", low=0.0)).alias("rate"))
+
+
+@query("""SELECT user_id, min(a) AS first_ts, max(b) AS last_ts, count(*)::BIGINT AS n_errors FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY a) AS island FROM (
+    SELECT user_id, ts - INTERVAL 2 DAY AS a, ts AS b,
+           CASE WHEN ts - INTERVAL 2 DAY <= max(ts) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh
+    FROM events WHERE event_type = 'error')) GROUP BY user_id, island""")
+def interval_union(spark, sf):
+    rows = table(spark, sf, "events").where("event_type = 'error'").select("user_id", F.expr("ts - INTERVAL 2 DAY").alias("first_ts"), F.col("ts").alias("last_ts"))
+    merged = W.merged_intervals(rows, by=["user_id"], start="first_ts", end="last_ts")
+    counted = rows.withColumnRenamed("first_ts", "a").withColumnRenamed("last_ts", "b").withColumnRenamed("user_id", "u")
+    joined = merged.join(counted, (F.col("user_id") == F.col("u")) & (F.col("b") > F.col("first_ts")) & (F.col("b") <= F.col("last_ts")))
+    return joined.groupBy("user_id", "first_ts", "last_ts").agg(F.count("*").alias("n_errors"))
+
+
+# Events and labels --------------------------------------------------------------------------
+
+_LAGGED = "SELECT user_id::VARCHAR AS pod_uid, ts AS event_ts, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events WHERE event_type = '{0}'"
+
+
+@query(f"SELECT pod_uid, event_ts, 'oom_events_total' AS source FROM ({_LAGGED.format('error')}) WHERE value > before")
+def counter_increase_events(spark, sf):
+    return E.counter_increases(stream(spark, sf), "error").select("pod_uid", "event_ts", "source")
+
+
+@query(f"SELECT pod_uid, event_ts, 'ksm_last_terminated_reason' AS source FROM ({_LAGGED.format('purchase').replace('value, lag(value)', '(value >= 100)::INT AS value, lag((value >= 100)::INT)')}) WHERE value >= 1 AND coalesce(before, 0) < 1")
+def gauge_edge_events(spark, sf):
+    rows = stream(spark, sf).withColumn("value", (F.col("value") >= 100).cast("double"))
+    return E.gauge_edges(rows, "purchase").select("pod_uid", "event_ts", "source")
+
+
+@query("""SELECT pod_uid, event_ts, source FROM (
+  SELECT *, row_number() OVER (PARTITION BY pod_uid, event_ts ORDER BY source DESC) AS n FROM (
+    SELECT user_id::VARCHAR AS pod_uid, date_trunc('day', ts) AS event_ts,
+           CASE WHEN event_type = 'error' THEN 'oom_events_total' ELSE 'ksm_last_terminated_reason' END AS source
+    FROM events WHERE event_type IN ('error', 'purchase'))) WHERE n = 1""")
+def dedupe_events_priority(spark, sf):
+    rows = stream(spark, sf).where("metric_name in ('error', 'purchase')")
+    found = rows.select("pod_uid", "container", F.date_trunc("day", TIME).cast("timestamp_ntz").alias("event_ts"), F.when(F.col("metric_name") == "error", E.FROM_COUNTER).otherwise(E.FROM_GAUGE).alias("source"))
+    return E.preferred(found).select("pod_uid", "event_ts", "source")
+
+
+_EXISTS = """EXISTS (SELECT 1 FROM events x WHERE x.event_type = 'error' AND x.user_id = e.user_id AND {0})"""
+_AHEAD = _EXISTS.format("e.ts >= x.ts - INTERVAL 6 HOUR AND e.ts < x.ts")
+_COOLING = _EXISTS.format("e.ts >= x.ts AND e.ts <= x.ts + INTERVAL 1 HOUR")
+
+
+@query(f"SELECT event_id, ({_AHEAD})::INT AS label FROM events e WHERE NOT {_COOLING}")
+def label_windows(spark, sf):
+    out = L.labelled(stream(spark, sf), oom_events(spark, sf), lead="6h", cooldown="1h")
+    return out.select("event_id", F.col(LABEL).cast("int").alias("label"))
+
+
+@query(f"SELECT event_id FROM events e WHERE {_COOLING}")
+def censored_rows(spark, sf):
+    rows = stream(spark, sf)
+    near = L.near_events(rows, oom_events(spark, sf))
+    return near.where(S.micros(rows, TIME) - F.col("last_event_us") <= W.width("1h")).select("event_id")
+
+
+@query("""WITH ends AS (SELECT user_id, max(ts) AS last_ts FROM events WHERE event_type = 'view' GROUP BY user_id),
+recent AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS n FROM events WHERE event_type = 'view'),
+levels AS (SELECT user_id, avg(value) AS level FROM recent WHERE n <= 10 GROUP BY user_id)
+SELECT user_id::VARCHAR AS pod_uid, last_ts AS event_ts FROM ends JOIN levels USING (user_id)
+WHERE (SELECT max(ts) FROM events WHERE event_type = 'view') - last_ts > INTERVAL 1 DAY AND level >= 50""")
+def disappeared_entities(spark, sf):
+    return E.disappeared(stream(spark, sf), metric="view", silence_seconds=86_400, saturated=50.0).select("pod_uid", "event_ts")
+
+
+# Reshape ------------------------------------------------------------------------------------
+
+_METRICS = ("click", "error", "purchase", "signup", "view")
+
+
+@query(f"""SELECT user_id::VARCHAR AS pod_uid, date_trunc('day', ts) AS day, {", ".join(f"round(min(value) FILTER (WHERE event_type = '{m}'), 6) AS {m}" for m in _METRICS)} FROM events GROUP BY 1, 2""")
+def long_to_wide(spark, sf):
+    daily = stream(spark, sf).withColumn(TIME, F.date_trunc("day", TIME).cast("timestamp_ntz"))
+    wide = R.to_wide(daily, _METRICS)
+    return wide.select("pod_uid", F.col(TIME).alias("day"), *[r6(m).alias(m) for m in _METRICS])
+
+
+_PRICES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query(f"""SELECT metric_name, count(*)::BIGINT AS n, round(sum(value), 2) AS total FROM (
+UNPIVOT (SELECT l_orderkey, l_linenumber, {", ".join(_PRICES)} FROM lineitem) ON {", ".join(_PRICES)} INTO NAME metric_name VALUE value) GROUP BY 1""")
+def unpivot_metrics(spark, sf):
+    long = R.unpivoted(table(spark, sf, "lineitem"), ("l_orderkey", "l_linenumber"), {c: c for c in _PRICES})
+    return long.groupBy("metric_name").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query("""SELECT o_orderkey, 'status__' || s AS metric_name, (o_orderstatus = s)::INT::DOUBLE AS value
+FROM orders CROSS JOIN (SELECT DISTINCT o_orderstatus AS s FROM orders)""")
+def one_hot_status(spark, sf):
+    return R.one_hot(table(spark, sf, "orders"), "o_orderstatus", "status__").select("o_orderkey", "metric_name", "value")
+
+
+# Filters and scalars ------------------------------------------------------------------------
+
+
+@query("SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-10'")
+def aligned_range_filter(spark, sf):
+    return table(spark, sf, "events").where("ts >= TIMESTAMP_NTZ'2024-01-03 00:00:00' AND ts < TIMESTAMP_NTZ'2024-01-10 00:00:00'").select("event_id")
+
+
+@query("""SELECT metric_name, count(*)::BIGINT AS n FROM (
+UNPIVOT (SELECT l_orderkey, l_discount, l_tax FROM lineitem) ON l_discount, l_tax INTO NAME metric_name VALUE value)
+WHERE NOT (metric_name = 'l_discount' AND value IN (0.0, 0.1)) GROUP BY 1""")
+def sentinel_filter(spark, sf):
+    long = R.unpivoted(table(spark, sf, "lineitem"), ("l_orderkey",), {c: c for c in ("l_discount", "l_tax")})
+    return long.where(~((F.col("metric_name") == "l_discount") & F.col("value").isin(0.0, 0.1))).groupBy("metric_name").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT event_id, hour(ts)::INT AS hour, (isodow(ts) - 1)::INT AS day, (isodow(ts) >= 6)::INT AS weekend,
+(isodow(ts) <= 5 AND hour(ts) >= 9 AND hour(ts) < 18)::INT AS business FROM events""")
+def temporal_features(spark, sf):
+    out = FE.add_temporal_features(stream(spark, sf))
+    return out.select("event_id", *[F.col(c).cast("int").alias(n) for c, n in (("feat_hour_of_day", "hour"), ("feat_day_of_week", "day"), ("feat_is_weekend", "weekend"), ("feat_is_business_hours", "business"))])
+
+
+@query("SELECT l_orderkey, l_linenumber, round(CASE WHEN l_discount > 0 THEN l_extendedprice / l_discount END, 4) AS ratio FROM lineitem")
+def guarded_ratio(spark, sf):
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.round(S.guarded_ratio("l_extendedprice", "l_discount"), 4).alias("ratio"))
+
+
+@query("""SELECT event_id, round(coalesce(CASE WHEN event_type = 'view' THEN value END / 100.0,
+CASE WHEN value > 0 THEN CASE WHEN event_type = 'click' THEN value END / value END), 6) AS share FROM events""")
+def source_dispatch(spark, sf):
+    of = lambda m: F.when(F.col("metric_name") == m, F.col("value"))
+    rows = stream(spark, sf).withColumns({FE.TRACE_MEMORY: of("view"), FE.WORKING_SET: of("click"), FE.MEMORY_LIMIT: F.col("value")})
+    return FE.add_mem_pct_of_limit(rows, dispatch="row").select("event_id", r6("feat_mem_pct_of_limit").alias("share"))
+
+
+@query("SELECT event_id, round((value / 500) / ((value / 500) + (1 - value / 500) / 0.1::DOUBLE), 6) AS p FROM events")
+def elkan_correct(spark, sf):
+    return table(spark, sf, "events").select("event_id", r6(S.prior_corrected(F.col("value") / 500, 0.1)).alias("p"))
+
+
+@query("SELECT event_id, CASE WHEN value / 500 >= 0.9 THEN 1.0 ELSE 0.0 END::DOUBLE AS p FROM events")
+def baseline_rule(spark, sf):
+    rows = table(spark, sf, "events").withColumn("feat_mem_pct_of_limit", F.col("value") / 500)
+    return rows.select("event_id", M.baseline_rule(rows).alias("p"))
+
+
+@query("""SELECT lineage, count(*)::BIGINT AS n FROM (SELECT regexp_replace(lower(replace(p_name, ' ', '-')), '-[^-]*$', '') AS lineage FROM part) GROUP BY 1""")
+def lineage_key(spark, sf):
+    named = table(spark, sf, "part").select(S.lineage(F.lower(F.regexp_replace("p_name", " ", "-"))).alias("lineage"))
+    return named.groupBy("lineage").agg(F.count("*").alias("n"))
+
+
+# Groups -------------------------------------------------------------------------------------
+
+
+@query("""WITH r AS (SELECT event_id, date_trunc('hour', ts) AS h, props->>'$.k' AS node, value / 100 AS share FROM events),
+g AS (SELECT h, node, coalesce(sum(share), 0) AS s, max(share) AS m, count(share) AS n FROM r WHERE node IS NOT NULL GROUP BY 1, 2)
+SELECT event_id, round(s, 6) AS node_sum, round(m, 6) AS node_max, n::BIGINT AS node_n FROM r LEFT JOIN g USING (h, node)""")
+def cotenant_pressure(spark, sf):
+    rows = stream(spark, sf).withColumn(TIME, F.date_trunc("hour", TIME)).withColumn("feat_mem_pct_of_limit", F.col("value") / 100)
+    out = FE.add_node_cotenant_features(rows)
+    return out.select("event_id", r6("feat_node_mem_pct_sum").alias("node_sum"), r6("feat_node_mem_pct_max").alias("node_max"), big("feat_node_n_containers").alias("node_n"))
+
+
+@query("""SELECT event_id, round(CASE WHEN count(*) OVER w > 0 THEN (sum((event_type = 'error')::INT) OVER w)::DOUBLE / count(*) OVER w END, 6) AS rate
+FROM events WINDOW w AS (PARTITION BY user_id % 10 ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""")
+def lineage_event_rate(spark, sf):
+    rows = stream(spark, sf).withColumn(LABEL, (F.col("metric_name") == "error").cast("int"))
+    out = FE.lineage_rate(rows, key=(F.col("pod_uid").cast("int") % 10).cast("string"))
+    return out.select("event_id", r6("feat_lineage_24h_oom_rate").alias("rate"))
+
+
+@query("""SELECT 'l_discount' AS feature, round(corr(l_discount, (l_returnflag = 'R')::INT), 6) AS r, coalesce(abs(corr(l_discount, (l_returnflag = 'R')::INT)) > 0.95, false) AS suspicious FROM lineitem
+UNION ALL SELECT 'l_quantity', round(corr(l_quantity, (l_returnflag = 'R')::INT), 6), coalesce(abs(corr(l_quantity, (l_returnflag = 'R')::INT)) > 0.95, false) FROM lineitem
+UNION ALL SELECT 'twice', 1.0, true""")
+def feature_target_corr(spark, sf):
+    flag = (F.col("l_returnflag") == "R").cast("int")
+    rows = table(spark, sf, "lineitem").withColumns({LABEL: flag, "twice": flag * 2})
+    return M.label_correlations(rows, ["l_discount", "l_quantity", "twice"]).select("feature", r6("r").alias("r"), "suspicious")
+
+
+@query("SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-10' INTERSECT SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-20'")
+def entity_overlap(spark, sf):
+    rows = table(spark, sf, "events")
+    return SP.entity_overlap(rows.where("ts < TIMESTAMP_NTZ'2024-01-10 00:00:00'"), rows.where("ts >= TIMESTAMP_NTZ'2024-01-20 00:00:00'"), "user_id")
+
+
+@query("SELECT unnest(['exit_code', 'future_oom_count']) AS denied")
+def denylist(spark, sf):
+    names = FE.denied_features(["feat_hour_of_day", "exit_code", "future_oom_count", "node"])
+    return spark.createDataFrame([(n,) for n in sorted(names)], "denied string")
+
+
+@query("""SELECT NULL::VARCHAR AS c_name, s_name, s_nationkey AS nationkey FROM supplier UNION ALL SELECT c_name, NULL, c_nationkey FROM customer""")
+def union_missing_columns(spark, sf):
+    s = table(spark, sf, "supplier").select("s_name", F.col("s_nationkey").alias("nationkey"))
+    return s.unionByName(table(spark, sf, "customer").select("c_name", F.col("c_nationkey").alias("nationkey")), allowMissingColumns=True)
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour, count(*)::BIGINT AS n_rows FROM events GROUP BY 1, 2")
+def hourly_partition_counts(spark, sf):
+    from failcast.sources.files import hourly_counts
+
+    return hourly_counts(table(spark, sf, "events"), "ts")
+
+
+@query("""SELECT user_id, a AS chunk_start, least(a + INTERVAL 1 DAY, e) AS chunk_end FROM (
+SELECT user_id, e, unnest(generate_series(s, e, INTERVAL 1 DAY)) AS a FROM (SELECT user_id, min(ts) AS s, max(ts) AS e FROM events GROUP BY user_id)) WHERE a < e""")
+def chunk_windows(spark, sf):
+    from failcast.sources.range_query import chunk_windows as windows
+
+    spans = table(spark, sf, "events").groupBy("user_id").agg(F.min("ts").alias("start"), F.max("ts").alias("end"))
+    return windows(spans, 86_400).select("user_id", "chunk_start", "chunk_end")
+
+
+@query("SELECT count(*)::BIGINT AS n_rows, sum((event_type = 'error')::INT)::BIGINT AS n_positive, round(avg((event_type = 'error')::INT), 4) AS positive_rate, count(DISTINCT user_id)::BIGINT AS n_entities FROM events")
+def label_summary(spark, sf):
+    made = L.label_summary(stream(spark, sf).withColumn(LABEL, (F.col("metric_name") == "error").cast("int")))
+    return spark.createDataFrame([(made["n_rows"], made["n_positive"], made["positive_rate"], made["n_entities"])], "n_rows long, n_positive long, positive_rate double, n_entities long")
+
+
+# Split and balance --------------------------------------------------------------------------
+
+_CUTS = """WITH o AS (SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS rn FROM events),
+n AS (SELECT count(*) AS n FROM events),
+c AS (SELECT max(ts) FILTER (WHERE rn = floor(n * 0.6)::BIGINT - 1) AS t1, max(ts) FILTER (WHERE rn = floor(n * 0.6)::BIGINT + floor(n * 0.2)::BIGINT - 1) AS t2 FROM o, n)
+"""
+
+
+@query(_CUTS + "SELECT event_id, CASE WHEN ts <= t1 THEN 'train' WHEN ts <= t2 THEN 'val' ELSE 'test' END AS split FROM events, c")
+def temporal_split_assign(spark, sf):
+    rows = table(spark, sf, "events")
+    return SP.assigned(rows, SP.cut_times(rows, time_col="ts"), time_col="ts").select("event_id", "split")
+
+
+@query(_CUTS + """SELECT CASE WHEN ts <= t1 THEN 'train' WHEN ts <= t2 THEN 'val' ELSE 'test' END AS split, count(*)::BIGINT AS n_rows,
+min(ts) AS "start", max(ts) AS "end", round(avg((event_type = 'error')::INT), 6) AS positive_rate FROM events, c GROUP BY 1""")
+def split_metrics(spark, sf):
+    rows = table(spark, sf, "events").withColumn(LABEL, (F.col("event_type") == "error").cast("int"))
+    marked = SP.assigned(rows, SP.cut_times(rows, time_col="ts"), time_col="ts")
+    return SP.split_metrics(marked, time_col="ts").withColumn("positive_rate", r6("positive_rate"))
+
+
+@query("""SELECT label, CASE WHEN label = 1 THEN p ELSE least(n, round_even(p * 0.5 / 0.5, 0))::BIGINT END AS n FROM (
+SELECT count(*) FILTER (WHERE event_type = 'error')::BIGINT AS p, count(*) FILTER (WHERE event_type <> 'error')::BIGINT AS n FROM events), (SELECT unnest([0, 1]) AS label)""")
+def downsample_counts(spark, sf):
+    rows = table(spark, sf, "events").select("event_id", (F.col("event_type") == "error").cast("int").alias("label"))
+    kept, _ = SP.downsample_negatives(rows, label_col="label", target_positive_rate=0.5)
+    return kept.groupBy("label").agg(F.count("*").alias("n"))
+
+
+# Ranking metrics ----------------------------------------------------------------------------
+
+
+def scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines as scored rows: returned or not, by a score with many ties."""
+    rows = table(spark, sf, "lineitem")
+    return rows.select((F.col("l_returnflag") == "R").cast("int").alias(LABEL), (F.col("l_quantity") / 50).alias("score"), F.col("l_linestatus").alias("namespace"), F.col("l_linenumber").cast("string").alias("node"))
+
+
+def _headline_sql(source: str, keys: str) -> str:
+    by = f"PARTITION BY {keys}" if keys else ""
+    group = f"GROUP BY {keys}" if keys else ""
+    head = f"{keys}," if keys else ""
+    return f"""d AS ({source}),
+c AS (SELECT {head} p, sum(y) AS pos, sum(1 - y) AS neg FROM d GROUP BY {head} p),
+r AS (SELECT *, sum(pos) OVER ({by} ORDER BY p DESC) AS tp, sum(neg) OVER ({by} ORDER BY p DESC) AS fp, sum(pos) OVER ({by}) AS ap, sum(neg) OVER ({by}) AS an FROM c),
+m AS (SELECT {head} sum(pos + neg)::BIGINT AS n_rows, sum(pos)::BIGINT AS n_positive,
+  round(sum(pos * (p - 1) ** 2 + neg * p ** 2) / sum(pos + neg), 6) AS brier_score,
+  round(sum(pos::DOUBLE / nullif(ap, 0) * tp / (tp + fp)), 6) AS pr_auc,
+  round(sum(neg * (tp - pos / 2.0::DOUBLE) / nullif(ap * an, 0)), 6) AS roc_auc,
+  round(max(CASE WHEN tp >= 0.5 * ap AND ap > 0 THEN tp::DOUBLE / (tp + fp) END), 6) AS precision_at_recall_0_5,
+  round(max(CASE WHEN tp >= 0.8 * ap AND ap > 0 THEN tp::DOUBLE / (tp + fp) END), 6) AS precision_at_recall_0_8,
+  round(coalesce(sum(pos) FILTER (WHERE p >= 0.7), 0)::DOUBLE / nullif(sum(pos), 0), 6) AS recall_at_threshold,
+  round(coalesce(sum(pos) FILTER (WHERE p >= 0.7), 0)::DOUBLE / nullif(coalesce(sum(pos + neg) FILTER (WHERE p >= 0.7), 0), 0), 6) AS precision_at_threshold
+  FROM r {group})
+"""
+
+
+_SCORED = "SELECT (l_returnflag = 'R')::INT AS y, l_quantity / 50 AS p FROM lineitem"
+
+
+@query("WITH " + _headline_sql(_SCORED, "") + "SELECT * FROM m")
+def brier_ap_auc(spark, sf):
+    out = M.headline_by(scored(spark, sf)).drop("threshold_used")
+    return out.select("n_rows", "n_positive", *[r6(c).alias(c) for c in M.HEADLINE])
+
+
+@query("WITH " + _headline_sql("SELECT unnest([('namespace', l_linestatus), ('node', l_linenumber::VARCHAR)]) AS s, (l_returnflag = 'R')::INT AS y, l_quantity / 50 AS p FROM lineitem", "s") + "SELECT s[1] AS slice_col, s[2] AS slice_value, m.* EXCLUDE (s) FROM m WHERE n_rows >= 100")
+def slice_metrics(spark, sf):
+    out = M.slice_metrics(scored(spark, sf)).drop("threshold_used")
+    return out.select("slice_col", "slice_value", "n_rows", "n_positive", *[r6(c).alias(c) for c in M.HEADLINE])
+
+
+@query("""SELECT count(*) FILTER (WHERE p >= 0.7 AND y = 1)::BIGINT AS tp, count(*) FILTER (WHERE p >= 0.7 AND y = 0)::BIGINT AS fp,
+count(*) FILTER (WHERE p < 0.7 AND y = 1)::BIGINT AS fn, count(*) FILTER (WHERE p < 0.7 AND y = 0)::BIGINT AS tn FROM (""" + _SCORED + ")")
+def confusion_at_threshold(spark, sf):
+    y, above = F.col(LABEL) == 1, F.col("score") >= 0.7
+    return scored(spark, sf).agg(F.count_if(above & y).alias("tp"), F.count_if(above & ~y).alias("fp"), F.count_if(~above & y).alias("fn"), F.count_if(~above & ~y).alias("tn"))
+
+
+_LEADS = """WITH e AS (SELECT user_id, max(ts) AS t FROM events WHERE event_type = 'error' GROUP BY user_id),
+f AS (SELECT user_id, {0} FROM e LEFT JOIN events x USING (user_id) GROUP BY user_id, t)
+SELECT {1} FROM f"""
+
+
+@query(
+    _LEADS.format(
+        ", ".join(f"date_diff('microsecond', min(ts) FILTER (WHERE value >= 100 AND ts <= t - INTERVAL {h} MINUTE), t) / 60000000.0::DOUBLE AS l{h}" for h in (1440, 10080)),
+        ", ".join(f"round(quantile_cont(l{h}, 0.5), 6) AS lead_time_p50_min_at_{h}min, round(quantile_cont(l{h}, 0.25), 6) AS lead_time_p25_min_at_{h}min, round(count(l{h})::DOUBLE / count(*), 6) AS detection_rate_at_{h}min" for h in (1440, 10080)),
+    )
+)
+def lead_time_percentiles(spark, sf):
+    rows = stream(spark, sf).select(TIME, "pod_uid", "container", (F.col("metric_name") == "error").cast("int").alias(LABEL), F.col("value").alias("score"))
+    out = M.lead_time_by_horizon(rows, threshold=100.0, horizons=(1440, 10080))
+    return out.select(*[r6(c).alias(c) for c in out.columns])
+
+
+@query("SELECT (round(avg((p - y) ** 2), 6) <= 0.10) AS brier_le_0_10, NULL IS NOT NULL AS precision_at_recall_0_8_ge_0_5 FROM (" + _SCORED + ")")
+def acceptance_gates(spark, sf):
+    made = M.acceptance(M.headline_metrics(scored(spark, sf)))
+    return spark.createDataFrame([tuple(made.values())], "brier_le_0_10 boolean, precision_at_recall_0_8_ge_0_5 boolean")
+
+
+# Payloads and explanations ------------------------------------------------------------------
+
+
+@query("""SELECT epoch_us(ts)::BIGINT AS us, event_type AS metric_name, round(value, 6) AS value, user_id::VARCHAR AS pod_uid, '' AS container FROM events""")
+def payload_flatten(spark, sf):
+    """Events packed as responses of a metric server and flattened again."""
+    from failcast.sources.range_query import flatten_payload
+
+    rows = table(spark, sf, "events")
+    us = S.micros(rows, "ts")
+    sample = F.array(F.format_string("%d.%06d", F.expr("0L") + F.floor(us / 1_000_000), us % 1_000_000), F.col("value").cast("string"))
+    series = rows.groupBy("event_type", "user_id", F.pmod("event_id", F.lit(16)).alias("salt")).agg(F.collect_list(sample).alias("values"))
+    one = F.struct(F.create_map(F.lit("uid"), F.col("user_id").cast("string")).alias("metric"), F.col("values"))
+    packed = series.select(F.col("event_type").alias("metric_name"), F.to_json(F.array(one)).alias("payload"))
+    out = flatten_payload(packed)
+    return out.select(F.unix_micros(TIME).alias("us"), "metric_name", r6("value").alias("value"), "pod_uid", "container")
+
+
+@query("""SELECT l_orderkey, l_linenumber, f.feature, round(f.c, 6) AS contribution, rank FROM (
+SELECT l_orderkey, l_linenumber, unnest(x) AS f, generate_subscripts(x, 1)::INT AS rank FROM (
+SELECT l_orderkey, l_linenumber, list_sort([{'k': -abs(l_discount), 'feature': 'l_discount', 'c': 0 - l_discount}, {'k': -abs(l_tax), 'feature': 'l_tax', 'c': l_tax}, {'k': -abs(l_quantity), 'feature': 'l_quantity', 'c': l_quantity}])[1:2] AS x FROM lineitem))""")
+def top_k_contributors(spark, sf):
+    from failcast.operators.ml import top_k_by_size
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), v.alias("contribution")) for c, v in (("l_discount", F.lit(0) - F.col("l_discount")), ("l_tax", F.col("l_tax")), ("l_quantity", F.col("l_quantity")))])
+    out = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.explode(top_k_by_size(pairs, 2)).alias("t"))
+    return out.select("l_orderkey", "l_linenumber", "t.feature", r6("t.contribution").alias("contribution"), "t.rank")
+
+
+# Whole chains -------------------------------------------------------------------------------
+
+
+@query("""SELECT event_id, round(avg(value) OVER w, 6) AS mean_1d, round(max(value) OVER w, 6) AS max_1d,
+(CASE WHEN count(*) OVER w > 0 THEN count(value) OVER w END)::BIGINT AS count_1d,
+round(CASE WHEN abs(before) > 1e-12 THEN (value - before) / before END, 6) AS growth_1d
+FROM (SELECT a.event_id, a.user_id, a.ts, a.value, b.value AS before FROM events a ASOF LEFT JOIN events b ON a.user_id = b.user_id AND a.ts - INTERVAL 1 DAY >= b.ts)
+WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""")
+def window_features(spark, sf):
+    rows = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    over = W.keyed(rows, ["user_id"], "ts")
+    return rows.select("event_id", r6(W.rolled("value", over, "1d", "mean")).alias("mean_1d"), r6(W.rolled("value", over, "1d", "max")).alias("max_1d"), big(W.rolled("value", over, "1d", "count")).alias("count_1d"), r6(W.growth("value", over, "1d")).alias("growth_1d"))
+
+
+def _wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as a labelled wide frame with the metrics that features need."""
+    rows = stream(spark, sf)
+    of = lambda m: F.when(F.col("metric_name") == m, F.col("value"))
+    made = rows.withColumns({FE.WORKING_SET: F.col("value"), FE.MEMORY_LIMIT: F.lit(500.0), FE.RSS: F.col("value") / 2, FE.FAILURES: of("click"), FE.CPU: of("view"), FE.THROTTLED: of("signup"), FE.PERIODS: F.col("value") + 1, FE.RESTARTS: of("purchase")})
+    return L.labelled(made, oom_events(spark, sf), lead="6h", cooldown="1h")
+
+
+@query(f"""WITH l AS (SELECT event_id, user_id, ts, value, event_type, props->>'$.k' AS node, ({_AHEAD})::INT AS label FROM events e WHERE NOT {_COOLING})
+SELECT event_id, label, round(value / 500, 6) AS feat_mem_pct_of_limit, round((value - value / 2) / 500, 6) AS feat_mem_ws_rss_gap_pct,
+round(avg(value / 500) OVER w, 6) AS feat_mem_pct_of_limit__30min_mean, round(max(value / 500) OVER w, 6) AS feat_mem_pct_of_limit__30min_max,
+round(CASE WHEN max(CASE WHEN event_type = 'purchase' THEN value END) OVER h IS NOT NULL THEN greatest(max(CASE WHEN event_type = 'purchase' THEN value END) OVER h - min(CASE WHEN event_type = 'purchase' THEN value END) OVER h, 0) END, 6) AS feat_restart_rate_1h,
+round(CASE WHEN count(*) OVER d > 0 THEN (sum(label) OVER d)::DOUBLE / count(*) OVER d END, 6) AS feat_lineage_24h_oom_rate
+FROM l WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING),
+h AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING),
+d AS (ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""")
+def build_features(spark, sf):
+    out = FE.build_features(_wide(spark, sf))
+    keep = ("feat_mem_pct_of_limit", "feat_mem_ws_rss_gap_pct", "feat_mem_pct_of_limit__30min_mean", "feat_mem_pct_of_limit__30min_max", "feat_restart_rate_1h", "feat_lineage_24h_oom_rate")
+    return out.select("event_id", F.col(LABEL).cast("int").alias("label"), *[r6(c).alias(c) for c in keep])
+
+
+@query()
+def isotonic_calibrate(spark, sf):
+    from failcast.operators.calibrate import Calibrator
+
+    rows = scored(spark, sf)
+    out = Calibrator.fit(rows).transform(rows)
+    return out.groupBy("score").agg(r6(F.max("calibrated")).alias("calibrated"), F.count("*").alias("n"))
+
+
+@query()
+def platt_calibrate(spark, sf):
+    from failcast.operators.calibrate import Calibrator
+
+    rows = scored(spark, sf)
+    out = Calibrator.fit(rows, method="platt").transform(rows)
+    return out.groupBy("score").agg(r6(F.max("calibrated")).alias("calibrated"), F.count("*").alias("n"))
+
+
+@query()
+def gbt_scores(spark, sf):
+    from failcast.operators import ml
+
+    rows = FE.build_features(_wide(spark, sf))
+    names = FE.feature_columns(rows)
+    train, val, test, _ = SP.temporal_split(rows.select("event_id", TIME, *names, LABEL).cache())
+    kept, ratio = SP.downsample_negatives(train, keys=["event_id"], target_positive_rate=0.3)
+    made = ml.train(kept, val, sample_ratio=ratio, trials=1, max_trees=5)
+    return made.score(test).select("event_id", F.col(LABEL).cast("int").alias("label"), r6("score").alias("score"))
+
+
+@query()
+def explanations(spark, sf):
+    from failcast.operators import ml
+
+    rows = scored(spark, sf).select(LABEL, F.col("score").alias("feat_quantity"), F.length("node").cast("double").alias("feat_node"), (F.col("namespace") == "O").cast("double").alias("feat_open")).withColumn("id", F.xxhash64("feat_quantity", "feat_node"))
+    made = ml.train(rows.where("id % 5 <> 0"), rows.where("id % 5 = 0"), trials=1, max_trees=3)
+    some = rows.dropDuplicates(["feat_quantity", "feat_node", "feat_open"]).select("feat_quantity", "feat_node", "feat_open")
+    return made.explain(some, k=2)
+
+
+@query("""SELECT date_trunc('day', ts) AS window_start, props->>'$.k' AS node, round(sum(value), 6) AS value_sum, round(max(value), 6) AS value_max, count(*)::BIGINT AS n_samples
+FROM events WHERE event_type = 'view' GROUP BY 1, 2""")
+def node_pressure_windows(spark, sf):
+    """The streaming aggregate's plan over a finished table."""
+    from failcast.streaming.pressure import node_pressure
+
+    rows = stream(spark, sf).withColumn(TIME, F.timestamp_micros(S.micros(stream(spark, sf), TIME)))
+    out = node_pressure(rows, metric="view", every="1 day")
+    return out.select(F.to_timestamp_ntz(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")).alias("window_start"), "node", r6("value_sum").alias("value_sum"), r6("value_max").alias("value_max"), "n_samples")
+
+

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,17 @@ def forget(df: DataFrame) -> None:
         place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the driver drop the shuffle files of plans that are done, between the phases of an operator."""
+    import gc
+
+    for _ in range(2):  # the last plan is held until events of another have passed
+        spark.range(1).collect()
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def whole_text(text: str | Column = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -35,13 +35,13 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from failcast.llm.common import documents, forget, whole_text, written
+from failcast.llm.common import documents, forget, free_shuffles, whole_text, written
 
 LENGTH = 50
 GRAM = 16
 #: Bytes that a task works on at once, and windows of one document at once.
-BATCH_BYTES = 4_000_000
-PIECE = 4_000_000
+BATCH_BYTES = 1_000_000
+PIECE = 1_000_000
 BATCH_ROWS = 50_000
 _PLACE = 24
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -109,7 +109,7 @@ def anchors_of(data: np.ndarray, group: list[tuple[int, int, int]], length: int)
     part = which[first]
     rows = np.array([g[0] for g in group])[part]
     shift = np.array([g[1] for g in group])[part]
-    return name[place[new]].view(np.int64), rows, first - begin[part] + shift, n
+    return (name[place[new]] >> np.uint64(16)).view(np.int64), rows, first - begin[part] + shift, n
 
 
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,14 +118,15 @@ def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(new), np.cumsum(new) - 1
 
 
-ANCHORS = "route long, name long, uid long, at long, known boolean"
+ANCHORS = "name long, uid long, at long, known boolean, astray boolean"
 
 
 def anchors(texts: DataFrame, length: int) -> DataFrame:
     """(uid, data) -> anchors with their windows; ``known``: another document of the batch has it too.
 
     ``at`` is 64 times the first window plus the number of windows. Of known anchors one for
-    each name goes where its name leads, the others anywhere.
+    each name goes where its name leads, the others astray: anywhere. Names are cut to 48 bits
+    here; two that agree by chance only send a few more strings to round two.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,9 +141,9 @@ def anchors(texts: DataFrame, length: int) -> DataFrame:
                 start, run = _groups(name)
                 stop = np.concatenate((start[1:], [len(name)])) - 1
                 known = (uid[start] != uid[stop])[run]
-                route = np.where(known, (uid * 1_000_003 + at) * 7919, name)
-                route[start] = name[start]
-                yield pa.RecordBatch.from_arrays([pa.array(route), pa.array(name), pa.array(uid), pa.array(at), pa.array(known)], ["route", "name", "uid", "at", "known"])
+                astray = known.copy()
+                astray[start] = False
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name, uid, at, known, astray)], ["name", "uid", "at", "known", "astray"])
 
     return texts.select("uid", "data").mapInArrow(find, ANCHORS)
 
@@ -155,10 +156,9 @@ def shared_anchors(found: DataFrame, parts: int) -> DataFrame:
         passed: int | None = None  # the last name, if two documents have it
         for batch in batches:
             name, uid, at = (batch.column(c).to_numpy() for c in ("name", "uid", "at"))
-            known, route = batch.column("known").to_numpy(zero_copy_only=False), batch.column("route").to_numpy()
+            known, astray = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("known", "astray"))
             if not len(name):
                 continue
-            astray = route != name
             sent = [(uid[astray], at[astray], name[astray])]
             name, uid, at, known = name[~astray], uid[~astray], at[~astray], known[~astray]
             if held is not None:
@@ -175,10 +175,11 @@ def shared_anchors(found: DataFrame, parts: int) -> DataFrame:
             uid, at, name = (np.concatenate(x) for x in zip(*sent, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(uid), pa.array(at), pa.array(name)], ["uid", "at", "name"])
 
-    return found.repartition(parts, "route").sortWithinPartitions("route", "uid").mapInArrow(keep, "uid long, at long, name long")
+    route = F.when(F.col("astray"), F.xxhash64("uid", "at")).otherwise(F.col("name"))
+    return found.repartition(parts, route).sortWithinPartitions("name", "uid").mapInArrow(keep, "uid long, at long, name long")
 
 
-STRINGS = "route long, name long, key long, uid long, at long, data binary"
+STRINGS = "name long, key long, uid long, at long, data binary"
 
 
 def strings(texts: DataFrame, length: int) -> DataFrame:
@@ -215,8 +216,7 @@ def strings(texts: DataFrame, length: int) -> DataFrame:
                 payload = pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer(where), pa.py_buffer(joined)])
                 payload = pa.compute.if_else(pa.array(repeat), pa.scalar(None, pa.binary()), payload)
                 u, a, n = ids[row[part]], at[part], name[part]
-                route = np.where(repeat, (u * 1_000_003 + a) * 7919, n)
-                yield pa.RecordBatch.from_arrays([pa.array(route), pa.array(n), pa.array(keys[row[part]]), pa.array(u), pa.array(a), payload], [x.split()[0] for x in STRINGS.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(keys[row[part]]), pa.array(u), pa.array(a), payload], [x.split()[0] for x in STRINGS.split(", ")])
 
     return texts.select("uid", "key", "data", "at", "name").mapInArrow(cut, STRINGS)
 
@@ -265,7 +265,8 @@ def repeated_spans(found: DataFrame, length: int, parts: int) -> DataFrame:
                 start = at[o] // 64 + step[hit[a]]
                 yield spans(uid[o], start, start + (hit[b] - hit[a]) + length)
 
-    return found.repartition(parts, "route").sortWithinPartitions("name", "key").mapInArrow(compare, "uid long, begin long, end long")
+    route = F.when(F.col("data").isNull(), F.xxhash64("uid", "at")).otherwise(F.col("name"))
+    return found.repartition(parts, route).sortWithinPartitions("name", "key").mapInArrow(compare, "uid long, begin long, end long")
 
 
 def _settled():
@@ -295,13 +296,6 @@ def _settled():
     return apply
 
 
-def _free_shuffles(spark: SparkSession) -> None:
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans long, kept binary): one row for each row of ``docs``."""
     if not GRAM < length <= GRAM + 47:
@@ -313,17 +307,17 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("key"), text.cast("binary").alias("data"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("t"), text).alias("h2"))
     # Bucketed by row, so that what is found out about a text meets it again without moving it.
     rows.withColumn("uid", F.monotonically_increasing_id()).repartition(parts, "uid").write.bucketBy(parts, "uid").option("compression", "zstd").saveAsTable(table)
-    _free_shuffles(spark)
+    free_shuffles(spark)
     texts = spark.table(table)
     firsts = texts.groupBy("h1", "h2").agg(F.min("key").alias("least"))
     copies = written(texts.select("uid", "key", "h1", "h2").join(firsts, ["h1", "h2"]).where("key > least").select(F.col("uid").alias("copy")))
     own = texts.join(copies, texts["uid"] == F.col("copy"), "left_anti").where(F.octet_length("data") >= length)
     shared = written(shared_anchors(anchors(own, length), parts))
-    _free_shuffles(spark)
+    free_shuffles(spark)
     listed = shared.groupBy("uid").agg(F.collect_list(F.struct("at", "name")).alias("x")).select(F.col("uid").alias("of"), F.col("x.at").alias("at"), F.col("x.name").alias("name"))
     joined = texts.select("uid", "key", "data").join(listed, F.col("uid") == F.col("of"))
     spans = written(repeated_spans(strings(joined, length), length, parts))
-    _free_shuffles(spark)
+    free_shuffles(spark)
     forget(shared)
     per_row = spans.groupBy(F.col("uid").alias("of")).agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     out = texts.select("uid", "doc_id", "data").join(per_row, F.col("uid") == F.col("of"), "left").join(copies, F.col("uid") == F.col("copy"), "left")

@@ -16,13 +16,17 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where none is set (tests)."""
-    conf = spark.sparkContext.getConf()
-    place = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not place:
-        place = "file://" + tempfile.mkdtemp(prefix="failcast-")
-        spark.conf.set("spark.checkpoint.dir", place)
+        app = spark.sparkContext.applicationId
+        if app not in _own_dirs:
+            _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="failcast-")
+        place = _own_dirs[app]
     return place.rstrip("/")
 
 

@@ -197,31 +197,31 @@ def probe(state: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
 
 
 def dropped_lines(state: DataFrame, *, min_docs: int = 5) -> DataFrame:
-    """(doc_id, gone): the keys that a document loses."""
+    """(__gone_id, __gone): the keys that a document loses."""
     frequent = written(reference_counts(state).where(F.col("refs") >= min_docs))
     shards = max(1, math.ceil(frequent.count() / SHARD_KEYS))
     maybe = probe(state, build_filters(frequent, shards), shards)
     sure = maybe.join(frequent, ["h1", "h2"]).where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("keeper")))
-    return sure.groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_list(F.struct("h1", "h2")).alias("gone"))
+    return sure.groupBy(F.col("doc_id").alias("__gone_id")).agg(F.collect_list(F.struct("h1", "h2")).alias("__gone"))
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """``docs`` with its text less the repeated lines, and ``n_lines``, ``n_dropped`` long."""
+    """``docs`` with its text less the repeated lines, and ``n_lines``, ``n_dropped`` long (in place of columns so named)."""
     state = written(postings(docs, id_col=id_col, text_col=text_col, min_chars=min_chars))
     lines = F.split(whole_text(text_col), "\n")
 
     def stays(line: Column) -> Column:
         key = line_key(line)
-        return (F.char_length(key) < min_chars) | ~F.array_contains(F.col("gone"), key_hash(key))
+        return (F.char_length(key) < min_chars) | ~F.array_contains(F.col("__gone"), key_hash(key))
 
-    kept = F.when(F.col("gone").isNull(), lines).otherwise(F.filter(lines, stays))
-    joined = docs.join(dropped_lines(state, min_docs=min_docs), F.col(id_col).eqNullSafe(F.col("gone_id")), "left")
+    kept = F.when(F.col("__gone").isNull(), lines).otherwise(F.filter(lines, stays))
+    joined = docs.join(dropped_lines(state, min_docs=min_docs), F.col(id_col).eqNullSafe(F.col("__gone_id")), "left")
     return (
         joined.withColumn("__kept", kept)
         .withColumn("n_lines", F.size(lines).cast("long"))
         .withColumn("n_dropped", F.col("n_lines") - F.size("__kept"))
-        .withColumn(text_col, F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(F.array_join("__kept", "\n")))
-        .drop("__kept", "gone", "gone_id")
+        .withColumn(text_col, F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join("__kept", "\n")))
+        .drop("__kept", "__gone", "__gone_id")
     )
 
 

@@ -10,7 +10,7 @@ def sf(spark, docs_of, tmp_path_factory):
     line = "This boiler plate line is repeated in very many documents."
     texts = [f"{line}\nunique text {i} " + " ".join(f"w{i * j % 97}" for j in range(60)) for i in range(40)]
     texts += [texts[3]] * 4 + [None, ""] + ["vile slur words vile slur " + t for t in texts[:12]]
-    docs_of(texts, sources=[f"s{i % 3}" for i in range(len(texts))]).drop("size").write.parquet(f"{place}/documents.parquet")
+    docs_of(texts, sources=[f"s{i % 3}" for i in range(len(texts))]).write.parquet(f"{place}/documents.parquet")
     spark.createDataFrame([(i, int(i >= 46)) for i in range(len(texts))], "doc_id long, toxic int").write.parquet(f"{place}/labels.parquet")
     return place
 

@@ -5,9 +5,10 @@ documents is taken. The whole part is taken for sure; the fraction is an inclusi
 probability for the cube method. The flight phase takes three undecided documents at a
 time and moves their probabilities along the null space of the two balancing
 constraints (documents and words), until one of the three is decided; both totals stay
-exactly what they were. Two undecided documents are left of each block; blocks' leftovers
-meet again in fewer blocks, and only the last two of a source are landed, on the choice
-nearest to the target.
+exactly what they were. Two undecided documents are left of each block, and blocks'
+leftovers meet again in fewer blocks. Of a source's last block ``LANDED`` documents, spread
+over its sizes, sit out the flight; they and the two that are left are landed together, on
+the choice nearest to the target.
 
 Blocks hold at most ``BLOCK`` documents, whichever source they are of. Which documents are
 taken follows from ids, sizes and the seed alone, so reruns and retries agree.
@@ -31,8 +32,9 @@ from failcast.llm.common import documents, n_words, rank_of, whole_text, written
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
-BLOCK = 20_000
+BLOCK = 4_000
 NEAR = 1e-9
+LANDED = 14
 
 
 def source_targets(sizes: DataFrame, *, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -93,16 +95,27 @@ def flight(p: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarray:
 
 
 def _landed(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Decide the last (two) documents: the choice whose words are nearest to what they should be, then whose number is."""
+    """Decide the undecided, ``LANDED`` + 2 at most: the choice whose words, and then number, are nearest to what they should be."""
     open_ = np.flatnonzero((p > NEAR) & (p < 1 - NEAR))
-    want, number = float(p[open_] @ size[open_]), float(p[open_].sum())
-    choices = [[(k >> j) & 1 for j in range(len(open_))] for k in range(1 << len(open_))]
-    best = min(choices, key=lambda s: (abs(float(np.dot(s, size[open_])) - want), abs(sum(s) - number), s))
     out = np.round(p)
-    out[open_] = best
+    if len(open_):
+        choices = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
+        words, number = choices @ size[open_] - p[open_] @ size[open_], choices.sum(1) - p[open_].sum()
+        out[open_] = choices[np.argmin(np.abs(words) + np.abs(number) * 0.02 * (1 + size.mean()))]
     return out
 
 
+def fly_and_land(p: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarray:
+    """Decide all documents of a last block."""
+    undecided = np.flatnonzero((p > NEAR) & (p < 1 - NEAR))
+    by_size = undecided[np.argsort(size[undecided], kind="stable")]
+    out = by_size[np.unique(np.linspace(0, len(by_size) - 1, LANDED).round().astype(int))] if len(by_size) else by_size
+    rest = np.setdiff1d(np.arange(len(p)), out)
+    flown = p.astype(float).copy()
+    flown[rest] = flight(p[rest], size[rest], draw[rest])
+    return _landed(flown, size)
+
+
 def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int = BLOCK) -> DataFrame:
     """(uid, group..., prob, size) -> (uid, chosen int): a sample balanced on number and size within every group."""
     keys = [*group, "block"]
@@ -125,8 +138,7 @@ def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int
         def fly(pdf: pd.DataFrame, *, landing: bool = last) -> pd.DataFrame:
             pdf = pdf.sort_values(["draw", "uid"], kind="stable").reset_index(drop=True)
             p, size = pdf["prob"].to_numpy(float), pdf["size"].to_numpy(float)
-            p = flight(p, size, pdf["draw"].to_numpy(float))
-            pdf["prob"] = _landed(p, size) if landing else p
+            pdf["prob"] = (fly_and_land if landing else flight)(p, size, pdf["draw"].to_numpy(float))
             return pdf[[f.name for f in schema]]
 
         flown = written(dealt.groupBy(*keys).applyInPandas(fly, schema))

@@ -1,7 +1,7 @@
 """Document fingerprints: digests of a text's improbable features.
 
-Every window of 64 bytes has a rarity: its cross-entropy under the byte pairs of the whole
-corpus, taken from prefix sums. In every run of 64 neighbouring windows the rarest, first of
+Every window of 16 bytes has a rarity: its cross-entropy under the byte pairs of the whole
+corpus, taken from prefix sums. In every run of 16 neighbouring windows the rarest, first of
 equals, gets a vote; windows with at least ``VOTES`` votes are features. Features enter a
 chain of Bloom filters in order of place, five bits each, ``PER_FILTER`` to a filter. Two
 digests are compared filter by filter: the bits in common beyond what chance gives, divided
@@ -11,7 +11,7 @@ Pairs of neighbours in id order are made without a global window: documents are
 ranges of ids cut at quantiles, and the first document of each range visits the range before.
 
 Defined cases: a null or empty text has no features and the digest of none, alike (1.0) to
-another of none and unlike (0.0) all others; a text under 64 bytes is one feature; rows that
+another of none and unlike (0.0) all others; a text under 16 bytes is one feature; rows that
 repeat an id are ordered by text; a null id comes first; the last document's next is the
 first; a single document is its own next; an empty table gives an empty result; other
 columns are not read.
@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 
 from failcast.llm.common import documents, written
 
-WINDOW = 64
-VOTES = 16
+WINDOW = 16
+VOTES = 4
 FILTER_BITS = 2048
 PER_FILTER = 160
 HASHES = 5
 #: Bits in common count from this share of the way between chance and the most there could be.
-BEYOND_CHANCE = 0.3
+BEYOND_CHANCE = 0.1
 RANGE_ROWS = 50_000
 HEAD = "if1"
 

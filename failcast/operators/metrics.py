@@ -118,3 +118,21 @@ def baseline_rule(df: DataFrame, threshold: float = 0.9, column: str = "feat_mem
 
 def two_class(p: Column) -> Column:
     return F.array(1 - p, p)
+
+
+# Upper bounds of the buckets of predicted probabilities.
+SCORE_BOUNDS = (0.01, 0.05, 0.10, 0.25, 0.50, 0.70, 0.90, 0.99)
+
+
+def score_histogram(df: DataFrame, score: str = "score", by=(), bounds=SCORE_BOUNDS) -> DataFrame:
+    """Cumulative counts of scores up to each bound and in all, with their sum; one pass, one row for each group."""
+    p = F.col(score)
+    counts = [F.count_if(p <= b).alias(f"le_{b:g}".replace(".", "_")) for b in bounds]
+    return df.groupBy(*by).agg(*counts, F.count(p).alias("n"), F.sum(p).alias("total"))
+
+
+def prediction_counts(predictions: DataFrame) -> DataFrame:
+    """Predictions by model version and status, and how often each feature contributed most."""
+    status = F.when(F.col("error").isNull(), "ok").otherwise("error")
+    top = F.try_element_at("top_contributors", F.lit(1))["feature"]
+    return predictions.groupBy("model_version", status.alias("status"), top.alias("top_feature")).agg(F.count("*").alias("n"))

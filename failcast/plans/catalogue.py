@@ -449,6 +449,13 @@ def acceptance_gates(spark, sf):
     return spark.createDataFrame([tuple(made.values())], "brier_le_0_10 boolean, precision_at_recall_0_8_ge_0_5 boolean")
 
 
+@query("""SELECT l_linestatus AS namespace, count(*) FILTER (WHERE l_quantity / 50 <= 0.1)::BIGINT AS le_0_1, count(*) FILTER (WHERE l_quantity / 50 <= 0.5)::BIGINT AS le_0_5,
+count(*)::BIGINT AS n, round(sum(l_quantity / 50), 4) AS total FROM lineitem GROUP BY 1""")
+def score_histogram(spark, sf):
+    out = M.score_histogram(scored(spark, sf), by=["namespace"], bounds=(0.1, 0.5))
+    return out.withColumn("total", F.round("total", 4))
+
+
 # Payloads and explanations ------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ import pytest
 
 from failcast.__main__ import main
 from failcast.operators.features import FAILURES, MEMORY_LIMIT, RESTARTS, RSS, WORKING_SET
+from failcast.operators.metrics import prediction_counts
 from failcast.plans import jobs
 from failcast.schema import HEARTBEAT, LONG_SCHEMA, OOM_COUNTER, TIME
 from failcast.sources.files import write_hourly
@@ -47,6 +48,8 @@ def test_scorer_and_missing_features(spark, built):
     requests = spark.createDataFrame([("u", "c", whole), ("v", "c", {"unknown": 1.0})], "pod_uid string, container string, features map<string,double>")
     good, bad = scorer.predict(requests).orderBy("pod_uid").collect()
     assert 0 <= good.prediction <= 1 and len(good.top_contributors) == 3 and good.error is None and good.model_version == "v1"
+    counts = {r.status: (r.top_feature, r.n) for r in prediction_counts(scorer.predict(requests)).collect()}
+    assert counts["ok"] == (good.top_contributors[0].feature, 1) and counts["error"] == (None, 1)
     assert bad.prediction is None and bad.error == f"missing feature: {scorer.names[0]}"
 
 

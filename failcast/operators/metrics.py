@@ -2,8 +2,10 @@
 
 Scores are counted per distinct value first. Running sums over the distinct scores of a group
 then give precision and recall at every threshold; average precision, ROC area and the best
-precision at a recall are sums and maxima over them. Ties count together. NULL stands for an
-undefined number.
+precision at a recall are sums and maxima over them. Running sums go through slices of the
+score range: totals of the slices (at most ``SLICES`` for scores between 0 and 1) are summed
+up first, then the scores inside each slice, so no task orders all scores of a group. Ties
+count together. NULL stands for an undefined number.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from failcast.functions.scalars import MICRO, micros
 from failcast.schema import DECISION_THRESHOLD, ENTITY, HORIZONS_MINUTES, LABEL, LEAST_SLICE_ROWS, TIME, ContractError, require
 
+SLICES = 4096
 HEADLINE = ("brier_score", "pr_auc", "roc_auc", "precision_at_recall_0_5", "precision_at_recall_0_8", "recall_at_threshold", "precision_at_threshold")
 
 
@@ -25,14 +28,21 @@ def headline_by(df: DataFrame, by=(), *, label: str = LABEL, score: str = "score
     """One row of headline metrics for each group (one row in all without ``by``)."""
     require(df, [label, score, *by], "headline_by")
     p, y = F.col(score).cast("double"), (F.col(label) == 1).cast("long")
-    counts = df.groupBy(*by, p.alias("p")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    counts = df.groupBy(*by, p.alias("p")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")).withColumn("slice", F.floor(F.coalesce("p", F.lit(0.0)) * SLICES))
+    slices = counts.groupBy(*by, "slice").agg(F.sum("pos").alias("s_pos"), F.sum("neg").alias("s_neg"))
     group = [F.col(c) for c in by] or [F.lit(0)]
-    down = Window.partitionBy(*group).orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
+    above = Window.partitionBy(*group).orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy(*group)
-    run = counts.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down), "all_pos": F.sum("pos").over(every), "all_neg": F.sum("neg").over(every)})
+    sums = {"up_pos": F.coalesce(F.sum("s_pos").over(above), F.lit(0)), "up_neg": F.coalesce(F.sum("s_neg").over(above), F.lit(0)), "all_pos": F.sum("s_pos").over(every), "all_neg": F.sum("s_neg").over(every)}
+    offsets = slices.withColumns(sums).select(*[F.col(c).alias(f"__{c}") for c in (*by, "slice")], *sums)
+    same = F.col("slice") == F.col("__slice")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    down = Window.partitionBy(*group, "slice").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
+    run = counts.join(offsets, same).withColumns({"tp": F.sum("pos").over(down) + F.col("up_pos"), "fp": F.sum("neg").over(down) + F.col("up_neg")})
     precision, recall = F.col("tp") / (F.col("tp") + F.col("fp")), _ratio(F.col("tp"), F.col("all_pos"))
-    above = F.col("p") >= threshold
-    tp, fp = F.coalesce(F.sum(F.when(above, F.col("pos"))), F.lit(0)), F.coalesce(F.sum(F.when(above, F.col("neg"))), F.lit(0))
+    alarm = F.col("p") >= threshold
+    tp, fp = F.coalesce(F.sum(F.when(alarm, F.col("pos"))), F.lit(0)), F.coalesce(F.sum(F.when(alarm, F.col("neg"))), F.lit(0))
     n_pos, n_neg = F.sum("pos"), F.sum("neg")
     aggregates = [
         (n_pos + n_neg).alias("n_rows"),

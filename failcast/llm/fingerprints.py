@@ -39,6 +39,7 @@ HASHES = 5
 #: Bits in common count from this share of the way between chance and the most there could be.
 BEYOND_CHANCE = 0.1
 RANGE_ROWS = 50_000
+BROADCAST_RANGES = 100_000
 HEAD = "if1"
 
 
@@ -160,7 +161,9 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     order = Window.orderBy("range")
     visits = firsts.withColumn("host", F.coalesce(F.lag("range").over(order), F.last("range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
     visits = visits.select(F.col("range").alias("own"), "first", "host")
-    guests = rows.join(F.broadcast(visits), (F.col("range") == F.col("own")) & (F.col("key") == F.col("first"))).withColumn("range", F.col("host"))
+    # One row for each range: broadcast while these are few, joined beyond.
+    side = F.broadcast(visits) if len(cuts) < BROADCAST_RANGES else visits
+    guests = rows.join(side, (F.col("range") == F.col("own")) & (F.col("key") == F.col("first"))).withColumn("range", F.col("host"))
     both = rows.withColumn("guest", F.lit(False)).unionByName(guests.select(*rows.columns).withColumn("guest", F.lit(True)))
     return both.repartition(ranges, "range").sortWithinPartitions("range", "guest", "key", "text").select("doc_id", "no_id", "text", "range", "guest")
 

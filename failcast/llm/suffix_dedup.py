@@ -15,8 +15,10 @@ names at doubled offsets up to ``length``, and are compared with those of smalle
 
 Copies of a whole text are settled first, by digest. Of equal anchors or equal strings that
 meet in one batch only one travels on, so a passage in a third of all documents sends a row
-for each batch, not for each document. Round two keeps, besides a batch, only the names of
-one anchor's different strings.
+for each batch, not for each document. Anchors with over ``HOT`` occurrences, whose strings
+would still meet in one task, are ranked at the full length at once: each of their windows
+goes where its own name leads. Round two keeps, besides a batch, only the names of one
+anchor's different strings, so of ``HOT`` strings at most.
 
 Defined cases: a null text is empty; a text shorter than ``length`` loses nothing; rows that
 repeat an id do not count against each other; a null id is smaller than all others; an empty
@@ -42,7 +44,11 @@ GRAM = 16
 #: Bytes that a task works on at once, and windows of one document at once.
 BATCH_BYTES = 1_000_000
 PIECE = 1_000_000
-BATCH_ROWS = 50_000
+#: Occurrences of an anchor above which its windows are dealt by their own names.
+HOT = 50_000
+#: So many hot names may be broadcast (8 bytes each); more are joined.
+BROADCAST_NAMES = 100_000
+MARKER = -1
 _PLACE = 24
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -118,15 +124,16 @@ def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(new), np.cumsum(new) - 1
 
 
-ANCHORS = "name long, uid long, at long, known boolean, astray boolean"
+ANCHORS = "name long, uid long, at long, weight int"
 
 
 def anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(uid, data) -> anchors with their windows; ``known``: another document of the batch has it too.
+    """(uid, data) -> anchors with their windows.
 
-    ``at`` is 64 times the first window plus the number of windows. Of known anchors one for
-    each name goes where its name leads, the others astray: anywhere. Names are cut to 48 bits
-    here; two that agree by chance only send a few more strings to round two.
+    ``at`` is 64 times the first window plus the number of windows. Of an anchor that several
+    documents of a batch have, one row goes where its name leads, with their number as weight;
+    the others have weight 0 and go anywhere. Anchors of one document have weight 1. Names are
+    cut to 48 bits here; two that agree by chance only send a few more strings to round two.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,49 +148,64 @@ def anchors(texts: DataFrame, length: int) -> DataFrame:
                 start, run = _groups(name)
                 stop = np.concatenate((start[1:], [len(name)])) - 1
                 known = (uid[start] != uid[stop])[run]
-                astray = known.copy()
-                astray[start] = False
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name, uid, at, known, astray)], ["name", "uid", "at", "known", "astray"])
+                weight = np.where(known, 0, 1).astype(np.int32)
+                weight[start] = np.where(known[start], stop - start + 1, 1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name, uid, at, weight)], ["name", "uid", "at", "weight"])
 
     return texts.select("uid", "data").mapInArrow(find, ANCHORS)
 
 
 def shared_anchors(found: DataFrame, parts: int) -> DataFrame:
-    """(uid, at, name) of the anchors that at least two documents have."""
+    """(uid, at, name) of the anchors that at least two documents have; for a name with over ``HOT`` a row of uid ``MARKER`` too."""
+    most = HOT
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[np.ndarray, ...] | None = None  # of the last name, all of one document so far
-        passed: int | None = None  # the last name, if two documents have it
+        passed, total = None, 0  # the last name, if two documents have it, and its occurrences so far
         for batch in batches:
-            name, uid, at = (batch.column(c).to_numpy() for c in ("name", "uid", "at"))
-            known, astray = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("known", "astray"))
-            if not len(name):
-                continue
+            name, uid, at, weight = (batch.column(c).to_numpy() for c in ("name", "uid", "at", "weight"))
+            astray = weight == 0
             sent = [(uid[astray], at[astray], name[astray])]
-            name, uid, at, known = name[~astray], uid[~astray], at[~astray], known[~astray]
+            name, uid, at, weight = name[~astray], uid[~astray], at[~astray], weight[~astray]
             if held is not None:
-                name, uid, at, known = (np.concatenate((a, b)) for a, b in zip(held, (name, uid, at, known), strict=True))
+                name, uid, at, weight = (np.concatenate((a, b)) for a, b in zip(held, (name, uid, at, weight), strict=True))
                 held = None
             if len(name):
                 start, run = _groups(name)
                 low, high = np.minimum.reduceat(uid, start), np.maximum.reduceat(uid, start)
-                shared = (low != high) | np.logical_or.reduceat(known, start) | (name[start] == (passed if passed is not None else name[start] + 1))
+                goes_on = name[start] == passed if passed is not None else np.zeros(len(start), bool)
+                shared = (low != high) | (np.maximum.reduceat(weight, start) > 1) | goes_on
                 sent.append(tuple(x[shared[run]] for x in (uid, at, name)))
-                passed = int(name[-1]) if shared[-1] else None
+                before = np.where(goes_on, total, 0)
+                counts = np.add.reduceat(weight.astype(np.int64), start) + before
+                hot = name[start][shared & (counts > most) & (before <= most)]
+                sent.append((np.full(len(hot), MARKER), np.zeros(len(hot), np.int64), hot))
+                passed, total = (int(name[-1]), int(counts[-1])) if shared[-1] else (None, 0)
                 if not shared[-1]:
-                    held = tuple(x[start[-1] :] for x in (name, uid, at, known))
+                    held = tuple(x[start[-1] :] for x in (name, uid, at, weight))
             uid, at, name = (np.concatenate(x) for x in zip(*sent, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(uid), pa.array(at), pa.array(name)], ["uid", "at", "name"])
 
-    route = F.when(F.col("astray"), F.xxhash64("uid", "at")).otherwise(F.col("name"))
+    route = F.when(F.col("weight") == 0, F.xxhash64("uid", "at")).otherwise(F.col("name"))
     return found.repartition(parts, route).sortWithinPartitions("name", "uid").mapInArrow(keep, "uid long, at long, name long")
 
 
+def marked_hot(shared: DataFrame) -> DataFrame:
+    """``shared`` without its markers, with ``hot``."""
+    rows = shared.where(F.col("uid") != MARKER)
+    names_ = written(shared.where(F.col("uid") == MARKER).select(F.col("name").alias("hot_name")))
+    n = names_.count()
+    if not n:
+        return rows.withColumn("hot", F.lit(False))
+    side = F.broadcast(names_) if n <= BROADCAST_NAMES else names_
+    return rows.join(side, F.col("name") == F.col("hot_name"), "left").withColumn("hot", F.col("hot_name").isNotNull()).drop("hot_name")
+
+
 STRINGS = "name long, key long, uid long, at long, data binary"
 
 
 def strings(texts: DataFrame, length: int) -> DataFrame:
-    """(uid, key, data, at array, name array) -> the strings around the anchors.
+    """(uid, key, data, at array, name array, hot array) -> the strings around the anchors; of hot ones each window by itself.
 
     Of equal strings in a batch only the smallest document's travels with its bytes; all
     windows of the others are known to repeat (data null).
@@ -195,11 +217,16 @@ def strings(texts: DataFrame, length: int) -> DataFrame:
             ids, keys = batch.column("uid").to_numpy(), batch.column("key").to_numpy()
             lists = batch.column("at")
             at, name = lists.flatten().to_numpy(), batch.column("name").flatten().to_numpy()
+            hot = batch.column("hot").flatten().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
+            many = np.where(hot, at % 64, 1)
+            own = np.repeat(np.arange(len(at)), many)
+            step = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+            at, name, row, hot = np.where(hot[own], (at[own] // 64 + step) * 64 + 1, at[own]), name[own], row[own], hot[own]
             first, size = offsets[row] + at // 64, at % 64 + length - 1
-            step = max(1, BATCH_BYTES // (2 * length))
-            for low in range(0, len(at), step):
-                part = slice(low, low + step)
+            many_at_once = max(1, BATCH_BYTES // (2 * length))
+            for low in range(0, len(at), many_at_once):
+                part = slice(low, low + many_at_once)
                 f, s = first[part], size[part]
                 begin = np.cumsum(s) - s
                 joined = data[np.repeat(f - begin, s) + np.arange(int(s.sum()))]
@@ -215,10 +242,10 @@ def strings(texts: DataFrame, length: int) -> DataFrame:
                 where = np.concatenate((begin, [len(joined)])).astype(np.int32)
                 payload = pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer(where), pa.py_buffer(joined)])
                 payload = pa.compute.if_else(pa.array(repeat), pa.scalar(None, pa.binary()), payload)
-                u, a, n = ids[row[part]], at[part], name[part]
+                u, a, n = ids[row[part]], at[part], np.where(hot[part], whole[begin].view(np.int64), name[part])
                 yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(keys[row[part]]), pa.array(u), pa.array(a), payload], [x.split()[0] for x in STRINGS.split(", ")])
 
-    return texts.select("uid", "key", "data", "at", "name").mapInArrow(cut, STRINGS)
+    return texts.select("uid", "key", "data", "at", "name", "hot").mapInArrow(cut, STRINGS)
 
 
 def repeated_spans(found: DataFrame, length: int, parts: int) -> DataFrame:
@@ -314,7 +341,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     own = texts.join(copies, texts["uid"] == F.col("copy"), "left_anti").where(F.octet_length("data") >= length)
     shared = written(shared_anchors(anchors(own, length), parts))
     free_shuffles(spark)
-    listed = shared.groupBy("uid").agg(F.collect_list(F.struct("at", "name")).alias("x")).select(F.col("uid").alias("of"), F.col("x.at").alias("at"), F.col("x.name").alias("name"))
+    gathered = marked_hot(shared).groupBy("uid").agg(F.collect_list(F.struct("at", "name", "hot")).alias("x"))
+    listed = gathered.select(F.col("uid").alias("of"), F.col("x.at").alias("at"), F.col("x.name").alias("name"), F.col("x.hot").alias("hot"))
     joined = texts.select("uid", "key", "data").join(listed, F.col("uid") == F.col("of"))
     spans = written(repeated_spans(strings(joined, length), length, parts))
     free_shuffles(spark)

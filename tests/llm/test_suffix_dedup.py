@@ -44,8 +44,9 @@ def corpus():
     return texts
 
 
-@pytest.mark.parametrize("sizes", [(4_000_000, 4_000_000), (700, 90)])
+@pytest.mark.parametrize("sizes", [(4_000_000, 4_000_000, 50_000), (700, 90, 50_000), (700, 90, 3)])
 def test_matches_brute_force(spark, docs_of, tmp_path, monkeypatch, sizes):
+    monkeypatch.setattr(sd, "HOT", sizes[2])
     monkeypatch.setattr(sd, "BATCH_BYTES", sizes[0])
     monkeypatch.setattr(sd, "PIECE", sizes[1])
     texts = corpus()
@@ -56,7 +57,9 @@ def test_matches_brute_force(spark, docs_of, tmp_path, monkeypatch, sizes):
     assert got == brute(rows)
 
 
-def test_groups_that_go_on_in_the_next_batch(spark, docs_of):
+@pytest.mark.parametrize("hot", [50_000, 5])
+def test_groups_that_go_on_in_the_next_batch(spark, docs_of, monkeypatch, hot):
+    monkeypatch.setattr(sd, "HOT", hot)
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     try:
@@ -83,3 +86,12 @@ def test_names_tell_strings_apart():
 
 def test_empty_table(spark, docs_of):
     assert sd.remove_repeats(docs_of([])).count() == 0
+
+
+def test_hot_names_are_marked_once(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(sd, "HOT", 9)
+    texts = spark.createDataFrame([(i, f"{i} the same passage of over fifty bytes that every document has {i}".encode()) for i in range(40)], "uid long, data binary").repartition(5)
+    shared = sd.shared_anchors(sd.anchors(texts, 50), 3)
+    marks = [r.name for r in shared.where("uid = -1").collect()]
+    assert marks and len(marks) == len(set(marks))
+    assert {r.hot for r in sd.marked_hot(shared).where(f"name = {marks[0]}").collect()} == {True}

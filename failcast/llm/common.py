@@ -60,6 +60,16 @@ def free_shuffles(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
+def dealt_by(df: DataFrame, groups: int, *keys: str) -> DataFrame:
+    """Rows dealt by ``keys`` to as many tasks as there are groups, within bounds.
+
+    Groups that are small to move but long to work on would otherwise be put together in few
+    tasks, by their size.
+    """
+    most = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, min(groups, most)), *keys)
+
+
 def whole_text(text: str | Column = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

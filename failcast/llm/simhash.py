@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from failcast.llm.common import documents, written
+from failcast.llm.common import dealt_by, documents, written
 from failcast.llm.components import components
 
 TILE = 1 << 15
@@ -141,7 +141,9 @@ def links(prints: DataFrame, *, radius: int = 4, tile: int = TILE) -> DataFrame:
         both = first if second is None else np.concatenate((first, second))
         return pd.DataFrame({"u": both[node], "v": both[root]})
 
-    return paired.groupBy("ah", "al", "bh", "bl", "a", "b").applyInPandas(compare, "u long, v long")
+    keys = ("ah", "al", "bh", "bl", "a", "b")
+    pairs = sum(r[-1] * r[-2] for r in rows)
+    return dealt_by(paired, pairs, *keys).groupBy(*keys).applyInPandas(compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 4, radius: int = 4) -> DataFrame:

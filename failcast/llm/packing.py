@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from failcast.llm.common import documents, written
+from failcast.llm.common import dealt_by, documents, written
 from failcast.llm.tokens import default_path, encoder
 
 LIMIT = 2048
@@ -110,7 +110,7 @@ def pack(items: DataFrame, *, limit: int = LIMIT, segments: int = SEGMENTS, loss
         out = pdf.assign(sequence_id=(int(pdf["block"].iloc[0]) << bits) + sequence, offset=offset)
         return out.drop(columns="block")
 
-    return dealt.groupBy("block").applyInPandas(place, schema)
+    return dealt_by(dealt, blocks, "block").groupBy("block").applyInPandas(place, schema)
 
 
 def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, limit: int = LIMIT, segments: int = SEGMENTS) -> DataFrame:

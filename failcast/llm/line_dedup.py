@@ -29,7 +29,7 @@ SLOTS = 4
 MAX_KICKS = 500
 #: Keys in one filter, postings in one probing task.
 SHARD_KEYS = 200_000
-PROBE_ROWS = 500_000
+PROBE_ROWS = 100_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

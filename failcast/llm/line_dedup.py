@@ -30,6 +30,7 @@ MAX_KICKS = 500
 #: Keys in one filter, postings in one probing task.
 SHARD_KEYS = 200_000
 PROBE_ROWS = 100_000
+BROADCAST_SHARDS = 100_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -183,6 +184,8 @@ def probe(state: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
     # pandas would turn whole numbers beside a null into floats
     dealt = state.select("h1", "h2", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), _shard(shards).alias("shard"))
     parts = dealt.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(PROBE_ROWS)).cast("int").alias("parts"))
+    # One row for each shard: broadcast while these are few, or all postings would meet by shard.
+    parts = F.broadcast(parts) if shards <= BROADCAST_SHARDS else parts
     left = dealt.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("doc_id", "h1"), F.col("parts")).cast("int")).drop("parts")
     right = filters.join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
 

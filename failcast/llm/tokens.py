@@ -26,12 +26,18 @@ def default_path() -> str:
 def encoder(path: str) -> Callable[[str], list[int]]:
     """text -> ids, without ids that the tokenizer would add."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+    held: list = []  # most workers never need the slower library, and it is large
+
+    def slow(text: str) -> list[int]:
+        if not held:
+            from tokenizers import Tokenizer
+
+            held.append(Tokenizer.from_file(path))
+        return held[0].encode(text, add_special_tokens=False).ids
 
-    slow = Tokenizer.from_file(path)
     ranks_file = path.removesuffix(".json") + ".tiktoken"
     if not os.path.exists(ranks_file):
-        return lambda text: slow.encode(text, add_special_tokens=False).ids
+        return slow
     import public_tokenizers
     import tiktoken
 
@@ -41,12 +47,12 @@ def encoder(path: str) -> Callable[[str], list[int]]:
 
     def encode(text: str) -> list[int]:
         if END_OF_TEXT in text:
-            return slow.encode(text, add_special_tokens=False).ids
+            return slow(text)
         try:
             return fast.encode_ordinary(text)
         except BaseException as error:  # the library's regular expressions can give up on very long runs
             if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):
                 raise
-            return slow.encode(text, add_special_tokens=False).ids
+            return slow(text)
 
     return encode

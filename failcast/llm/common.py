@@ -70,6 +70,11 @@ def dealt_by(df: DataFrame, groups: int, *keys: str) -> DataFrame:
     return df.repartition(max(1, min(groups, most)), *keys)
 
 
+def small_side(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """A written table as the broadcast side of a join if it has at most ``most`` rows, else as it is."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def whole_text(text: str | Column = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from failcast.llm.common import documents, n_words, rank_of, whole_text, written
+from failcast.llm.common import documents, n_words, rank_of, small_side, whole_text, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -132,7 +132,7 @@ def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int
         same = F.lit(True)
         for g in group:
             same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
-        dealt = now.join(counts.select(*[F.col(g).alias(f"__{g}") for g in group], "blocks"), same).drop(*[f"__{g}" for g in group])
+        dealt = now.join(small_side(counts.select(*[F.col(g).alias(f"__{g}") for g in group], "blocks")), same).drop(*[f"__{g}" for g in group])
         dealt = dealt.withColumn("block", F.pmod(F.xxhash64(salt, "uid"), F.col("blocks")).cast("int")).withColumn("draw", F.pmod(F.xxhash64("uid", salt), F.lit(1 << 30)) / float(1 << 30)).drop("blocks")
 
         def fly(pdf: pd.DataFrame, *, landing: bool = last) -> pd.DataFrame:
@@ -167,7 +167,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     rows = written(sized.withColumn("uid", uid(F.col("doc_id"), F.col("hash"), F.row_number().over(order))).drop("hash"))
     targets = written(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights=weights, share=share, most=most))
     per = targets.select(F.col("source").alias("__source"), "source_size", "target")
-    joined = rows.join(per, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    joined = rows.join(small_side(per), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     mean = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(mean + NEAR)
     planned = written(joined.withColumn("whole", whole.cast("long")).withColumn("prob", F.greatest(F.lit(0.0), mean - whole)))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from failcast.llm import line_dedup, mixing, packing, simhash, toxicity
+from failcast.llm import line_dedup, mixing, packing, similar, toxicity
 from failcast.llm.common import documents, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -30,8 +30,8 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked SimHash fingerprints stays."""
-    return simhash.keep_one(docs.select(*COLUMNS))
+    """One document of each group of texts whose five-word shingles are at least 0.8 alike stays."""
+    return similar.keep_one_similar(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

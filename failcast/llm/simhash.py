@@ -58,23 +58,14 @@ def fingerprint(text: Column, words_in_shingle: int = 4) -> Column:
     return made(text)
 
 
-def forest(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the links between ``a`` and ``b`` (or within ``a``): positions in both, laid end to end."""
-    rows = np.asarray(a, np.uint64)
-    cols = rows if b is None else np.asarray(b, np.uint64)
-    shift = 0 if b is None else len(rows)
-    label = np.arange(len(rows) + (0 if b is None else len(cols)))
+class Joined:
+    """Labels of nodes, joined pair by pair; a label is the least node of its tree."""
 
-    def sorted_cells(x: np.ndarray) -> tuple[np.ndarray, dict[tuple[int, int], np.ndarray]]:
-        high, low = np.bitwise_count(x >> np.uint64(32)), np.bitwise_count(x & np.uint64(0xFFFFFFFF))
-        code = high.astype(np.int64) * 64 + low
-        order = np.argsort(code, kind="stable")
-        cuts = np.flatnonzero(np.diff(code[order])) + 1
-        return code, {(int(code[g[0]]) // 64, int(code[g[0]]) % 64): g for g in np.split(order, cuts) if len(g)}
+    def __init__(self, n: int):
+        self.label = np.arange(n)
 
-    def join(found_a: np.ndarray, found_b: np.ndarray) -> None:
-        nonlocal label
-        la, lb = label[found_a], label[found_b]
+    def join(self, found_a: np.ndarray, found_b: np.ndarray) -> None:
+        la, lb = self.label[found_a], self.label[found_b]
         apart = la != lb
         if not apart.any():
             return
@@ -90,10 +81,29 @@ def forest(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray
             x, y = root(x), root(y)
             if x != y:
                 parent[max(x, y)] = min(x, y)
-        into = np.arange(len(label))
+        into = np.arange(len(self.label))
         moved = list(parent)
         into[moved] = [root(x) for x in moved]
-        label = into[label]
+        self.label = into[self.label]
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        node = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return node, self.label[node]
+
+
+def forest(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the links between ``a`` and ``b`` (or within ``a``): positions in both, laid end to end."""
+    rows = np.asarray(a, np.uint64)
+    cols = rows if b is None else np.asarray(b, np.uint64)
+    shift = 0 if b is None else len(rows)
+    joined = Joined(len(rows) + (0 if b is None else len(cols)))
+
+    def sorted_cells(x: np.ndarray) -> tuple[np.ndarray, dict[tuple[int, int], np.ndarray]]:
+        high, low = np.bitwise_count(x >> np.uint64(32)), np.bitwise_count(x & np.uint64(0xFFFFFFFF))
+        code = high.astype(np.int64) * 64 + low
+        order = np.argsort(code, kind="stable")
+        cuts = np.flatnonzero(np.diff(code[order])) + 1
+        return code, {(int(code[g[0]]) // 64, int(code[g[0]]) % 64): g for g in np.split(order, cuts) if len(g)}
 
     _, cells_a = sorted_cells(rows)
     cells_b = cells_a if b is None else sorted_cells(cols)[1]
@@ -105,11 +115,10 @@ def forest(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray
             while at < len(ia):  # the first rows join most of a large group; later blocks then find little to join
                 block = ia[at : at + step]
                 near_a, near_b = np.nonzero(np.bitwise_count(rows[block][:, None] ^ right[None, :]) <= radius)
-                join(block[near_a], ib[near_b] + shift)
+                joined.join(block[near_a], ib[near_b] + shift)
                 at += step
                 step = max(1, min(step * 2, (1 << 19) // len(right)))
-    node = np.flatnonzero(label != np.arange(len(label)))
-    return node, label[node]
+    return joined.links()
 
 
 def links(prints: DataFrame, *, radius: int = 4, tile: int = TILE) -> DataFrame:

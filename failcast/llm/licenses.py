@@ -7,8 +7,9 @@ held-out copies calibrates the probabilities. A prediction stands only if the pa
 also agrees with one of the family's templates: the overlap of their word pairs, divided by
 the smaller number of pairs, is at least ``AGREE``.
 
-A paragraph without any of ``STEMS`` is unknown; that is part of the classifier. Scanning
-is DataFrame functions alone; the weights, whose number follows from the templates, are a
+A paragraph goes to the classifier if it has one of ``STEMS``, or a word of a template that is
+not among ``ORDINARY`` and enough of the templates' word pairs to be confirmed. Without a stem a prediction counts only if it is confirmed; an
+unconfirmed one ("Mit und.") is not reported. Scanning is DataFrame functions alone; the weights, whose number follows from the templates, are a
 small literal table.
 
 Defined cases: a null or empty text is one empty paragraph and has no licence; rows that
@@ -33,9 +34,12 @@ AGREE = 0.6
 SURE = 0.5
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
-# Lower-case stems, one of which every licence statement has.
+# Lower-case stems of licence statements; some statements have none.
 STEMS = ("licen", "copyright", "redistribut", "permission", "public domain", "rights reserved", "warrant", "spdx", "creative commons", "cc by", "cc-by", "cc0", "gnu", "proprietary")
 
+# Words that any prose has; a line of these and words of no template alone is no licence statement.
+ORDINARY = frozenset("a and are as at be by for from he in is it of on or that the this to was with".split())
+
 # Customary licence statements by family.
 TEMPLATES = {
     "apache-2.0": (
@@ -239,10 +243,47 @@ def _has_stem(text: Column) -> Column:
     return F.exists(F.array(ascii_lower(text)), any_of)
 
 
+def marks() -> list[str]:
+    """The words of templates that are not ordinary."""
+    return sorted({w for texts in TEMPLATES.values() for t in texts for w in tokens(t)} - ORDINARY)
+
+
+@lru_cache(maxsize=1)
+def _stemless() -> tuple[list[str], int]:
+    """The templates' word pairs, and the fewest pairs of a template that a line without a stem can cover to ``AGREE``."""
+    pairs, least = set(), 1 << 30
+    for texts in TEMPLATES.values():
+        for text in texts:
+            found = tokens(text)
+            own = {f"{a} {b}" for a, b in zip(found, found[1:], strict=False)} or set(found)
+            pairs |= own
+            if sum(not any(s in p for s in STEMS) for p in own) >= AGREE * len(own):
+                least = min(least, len(own))
+    return sorted(pairs), least
+
+
+def _marked(text: Column) -> Column:
+    found = F.regexp_extract_all(ascii_lower(text), F.lit(TOKEN), F.lit(0))
+    return F.arrays_overlap(found, F.array(*[F.lit(w) for w in marks()]))
+
+
+def _may_agree(line: Column) -> Column:
+    """False only if the line has too few of the templates' pairs to be confirmed (it has no stem)."""
+    templates, least = _stemless()
+
+    def judged(words: Column) -> Column:
+        at = F.when(F.size(words) > 1, F.sequence(F.lit(1), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
+        own = F.array_distinct(F.transform(at, lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1))))
+        return F.exists(F.array(F.when(F.size(own) > 0, own).otherwise(words)), lambda x: F.size(F.array_intersect(x, F.array(*[F.lit(p) for p in templates]))) >= AGREE * F.least(F.size(x), F.lit(least)))
+
+    return F.exists(F.array(F.regexp_extract_all(ascii_lower(line), F.lit(TOKEN), F.lit(0))), judged)
+
+
 def candidate_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, paragraph, line): the lines that have a stem."""
-    lines = docs.where(_has_stem(F.col(text_col))).select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("paragraph", "line"))
-    return lines.where(_has_stem(F.col("line")))
+    """(doc_id, paragraph, line): the lines that have a stem, or a template's word and enough of its pairs to be confirmed."""
+    lines = docs.where(_has_stem(F.col(text_col)) | _marked(F.col(text_col))).select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("paragraph", "line"))
+    line = F.col("line")
+    return lines.where(F.when(_has_stem(line), True).when(_marked(line), _may_agree(line)).otherwise(False))
 
 
 def classify(paragraphs: DataFrame) -> DataFrame:
@@ -280,7 +321,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     judged = classify(written(candidate_paragraphs(docs, id_col=id_col, text_col=text_col).distinct()))
     of_doc = judged.groupBy("doc_id").agg(
         F.count_if("confirmed").alias("n_licensed"),
-        F.count_if((F.col("family") != UNKNOWN) & ~F.col("confirmed")).alias("n_unconfirmed"),
+        F.count_if((F.col("family") != UNKNOWN) & ~F.col("confirmed") & _has_stem(F.col("line"))).alias("n_unconfirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
         F.round(F.min(F.when(F.col("confirmed"), F.col("probability"))), 3).alias("least_probability"),
         F.round(F.min(F.when(F.col("confirmed"), F.col("similarity"))), 3).alias("least_similarity"),

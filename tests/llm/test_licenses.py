@@ -30,6 +30,16 @@ def test_scan_equals_sql(spark, docs_of, tmp_path):
     assert found[2] == (1, "mit") and found[3] == (3, "cc-by-nc,mit") and found[5] == (1, "cc-by-nc") and found[0] == (0, "")
 
 
+def test_scan_finds_every_template(spark, docs_of):
+    want = [(f, t) for f, texts in licenses.TEMPLATES.items() for t in texts]
+    want.append(("gpl", "Released under the GPL, version 3."))
+    docs = docs_of([f"Some prose.\n{t}\nThat is all of it." for _, t in want] + ["Mit und."])
+    rows = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    for i, (family, text) in enumerate(want):
+        assert (rows[i].n_licensed, rows[i].families) == (1, family), text
+    assert rows[len(want)].n_licensed == rows[len(want)].n_unconfirmed == 0
+
+
 def test_repeats_nulls_and_empty(spark, docs_of):
     assert licenses.scan(docs_of([])).count() == 0
     rows = licenses.scan(docs_of(["Released under the MIT License."] * 3, ids=[1, 1, None])).collect()

@@ -6,7 +6,7 @@ probability for the cube method. The flight phase takes three undecided document
 time and moves their probabilities along the null space of the two balancing
 constraints (documents and words), until one of the three is decided; both totals stay
 exactly what they were. Two undecided documents are left of each block, and blocks'
-leftovers meet again in fewer blocks. Of a source's last block ``LANDED`` documents, spread
+leftovers meet again in fewer blocks. Of a source's last block, whatever other sources have left, ``LANDED`` documents, spread
 over its sizes, sit out the flight; they and the two that are left are landed together, on
 the choice nearest to the target.
 
@@ -133,9 +133,10 @@ def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int
         for g in group:
             same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
         dealt = now.join(small_side(counts.select(*[F.col(g).alias(f"__{g}") for g in group], "blocks")), same).drop(*[f"__{g}" for g in group])
-        dealt = dealt.withColumn("block", F.pmod(F.xxhash64(salt, "uid"), F.col("blocks")).cast("int")).withColumn("draw", F.pmod(F.xxhash64("uid", salt), F.lit(1 << 30)) / float(1 << 30)).drop("blocks")
+        dealt = dealt.withColumn("block", F.pmod(F.xxhash64(salt, "uid"), F.col("blocks")).cast("int")).withColumn("draw", F.pmod(F.xxhash64("uid", salt), F.lit(1 << 30)) / float(1 << 30))
 
-        def fly(pdf: pd.DataFrame, *, landing: bool = last) -> pd.DataFrame:
+        def fly(pdf: pd.DataFrame) -> pd.DataFrame:
+            landing = pdf["blocks"].iloc[0] == 1  # of this group; others may have more
             pdf = pdf.sort_values(["draw", "uid"], kind="stable").reset_index(drop=True)
             p, size = pdf["prob"].to_numpy(float), pdf["size"].to_numpy(float)
             pdf["prob"] = (fly_and_land if landing else flight)(p, size, pdf["draw"].to_numpy(float))

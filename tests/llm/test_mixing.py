@@ -70,3 +70,14 @@ def test_small_blocks_repeats_and_empty(spark, docs_of, monkeypatch):
     assert len(found) == 200 and abs(sum(r.chosen for r in found) - 50) <= 2
     rows = mixing.mix(docs_of(["a b"] * 6, ids=[1, 1, 1, None, None, 2])).collect()
     assert len(rows) == 6 and len({r.uid for r in rows}) == 6
+
+
+def test_small_source_beside_one_of_many_blocks(spark):
+    rows = [(f"{g}.{i}", g, 0.37, float(round(10 ** ((i * 7919 + g * 31) % 997 / 300)))) for g in range(20) for i in range(50)]
+    rows += [(f"hot.{i}", 99, 0.37, float(1 + i % 800)) for i in range(5000)]
+    units = spark.createDataFrame(rows, "uid string, g int, prob double, size double")
+    chosen = {r.uid: r.chosen for r in mixing.cube_sample(units, ["g"]).collect()}
+    assert len(chosen) == len(rows)
+    for g in range(20):
+        words = [(chosen[u] * size, 0.37 * size) for u, of, _, size in rows if of == g]
+        assert abs(sum(x for x, _ in words) / sum(y for _, y in words) - 1) < 0.005

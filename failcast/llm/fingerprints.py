@@ -7,8 +7,11 @@ chain of Bloom filters in order of place, five bits each, ``PER_FILTER`` to a fi
 digests are compared filter by filter: the bits in common beyond what chance gives, divided
 by the most there could be; each filter of the shorter digest takes its best partner.
 
+Texts with few such windows take those with fewer votes too, down to one, until there are ``FEW``.
+
 Pairs of neighbours in id order are made without a global window: documents are dealt to
-ranges of ids cut at quantiles, and the first document of each range visits the range before.
+ranges of ids, one to a task, and the first document of each range visits the range before. The
+ranges' first ids, one for about ``RANGE_ROWS`` documents, are a one-row table.
 
 Defined cases: a null or empty text has no features and the digest of none, alike (1.0) to
 another of none and unlike (0.0) all others; a text under 16 bytes is one feature; rows that
@@ -26,20 +29,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from failcast.llm.common import documents, written
 
 WINDOW = 16
-VOTES = 4
+VOTES, FEW = 4, 24
 FILTER_BITS = 2048
 PER_FILTER = 160
 HASHES = 5
 #: Bits in common count from this share of the way between chance and the most there could be.
 BEYOND_CHANCE = 0.1
 RANGE_ROWS = 50_000
-BROADCAST_RANGES = 100_000
 HEAD = "if1"
 
 
@@ -90,8 +92,8 @@ def features(data: bytes, cost: np.ndarray) -> list[int]:
     winner = _least_in_runs(order, min(WINDOW, len(order))) & ((1 << 40) - 1)
     turn = np.flatnonzero(np.concatenate(([True], winner[1:] != winner[:-1])))
     votes = np.diff(np.concatenate((turn, [len(winner)])))
-    chosen = winner[turn][votes >= VOTES] if (votes >= VOTES).any() else winner[turn][[int(votes.argmax())]]
-    return list(dict.fromkeys(xxhash.xxh3_64_intdigest(data[p : p + WINDOW]) for p in chosen.tolist()))
+    least = next((v for v in range(VOTES, 1, -1) if (votes >= v).sum() >= FEW), 1)
+    return list(dict.fromkeys(xxhash.xxh3_64_intdigest(data[p : p + WINDOW]) for p in winner[turn][votes >= least].tolist()))
 
 
 def filters(found: list[int]) -> np.ndarray:
@@ -133,14 +135,17 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return total / len(a)
 
 
-def _range_of(key: Column, cuts: list[float]) -> Column:
-    """How many of the sorted cuts are at or below the key: a binary search, whatever their number."""
-    if not cuts:
-        return F.lit(0)
-    levels = len(cuts).bit_length()
-    table = F.array(*[F.lit(c) for c in cuts])
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(levels))])
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.coalesce(F.get(table, at + step - 1) <= key, F.lit(False)), at + step).otherwise(at))
+def _cuts(ids: DataFrame, ranges: int) -> DataFrame:
+    """(id long) -> one row: the sorted first ids of the ranges, and whether a null comes before them."""
+    part = F.spark_partition_id().alias("part")
+    firsts = ids.repartitionByRange(ranges, "id").select("id", part).groupBy("part").agg(F.min("id").alias("first"), F.bool_or(F.col("id").isNull()).alias("null"))
+    return written(firsts.agg(F.sort_array(F.collect_list(F.when(~F.col("null"), F.col("first")))).alias("cuts"), F.coalesce(F.bool_or("null"), F.lit(False)).alias("null")))
+
+
+def _range_of(key: Column, cuts: Column, ranges: int) -> Column:
+    """How many of the sorted cuts, ``ranges`` at most, are at or below the key (null: none): a binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(ranges.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.coalesce(F.get(cuts, at + step - 1) <= key, F.lit(False)), at + step).otherwise(at))
 
 
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,23 +154,19 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     The row after the last of a range is a guest: the first row of the next range.
     """
     spark = docs.sparkSession
-    key = F.coalesce(F.col(id_col).cast("double"), F.lit(float("-inf")))
-    n = docs.select(id_col).count()
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / RANGE_ROWS))
-    wanted = [i / ranges for i in range(1, ranges)]
-    ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("double").alias("k"))
-    cuts = sorted(set(ids.approxQuantile("k", wanted, 0.2 / ranges) or [])) if wanted and not ids.isEmpty() else []
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc_id"), F.col(id_col).isNull().alias("no_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), key.alias("key"))
-    rows = rows.withColumn("range", _range_of(F.col("key"), cuts))
-    firsts = written(rows.groupBy("range").agg(F.min("key").alias("first")))  # one row for each range
-    order = Window.orderBy("range")
-    visits = firsts.withColumn("host", F.coalesce(F.lag("range").over(order), F.last("range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    visits = visits.select(F.col("range").alias("own"), "first", "host")
-    # One row for each range: broadcast while these are few, joined beyond.
-    side = F.broadcast(visits) if len(cuts) < BROADCAST_RANGES else visits
-    guests = rows.join(side, (F.col("range") == F.col("own")) & (F.col("key") == F.col("first"))).withColumn("range", F.col("host"))
-    both = rows.withColumn("guest", F.lit(False)).unionByName(guests.select(*rows.columns).withColumn("guest", F.lit(True)))
-    return both.repartition(ranges, "range").sortWithinPartitions("range", "guest", "key", "text").select("doc_id", "no_id", "text", "range", "guest")
+    ids = docs.select(F.col(id_col).cast("long").alias("id"))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(ids.count() / RANGE_ROWS))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    cut = rows.crossJoin(F.broadcast(_cuts(ids, ranges)))  # one row, 8 bytes for each range
+    cut = cut.withColumn("range", _range_of(F.col("id"), F.col("cuts"), ranges))
+    lowest, highest = F.when(F.col("null"), 0).otherwise(1), F.size("cuts")
+    before = F.when(F.col("range") > lowest, F.col("range") - 1).otherwise(highest)
+    first = F.when(F.col("range") == 0, F.col("id").isNull()).otherwise(F.get("cuts", F.col("range") - 1) == F.col("id"))
+    own = F.struct(F.col("range").alias("at"), F.lit(False).alias("guest"))
+    visit = F.struct(before.alias("at"), F.lit(True).alias("guest"))
+    both = cut.select("id", "text", F.explode(F.when(first, F.array(own, visit)).otherwise(F.array(own))).alias("to"))
+    dealt = both.select("id", "text", F.col("to.at").alias("range"), F.col("to.guest").alias("guest")).repartitionById(ranges + 1, "range")
+    return dealt.sortWithinPartitions("range", "guest", "id", "text").select(F.coalesce("id", F.lit(0)).alias("doc_id"), F.col("id").isNull().alias("no_id"), "text", "range", "guest")
 
 
 RESULT = "doc_id long, no_id boolean, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

@@ -53,8 +53,22 @@ def test_selection_by_brute_force():
     for s in range(len(rarity) - fp.WINDOW + 1):
         best = max(range(s, s + fp.WINDOW), key=lambda p: (rarity[p], -p))
         votes[best] = votes.get(best, 0) + 1
-    want = list(dict.fromkeys(fp.xxhash.xxh3_64_intdigest(data[p : p + fp.WINDOW]) for p in sorted(votes) if votes[p] >= fp.VOTES))
-    assert fp.features(data, cost) == want
+    want = lambda least: list(dict.fromkeys(fp.xxhash.xxh3_64_intdigest(data[p : p + fp.WINDOW]) for p in sorted(votes) if votes[p] >= least))
+    assert fp.features(data, cost) == want(fp.VOTES) and len(want(fp.VOTES)) >= fp.FEW
+    short = fp.features(data[:60], cost)
+    assert len(short) > sum(v >= fp.VOTES for p, v in votes.items() if p < 60 - 2 * fp.WINDOW)
+
+
+@pytest.mark.parametrize("low", [(1 << 53) - 2, (1 << 62) - 2, -(1 << 62)])
+def test_neighbours_of_large_ids(spark, docs_of, low):
+    ids = [low + i for i in random.Random(5).sample(range(40), 12)]
+    texts = [f"{i} is the text " * 9 for i in range(len(ids))]
+    rows = {r.doc_id: r for r in fp.compare_edits(docs_of(texts, ids=ids).repartition(3)).collect()}
+    order = sorted(zip(ids, texts, strict=True))
+    for k, (doc, text) in enumerate(order):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + order[(k + 1) % len(order)][1][:half]
+        assert rows[doc].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
 
 
 def test_digest_round_trip_and_bounds():
@@ -70,4 +84,6 @@ def test_repeats_nulls_single_and_empty(spark, docs_of):
     (one,) = fp.compare_edits(docs_of(["hello there " * 20])).collect()
     assert one.near_next == 1.0
     rows = fp.compare_edits(docs_of(["b" * 90, "a" * 90, "c", None], ids=[4, 4, None, None])).collect()
+    # In order of id, then text: "", "c", "aa...", "bb...".
+    assert {r.edited_sha256 for r in rows} == {hashlib.sha256(x.encode()).hexdigest() for x in ("", "c", "a" * 45 + "b" * 45, "b" * 45)}
     assert len(rows) == 4 and sorted(str(r.doc_id) for r in rows) == ["4", "4", "None", "None"]

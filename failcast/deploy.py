@@ -13,14 +13,23 @@ ROOT = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
 
 
+def runs_in_one_process(spark: SparkSession) -> bool:
+    """Whether the executors are threads of the driver."""
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def ship(spark: SparkSession) -> None:
-    """Send the package's sources to all executors, once for each application, unless PYTHONPATH or the working folder has them."""
+    """Send the package's sources to all executors, once for each application.
+
+    Only where they are threads of the driver, and PYTHONPATH or the working folder has the package, is nothing sent.
+    """
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
     _shipped.add(app)
     places = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
-    if any(p and Path(p).resolve() == ROOT for p in places):
+    if runs_in_one_process(spark) and any(p and Path(p).resolve() == ROOT for p in places):
         return
     made = Path(tempfile.mkdtemp(prefix="failcast-code-")) / "failcast.zip"
     with zipfile.ZipFile(made, "w") as out:

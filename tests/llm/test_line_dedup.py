@@ -45,7 +45,7 @@ def test_filter_inserts_deletes_and_stashes():
     assert made.contains(others).mean() < 0.002
     made.delete(keys[:1500])
     assert made.contains(keys[1500:]).all() and made.contains(keys[:1500]).mean() < 0.01
-    full = line_dedup.CuckooFilter(np.zeros((4, 4), np.uint16), [])
+    full = line_dedup.CuckooFilter(np.zeros((4, 4), np.uint16), set())
     full.insert(keys[:40])
     assert full.stash and full.contains(keys[:40]).all()
     full.delete(keys[:40])
@@ -68,6 +68,58 @@ def test_deletion_reverses_insertion(spark, docs_of):
     assert line_dedup.probe(both, emptied, 1).count() == 0
 
 
+def test_probing_by_shard_gives_the_same(spark, docs_of, monkeypatch):
+    line = "this line is repeated in many of the documents here"
+    state = line_dedup.postings(docs_of([f"{line} {i % 7}" for i in range(60)], ids=[*range(59), None]))
+    frequent = line_dedup.reference_counts(state).where("refs >= 9")
+    filters = line_dedup.build_filters(frequent, 3)
+    one = sorted(map(str, line_dedup.probe(state, filters, 3).collect()))
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(line_dedup, "PROBE_ROWS", 5)
+    assert one and one == sorted(map(str, line_dedup.probe(state, filters, 3).collect()))
+
+
+def test_full_filters_are_built_again(spark):
+    key = lambda n: spark.range(n).selectExpr("xxhash64(id) AS h1", "xxhash64(id, 1) AS h2")
+    few, many = key(12), key(400)
+    filters = line_dedup.build_filters(few, 1)
+    grown = line_dedup.update_filters(filters, many.join(few, ["h1", "h2"], "left_anti"), few.limit(0), 1, many)
+    (row,) = grown.collect()
+    assert row.share <= line_dedup.FULL and len(row.slots) > len(filters.first().slots) and not row.stash
+    made = line_dedup.CuckooFilter.load(row.slots, row.stash)
+    assert made.contains(np.array([r.h1 for r in many.collect()])).all()
+
+
+def test_store_keeps_inserts_and_deletes(spark, docs_of, tmp_path):
+    common = ["the first of the lines that many documents share", "the second of the lines that many documents share"]
+    texts = [f"own line {i}\n{common[i % 2]}\n{common[0]}" for i in range(10)]
+    first, second = docs_of(texts[:6]), docs_of(texts[6:], ids=range(6, 10))
+    open_ = lambda: line_dedup.Store(spark, f"file://{tmp_path}/lines", shards=2)
+    keys = lambda: sorted(map(str, open_().postings().collect()))
+    prints = lambda: {r.shard: sorted(np.frombuffer(r.slots, np.uint16)[np.frombuffer(r.slots, np.uint16) > 0].tolist()) for r in open_().filters().collect()}
+    open_().insert(first)
+    start, start_prints = keys(), prints()
+    assert open_().version() == 0 and sum(map(len, start_prints.values())) == 1  # the second line is in three documents
+    open_().insert(second)
+    open_().insert(second.limit(2))  # nothing new
+    assert sum(map(len, prints().values())) == 2
+    every = docs_of(texts)
+    got = sorted((r.doc_id, r.n_dropped) for r in open_().dedup(every).collect())
+    want = sorted((r.doc_id, r.n_dropped) for r in line_dedup.dedup_lines(every).collect())
+    assert got == want and sum(n for _, n in got) == 18
+    open_().delete(second.select("doc_id"))
+    assert keys() == start and {k: v for k, v in prints().items() if v} == {k: v for k, v in start_prints.items() if v}
+
+
+def test_null_ids_are_one_document(spark, docs_of):
+    line = "this line is repeated in many of the documents here"
+    rows = [(None, f"{line}\n{i}") for i in range(6)]
+    docs = docs_of([t for _, t in rows], ids=[i for i, _ in rows])
+    assert {r.n_dropped for r in line_dedup.dedup_lines(docs).collect()} == {0}
+    more = docs_of([t for _, t in rows] + [line] * 4, ids=[None] * 6 + [1, 2, 3, 4])
+    assert sorted((str(r.doc_id), r.n_dropped) for r in line_dedup.dedup_lines(more).collect()) == [("1", 1), ("2", 1), ("3", 1), ("4", 0)] + [("None", 1)] * 6
+
+
 def test_empty_table_and_extra_columns(spark, docs_of):
     assert line_dedup.dedup_lines(docs_of([])).count() == 0
     out = line_dedup.dedup_lines(docs_of(["a\nb", None]))

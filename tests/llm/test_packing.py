@@ -90,3 +90,71 @@ def test_histogram(spark, docs_of, tmp_path, monkeypatch):
     assert token_counts.quantile(hist, 0.5) == sorted(n)[len(n) // 2 - 1]
     empty = token_counts.histogram(token_counts.lengths(docs_of([])))
     assert empty.count() == 0 and token_counts.total(empty) == 0 and token_counts.quantile(empty, 0.5) is None
+
+
+def one_by_one(demand, limits):
+    """The heuristic item by item: the fitting one with the largest weighed dot product, larger demands first among equals."""
+    alone = [i for i, d in enumerate(demand) if d[0] == limits[0]]
+    left = [i for i, d in enumerate(demand) if d[0] != limits[0]]
+    weight = 1 / np.maximum(np.mean([demand[i] for i in left], axis=0), 1e-9) ** 2
+    out = [[tuple(demand[i])] for i in alone]
+    while left:
+        room, row = np.array(limits, float), []
+        while fits := [i for i in left if (demand[i] <= room).all()]:
+            best = max(fits, key=lambda i: (float(demand[i] @ (weight * room)), tuple(demand[i])))
+            row.append(tuple(demand[best]))
+            room -= demand[best]
+            left.remove(best)
+        out.append(row)
+    return out
+
+
+def test_fill_is_the_heuristic():
+    rng = np.random.default_rng(8)
+    demand = np.stack((rng.integers(1, 60, 200), np.ones(200, int), rng.integers(0, 30, 200)), axis=1)
+    demand[:, 2] = np.minimum(demand[:, 2], demand[:, 0])
+    limits = np.array([64, 5, 32])
+    got = [[tuple(demand[i]) for i in row] for row in packing.fill(demand, limits)]
+    assert got == one_by_one(demand, limits)
+
+
+def test_each_limit_binds():
+    limits = np.array([100, 4, 50])
+    tight = lambda d, k: [(d[row].sum(0)[k] == limits[k]) for row in packing.fill(d, limits)]
+    long, many, taught = np.array([[25, 1, 1]] * 40), np.array([[3, 1, 1]] * 40), np.array([[25, 1, 25]] * 40)
+    assert all(tight(long, 0)) and all(tight(many, 1)) and all(tight(taught, 2))
+    assert not any(tight(many, 0)) and not any(tight(taught, 0)) and not any(tight(taught, 1))
+
+
+def test_conversations(spark):
+    texts = ["Hello there", "", "word " * 90, "What is it?", None, "Yes. " * 40]
+    rows, want = [], defaultdict(list)
+    for conv in [0, 1, 2, 3, None]:
+        n = {0: 40, 1: 1}.get(conv, 7)
+        for turn in range(n):
+            role, text = ("assistant", "user", None)[(turn + (conv or 0)) % 3], texts[(turn * 5 + (conv or 0)) % 6]
+            rows.append((conv, turn, role, text, "x"))
+            size = len(ids_of(text)) + 1
+            want[conv] += [role == "assistant"] * size
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, start string").repartition(5)
+    limits = {"limit": 128, "segments": 6, "loss": 80}
+    got = packing.pack_conversations(df, **limits).collect()
+    by_conv, by_seq = defaultdict(list), defaultdict(list)
+    for r in got:
+        by_conv[r.conv_id].append(r)
+        by_seq[r.sequence_id].append(r)
+    assert set(by_conv) == set(want)
+    for conv, own in by_conv.items():
+        at = 0
+        for r in sorted(own, key=lambda r: r.start):
+            assert r.start == at
+            mask = [False] * r.length
+            for a, b in zip(r.loss_spans[::2], r.loss_spans[1::2], strict=True):
+                mask[a:b] = [True] * (b - a)
+            assert mask == want[conv][at : at + r.length] and sum(mask) == r.loss_tokens
+            at += r.length
+        assert at == len(want[conv])
+    sums = [(sum(r.length for r in x), sum(r.n_segments for r in x), sum(r.loss_tokens for r in x)) for x in by_seq.values()]
+    assert all(a <= 128 and b <= 6 and c <= 80 for a, b, c in sums)
+    assert any(b == 6 and a < 128 for a, b, _ in sums) and any(c > 70 and a < 128 for a, _, c in sums)
+    assert packing.pack_conversations(df.limit(0)).count() == 0

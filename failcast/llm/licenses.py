@@ -1,16 +1,18 @@
 """Licence scans of paragraphs: a trained classifier with a calibrated unknown class.
 
 A sparse logistic regression over word 1- and 2-grams, trained here on the templates below,
-on cut and noised copies of them and on counter-examples, gives every candidate paragraph
-(line) a probability for each licence family and for "unknown". A temperature fitted on
-held-out copies calibrates the probabilities. A prediction stands only if the paragraph
-also agrees with one of the family's templates: the overlap of their word pairs, divided by
-the smaller number of pairs, is at least ``AGREE``.
-
-A paragraph goes to the classifier if it has one of ``STEMS``, or a word of a template that is
-not among ``ORDINARY`` and enough of the templates' word pairs to be confirmed. Without a stem a prediction counts only if it is confirmed; an
-unconfirmed one ("Mit und.") is not reported. Scanning is DataFrame functions alone; the weights, whose number follows from the templates, are a
-small literal table.
+on cut and noised copies of them and on counter-examples (other licences, other versions,
+negations, prose), gives every paragraph (line) a probability for each licence family and for
+"unknown". A temperature fitted on copies and counter-examples that were not trained on
+calibrates the probabilities. A prediction stands only if the paragraph also
+agrees with one of the family's templates: the weight of the word pairs they share, divided by the
+smaller of both weights, is at least ``AGREE``. A pair weighs less the more families' templates
+have it. A family of one version needs that version in the paragraph.
+
+Grams of ``ORDINARY`` words alone are no features, but for ``DENYING`` words, which can only speak for the unknown class. So a paragraph without any
+other word of the vocabulary (``marks``) is unknown whatever else it says, and only paragraphs with such a word
+are scored: the SQL counterpart scores all of them. Scanning is DataFrame functions alone; the
+weights, whose number follows from the templates and examples, are a small literal table.
 
 Defined cases: a null or empty text is one empty paragraph and has no licence; rows that
 repeat an id each give a row, with the findings in all of that id's different paragraphs;
@@ -34,22 +36,29 @@ AGREE = 0.6
 SURE = 0.5
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
-# Lower-case stems of licence statements; some statements have none.
-STEMS = ("licen", "copyright", "redistribut", "permission", "public domain", "rights reserved", "warrant", "spdx", "creative commons", "cc by", "cc-by", "cc0", "gnu", "proprietary")
+# Words that any prose has.
+ORDINARY = frozenset(
+    "a all also an and any are as at be been but by can do for from had has have he her his if in into is it its may no not of off on one or other our out she should so some such than that the their them then there these they this those to under up use used was we were what when where which who will with would you your".split()
+)
+
+# Ordinary words that are features all the same; they speak for the unknown class alone.
+DENYING = ("cannot", "neither", "never", "no", "nor", "not", "without")
 
-# Words that any prose has; a line of these and words of no template alone is no licence statement.
-ORDINARY = frozenset("a and are as at be by for from he in is it of on or that the this to was with".split())
+# What the paragraph must have for a family of one version.
+VERSIONS = {"apache-2.0": ("2.0", "apache-2.0"), "mpl-2.0": ("2.0", "mpl-2.0")}
 
 # Customary licence statements by family.
 TEMPLATES = {
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
+        "Released under the Apache License, version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
         "SPDX-License-Identifier: Apache-2.0",
         "This project is licensed under the terms of the Apache 2.0 license.",
     ),
     "mit": (
         "Released under the MIT License.",
+        "Licensed under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
         "SPDX-License-Identifier: MIT",
         "This project is licensed under the MIT license, see the LICENSE file for details.",
@@ -108,14 +117,51 @@ TEMPLATES = {
         "SPDX-License-Identifier: Unlicense",
     ),
     "proprietary": (
+        "All rights reserved.",
         "Copyright 2024 Example Corporation. All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced without prior written permission of the publisher.",
         "This document is proprietary and confidential.",
     ),
 }
 
-# Sentences that have a stem and grant nothing.
+# Licences of no family, by the names they are granted under.
+OTHER_LICENCES = (
+    "Eclipse Public License, version 2.0",
+    "Apache License, Version 1.1",
+    "Mozilla Public License, Version 1.1",
+    "Artistic License 2.0",
+    "Boost Software License, Version 1.0",
+    "zlib License",
+    "European Union Public Licence, version 1.2",
+    "CC BY-ND 4.0",
+    "CC BY-NC-ND 4.0",
+    "Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "Common Development and Distribution License, version 1.0",
+    "Academic Free License, version 3.0",
+    "SIL Open Font License, Version 1.1",
+    "Microsoft Public License",
+    "Open Database License",
+    "Q Public License, version 1.0",
+)
+GRANTS = ("Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "This project is licensed under the terms of the {}.", "This software is distributed under the {}.", "SPDX-License-Identifier: {}")
+NAMED = ("Apache License, Version 2.0", "MIT License", "MIT license", "BSD 3-Clause License", "GNU General Public License, version 3", "GPL, version 2", "GNU Lesser General Public License", "GNU Affero General Public License", "Mozilla Public License, Version 2.0", "CC BY 4.0", "CC BY-SA 4.0", "CC BY-NC 4.0", "CC0 1.0 Universal")
+DENIALS = ("This work is not licensed under the {}.", "The code is not released under the {}.", "The project is no longer licensed under the {}.", "It was never released under the {}.", "This is not {}.", "The files are not available under the {}.", "We chose not to use the {}.", "It is not under the {}.")
+
+# Sentences that have a word of licences and grant nothing.
 COUNTER_EXAMPLES = (
+    "Er kommt mit dem Zug und mit uns.",
+    "Mit und mit der Zeit.",
+    "Mit einer Frau und mit einem Kind.",
+    "The MIT campus is near the river.",
+    "The GNU project was announced long ago.",
+    "Apache is the name of a people.",
+    "Creative people work in the commons.",
+    "The software was released last year.",
+    "Use the source file in the directory.",
+    "Read the text file for details.",
+    "Permission denied while reading the file.",
+    "All rights and duties pass to the buyer.",
+    "The rights of all persons are protected by law.",
     "The driver lost his license after the accident.",
     "A fishing licence costs twenty pounds a year.",
     "Copyright law is taught in the second year.",
@@ -152,12 +198,18 @@ def grams(found: list[str]) -> set[str]:
     return set(found) | {f"{a} {b}" for a, b in zip(found, found[1:], strict=False)}
 
 
-def _examples(rng: random.Random, per_template: int) -> list[tuple[list[str], str]]:
+def counter_statements(held: bool) -> list[str]:
+    """Grants of licences of no family and denials of those of families; every fourth is held out of training."""
+    every = [g.format(x) for x in OTHER_LICENCES for g in GRANTS] + [d.format(x) for x in NAMED for d in DENIALS]
+    return [x for i, x in enumerate(every) if ((i + i // len(DENIALS)) % 4 == 3) == held]
+
+
+def _examples(rng: random.Random, per_template: int, held: bool) -> list[tuple[list[str], str]]:
     out = []
     for family, texts in TEMPLATES.items():
         for text in texts:
             whole = tokens(text)
-            out.append((whole, family))
+            out += [(whole, family)] * 4
             for _ in range(per_template):
                 cut = list(whole)
                 if len(cut) > 12:
@@ -168,9 +220,9 @@ def _examples(rng: random.Random, per_template: int) -> list[tuple[list[str], st
                     cut.insert(rng.choice([0, len(cut)]), rng.choice(FILLER))
                 out.append((cut, family))
     every = [w for texts in TEMPLATES.values() for t in texts for w in tokens(t)]
-    for text in COUNTER_EXAMPLES:
-        out += [(tokens(text), UNKNOWN)] * 4
-        for _ in range(per_template):
+    for text in (*COUNTER_EXAMPLES, *counter_statements(held)):
+        out += [(tokens(text), UNKNOWN)] * 2
+        for _ in range(per_template // 4):
             out.append(([rng.choice(FILLER) for _ in range(rng.randint(0, 8))] + tokens(text) + [rng.choice(FILLER) for _ in range(rng.randint(0, 8))], UNKNOWN))
     for _ in range(40 * per_template):
         out.append(([rng.choice(every) if rng.random() < 0.25 else rng.choice(FILLER) for _ in range(rng.randint(3, 40))], UNKNOWN))
@@ -182,8 +234,9 @@ def trained() -> tuple[list[str], dict[str, list[float]], list[float]]:
     """Classes, weights of each gram by class, intercepts; temperature is worked in. The same on every machine."""
     rng = random.Random(2)
     classes = [*TEMPLATES, UNKNOWN]
-    learn, held = _examples(rng, 12), _examples(rng, 4)
-    vocabulary = sorted(set().union(*(grams(tokens(t)) for texts in TEMPLATES.values() for t in texts), *(grams(tokens(t)) for t in COUNTER_EXAMPLES)))
+    learn, held = _examples(rng, 12, False), _examples(rng, 4, True)
+    texts = [t for texts in TEMPLATES.values() for t in texts] + [*COUNTER_EXAMPLES, *counter_statements(False)]
+    vocabulary = sorted(g for g in set().union(*(grams(tokens(t)) for t in texts)) if not (ORDINARY | set(DENYING)).issuperset(g.split()) or g in DENYING)
     place = {g: i for i, g in enumerate(vocabulary)}
 
     def matrix(rows: list[tuple[list[str], str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -197,13 +250,17 @@ def trained() -> tuple[list[str], dict[str, list[float]], list[float]]:
         return x, y
 
     x, y = matrix(learn)
-    w = np.zeros((x.shape[1], len(classes)))
+    w, moved = np.zeros((x.shape[1], len(classes))), np.zeros((x.shape[1], len(classes)))
     one = np.eye(len(classes))[y]
-    for _ in range(400):
+    denying = [place[g] for g in DENYING if g in place]
+    for _ in range(200):
         z = x @ w
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        w -= 3.0 * (x.T @ (p - one) / len(x) * 4 + 1e-4 * w)
+        moved = 0.9 * moved - 1.5 * (x.T @ (p - one) / len(x) * 4 + 1e-4 * w)
+        w += moved
+        # A denial may only speak for the unknown class.
+        w[denying, :-1] = np.minimum(w[denying, :-1], w[denying, -1:])
     hx, hy = matrix(held)
 
     def loss(t: float) -> float:
@@ -211,7 +268,7 @@ def trained() -> tuple[list[str], dict[str, list[float]], list[float]]:
         z -= z.max(1, keepdims=True)
         return float(np.mean(np.log(np.exp(z).sum(1)) - z[np.arange(len(z)), hy]))
 
-    w = np.round(w / min((0.4, 0.6, 0.8, 1.0, 1.25, 1.6, 2.0), key=loss), 4)
+    w = np.round(w / min((0.4, 0.6, 0.8, 1.0, 1.25, 1.6, 2.0, 2.5, 3.0), key=loss), 4)
     return classes, {g: w[i].tolist() for g, i in place.items()}, w[-1].tolist()
 
 
@@ -221,69 +278,42 @@ def _weights(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(gram, w)")
 
 
-def _templates(spark: SparkSession) -> DataFrame:
-    classes = list(TEMPLATES)
-    rows = []
-    for f, texts in TEMPLATES.items():
-        for k, text in enumerate(texts):
-            found = tokens(text)
-            pairs = {f"{a} {b}" for a, b in zip(found, found[1:], strict=False)} or set(found)
-            rows += [f"('{p}', {classes.index(f)}, {k}, {len(pairs)})" for p in sorted(pairs)]
-    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(gram, family, template, t_pairs)")
-
+@lru_cache(maxsize=1)
+def template_pairs() -> tuple[list[tuple[str, int, int, float]], dict[str, float]]:
+    """(pair, family, template, the template's whole weight) and every pair's weight: 1 less the share of other families that have it, squared."""
+    own = {(f, k): sorted({f"{a} {b}" for a, b in zip(tokens(t), tokens(t)[1:], strict=False)} or set(tokens(t))) for f, texts in enumerate(TEMPLATES.values()) for k, t in enumerate(texts)}
+    families: dict[str, set[int]] = {}
+    for (f, _), pairs in own.items():
+        for p in pairs:
+            families.setdefault(p, set()).add(f)
+    weight = {p: round((1 - (len(x) - 1) / len(TEMPLATES)) ** 2 / len(x), 6) for p, x in families.items()}
+    return [(p, f, k, round(sum(weight[x] for x in pairs), 6)) for (f, k), pairs in own.items() for p in pairs], weight
 
-def _has_stem(text: Column) -> Column:
-    def any_of(lower: Column) -> Column:
-        out = F.contains(lower, F.lit(STEMS[0]))
-        for stem in STEMS[1:]:
-            out = out | F.contains(lower, F.lit(stem))
-        return out
 
-    # As an element of an array the lower-cased text is made once, not for every stem.
-    return F.exists(F.array(ascii_lower(text)), any_of)
+def _templates(spark: SparkSession) -> DataFrame:
+    rows, weight = template_pairs()
+    values = ", ".join(f"('{p}', {f}, {k}, {t}D, {weight[p]}D)" for p, f, k, t in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(gram, family, template, t_weight, weight)")
 
 
+@lru_cache(maxsize=1)
 def marks() -> list[str]:
-    """The words of templates that are not ordinary."""
-    return sorted({w for texts in TEMPLATES.values() for t in texts for w in tokens(t)} - ORDINARY)
+    """The words of the features that are not ordinary: every feature that can speak for a family has at least one."""
+    return sorted({w for g in trained()[1] for w in g.split()} - ORDINARY - set(DENYING))
 
 
-@lru_cache(maxsize=1)
-def _stemless() -> tuple[list[str], int]:
-    """The templates' word pairs, and the fewest pairs of a template that a line without a stem can cover to ``AGREE``."""
-    pairs, least = set(), 1 << 30
-    for texts in TEMPLATES.values():
-        for text in texts:
-            found = tokens(text)
-            own = {f"{a} {b}" for a, b in zip(found, found[1:], strict=False)} or set(found)
-            pairs |= own
-            if sum(not any(s in p for s in STEMS) for p in own) >= AGREE * len(own):
-                least = min(least, len(own))
-    return sorted(pairs), least
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(ascii_lower(text), F.lit(TOKEN), F.lit(0))
 
 
 def _marked(text: Column) -> Column:
-    found = F.regexp_extract_all(ascii_lower(text), F.lit(TOKEN), F.lit(0))
-    return F.arrays_overlap(found, F.array(*[F.lit(w) for w in marks()]))
-
-
-def _may_agree(line: Column) -> Column:
-    """False only if the line has too few of the templates' pairs to be confirmed (it has no stem)."""
-    templates, least = _stemless()
-
-    def judged(words: Column) -> Column:
-        at = F.when(F.size(words) > 1, F.sequence(F.lit(1), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
-        own = F.array_distinct(F.transform(at, lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1))))
-        return F.exists(F.array(F.when(F.size(own) > 0, own).otherwise(words)), lambda x: F.size(F.array_intersect(x, F.array(*[F.lit(p) for p in templates]))) >= AGREE * F.least(F.size(x), F.lit(least)))
-
-    return F.exists(F.array(F.regexp_extract_all(ascii_lower(line), F.lit(TOKEN), F.lit(0))), judged)
+    return F.arrays_overlap(words_of(text), F.array(*[F.lit(w) for w in marks()]))
 
 
 def candidate_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, paragraph, line): the lines that have a stem, or a template's word and enough of its pairs to be confirmed."""
-    lines = docs.where(_has_stem(F.col(text_col)) | _marked(F.col(text_col))).select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("paragraph", "line"))
-    line = F.col("line")
-    return lines.where(F.when(_has_stem(line), True).when(_marked(line), _may_agree(line)).otherwise(False))
+    """(doc_id, paragraph, line): the lines that have a word with a weight of its own; all others are unknown."""
+    lines = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("paragraph", "line"))
+    return lines.where(_marked(F.col("line")))
 
 
 def classify(paragraphs: DataFrame) -> DataFrame:
@@ -292,12 +322,11 @@ def classify(paragraphs: DataFrame) -> DataFrame:
     classes, _, start = trained()
     keys = [c for c in paragraphs.columns if c != "line"]
     texts = paragraphs.select("line").distinct()  # many documents share a statement
-    found = F.regexp_extract_all(ascii_lower(F.col("line")), F.lit(TOKEN), F.lit(0))
-    words = texts.withColumn("words", found)
+    words = texts.withColumn("words", words_of(F.col("line")))
     at = F.when(F.size("words") > 1, F.sequence(F.lit(1), F.size("words") - 1)).otherwise(F.array().cast("array<int>"))
     pairs = words.withColumn("pairs", F.array_distinct(F.transform(at, lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)))))
     pairs = pairs.withColumn("pairs", F.when(F.size("pairs") > 0, F.col("pairs")).otherwise(F.col("words"))).withColumn("all", F.array_distinct(F.array_union("words", "pairs")))
-    pairs = written(pairs.select("line", "pairs", "all"))
+    pairs = written(pairs.select("line", "words", "pairs", "all"))
     n = len(classes)
     hits = pairs.select("line", F.size("all").alias("n_grams"), F.explode("all").alias("gram")).join(F.broadcast(_weights(spark)), "gram")
     sums = hits.groupBy("line", "n_grams").agg(*[F.sum(F.element_at("w", j + 1)).alias(f"s{j}") for j in range(n)])
@@ -306,13 +335,21 @@ def classify(paragraphs: DataFrame) -> DataFrame:
     z = scored.select("line", F.array(*logits).alias("z"))
     z = z.withColumn("top", F.array_max("z")).withColumn("k", (F.array_position("z", F.col("top")) - 1).cast("int"))
     p = z.select("line", "k", (1 / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))).alias("probability"))
-    common = pairs.select("line", F.size("pairs").alias("p_pairs"), F.explode("pairs").alias("gram")).join(F.broadcast(_templates(spark)), "gram")
-    overlap = common.groupBy("line", "p_pairs", "family", "template", "t_pairs").agg(F.count("*").alias("n"))
-    best = overlap.groupBy("line", F.col("family").alias("k")).agg(F.max(F.col("n") / F.least("p_pairs", "t_pairs")).alias("similarity"))
+    own = pairs.select("line", F.explode("pairs").alias("gram"))
+    known = F.broadcast(_templates(spark))
+    each = known.select("gram", "weight").distinct()
+    # Pairs that no template has weigh 1.
+    size = own.join(F.broadcast(each), "gram", "left").groupBy(F.col("line").alias("of")).agg(F.sum(F.coalesce("weight", F.lit(1.0))).alias("p_weight"))
+    overlap = own.join(known, "gram").groupBy("line", "family", "template", "t_weight").agg(F.sum("weight").alias("n")).join(size, F.col("line") == F.col("of"))
+    best = overlap.groupBy("line", F.col("family").alias("k")).agg(F.max(F.round(F.col("n") / F.least("p_weight", "t_weight"), 6)).alias("similarity"))
     name = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("k") + 1)
     judged = p.join(best, ["line", "k"], "left").withColumn("family", F.when(F.col("probability") >= SURE, name).otherwise(F.lit(UNKNOWN)))
-    judged = judged.select(F.col("line").alias("__line"), "family", "probability", F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
-    judged = judged.withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= AGREE))
+    judged = judged.join(pairs.select(F.col("line").alias("__line"), "words"), F.col("line") == F.col("__line"))
+    versioned = F.lit(True)
+    for f, versions in VERSIONS.items():
+        versioned = versioned & ((F.col("family") != f) | F.arrays_overlap("words", F.array(*[F.lit(v) for v in versions])))
+    judged = judged.select("__line", "family", "probability", F.coalesce("similarity", F.lit(0.0)).alias("similarity"), versioned.alias("versioned"))
+    judged = judged.withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= AGREE) & F.col("versioned"))
     return paragraphs.join(judged, F.col("line") == F.col("__line")).select(*keys, "line", "family", "probability", "similarity", "confirmed")
 
 
@@ -321,7 +358,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     judged = classify(written(candidate_paragraphs(docs, id_col=id_col, text_col=text_col).distinct()))
     of_doc = judged.groupBy("doc_id").agg(
         F.count_if("confirmed").alias("n_licensed"),
-        F.count_if((F.col("family") != UNKNOWN) & ~F.col("confirmed") & _has_stem(F.col("line"))).alias("n_unconfirmed"),
+        F.count_if((F.col("family") != UNKNOWN) & ~F.col("confirmed")).alias("n_unconfirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
         F.round(F.min(F.when(F.col("confirmed"), F.col("probability"))), 3).alias("least_probability"),
         F.round(F.min(F.when(F.col("confirmed"), F.col("similarity"))), 3).alias("least_similarity"),
@@ -342,48 +379,47 @@ def oracle_sql() -> str:
     n = len(classes)
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     w_rows = ", ".join(f"({quote(g)}, [{', '.join(f'{x}::DOUBLE' for x in w)}])" for g, w in weights.items())
-    t_rows = []
-    families = list(TEMPLATES)
-    for f, texts in TEMPLATES.items():
-        for k, text in enumerate(texts):
-            found = tokens(text)
-            own = {f"{a} {b}" for a, b in zip(found, found[1:], strict=False)} or set(found)
-            t_rows += [f"({quote(p)}, {families.index(f)}, {k}, {len(own)})" for p in sorted(own)]
-    stem = lambda c: "(" + " OR ".join(f"contains(translate({c}, '{UPPER}', '{LOWER}'), {quote(s)})" for s in STEMS) + ")"
+    rows, weight = template_pairs()
+    t_rows = [f"({quote(p)}, {f}, {k}, {t}::DOUBLE, {weight[p]}::DOUBLE)" for p, f, k, t in rows]
+    versioned = " AND ".join(f"(family <> '{f}' OR list_has_any(words, [{', '.join(map(quote, v))}]))" for f, v in VERSIONS.items())
     sums = ", ".join(f"sum(w[{j + 1}]) AS s{j}" for j in range(n))
     logits = ", ".join(f"round(coalesce(s{j}, 0.0) / sqrt(greatest(len(a), 1)) + {start[j]}::DOUBLE, 6)" for j in range(n))
     names = ", ".join(quote(c) for c in classes)
     return f"""
 WITH weights(gram, w) AS (VALUES {w_rows}),
-templates(gram, family, template, t_pairs) AS (VALUES {", ".join(t_rows)}),
+templates(gram, family, template, t_weight, weight) AS (VALUES {", ".join(t_rows)}),
 paragraphs AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
-candidates AS (SELECT * FROM paragraphs WHERE {stem("line")}),
 tokenised AS (
   SELECT line, regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), '{TOKEN}') AS words
-  FROM (SELECT DISTINCT line FROM candidates)),
+  FROM (SELECT DISTINCT line FROM paragraphs)),
 paired AS (
   SELECT line, words, list_distinct([words[i] || ' ' || words[i + 1] FOR i IN range(1, greatest(len(words), 1))]) AS p FROM tokenised),
 gathered AS (
-  SELECT line, CASE WHEN len(p) > 0 THEN p ELSE words END AS p, list_distinct(list_concat(words, p)) AS a FROM paired),
+  SELECT line, words, CASE WHEN len(p) > 0 THEN p ELSE words END AS p, list_distinct(list_concat(words, p)) AS a FROM paired),
 sums AS (
   SELECT line, {sums} FROM (SELECT line, unnest(a) AS gram FROM gathered) JOIN weights USING (gram) GROUP BY line),
 logits AS (SELECT gathered.line, [{logits}] AS z FROM gathered LEFT JOIN sums USING (line)),
 picked AS (
   SELECT line, list_position(z, list_max(z)) - 1 AS k,
          1 / list_sum([exp(x - list_max(z)) FOR x IN z]) AS probability FROM logits),
+own AS (SELECT line, unnest(list_distinct(p)) AS gram FROM gathered),
+sizes AS (
+  SELECT line, sum(coalesce(weight, 1.0)) AS p_weight
+  FROM own LEFT JOIN (SELECT DISTINCT gram, weight FROM templates) USING (gram) GROUP BY line),
 overlap AS (
-  SELECT line, family, template, count(*) / least(any_value(np), any_value(t_pairs)) AS share
-  FROM (SELECT line, len(p) AS np, unnest(p) AS gram FROM gathered) JOIN templates USING (gram)
+  SELECT line, family, template, round(sum(weight) / least(any_value(p_weight), any_value(t_weight)), 6) AS share
+  FROM own JOIN templates USING (gram) JOIN sizes USING (line)
   GROUP BY line, family, template),
 best AS (SELECT line, family AS k, max(share) AS similarity FROM overlap GROUP BY line, family),
 judged AS (
   SELECT picked.line, CASE WHEN probability >= {SURE} THEN ([{names}])[k + 1] ELSE '{UNKNOWN}' END AS family,
-         probability, coalesce(similarity, 0.0) AS similarity
-  FROM picked LEFT JOIN best USING (line, k)),
+         words, probability, coalesce(similarity, 0.0) AS similarity
+  FROM picked LEFT JOIN best USING (line, k) JOIN gathered USING (line)),
 marked AS (
-  SELECT doc_id, family, probability, similarity, family <> '{UNKNOWN}' AND similarity >= {AGREE} AS confirmed
-  FROM candidates JOIN judged USING (line)),
+  SELECT doc_id, family, probability, similarity,
+         family <> '{UNKNOWN}' AND similarity >= {AGREE} AND {versioned} AS confirmed
+  FROM paragraphs JOIN judged USING (line)),
 per_doc AS (
   SELECT doc_id, count(*) FILTER (WHERE confirmed) AS n_licensed,
          count(*) FILTER (WHERE family <> '{UNKNOWN}' AND NOT confirmed) AS n_unconfirmed,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import time
 import uuid
@@ -9,6 +10,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from failcast.deploy import runs_in_one_process, ship
+
 # The six ASCII white-space characters that separate words.
 WHITE_SPACE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,12 +20,16 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 _own_dirs: dict[str, str] = {}
+_tables: list[str] = []
+_folders: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share; a temporary one only where none is set and all runs in one process (tests)."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not place:
+        if not runs_in_one_process(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own_dirs:
             _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="failcast-")
@@ -30,23 +37,54 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+def _clean_up() -> None:
+    """At the end of the driver: drop what operators kept between their phases."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    for name in _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for folder in _folders:
+        _delete(spark, folder)
+
+
+def temporary_table(kind: str) -> str:
+    """A name for a table that goes when the driver ends."""
+    if not _tables and not _folders:
+        atexit.register(_clean_up)
+    _tables.append(f"failcast_{kind}_{uuid.uuid4().hex}")
+    return _tables[-1]
+
+
 def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    Lazy results read these tables, so they go when the driver ends, or by ``forget``.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        if not _tables and not _folders:
+            atexit.register(_clean_up)
+        _folders.append(folder)
+    ship(spark)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path  # type: ignore[attr-defined]
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def forget(df: DataFrame) -> None:
     """Delete a table made by ``written`` once nothing reads it any more."""
     path = getattr(df, "_written_to", None)
     if path:
-        jvm = df.sparkSession._jvm
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+        _delete(df.sparkSession, path)
 
 
 def free_shuffles(spark: SparkSession) -> None:

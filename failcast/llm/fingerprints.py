@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from failcast.deploy import ship
 from failcast.llm.common import documents, written
 
 WINDOW = 16
@@ -175,6 +176,7 @@ RESULT = "doc_id long, no_id boolean, n_chars long, edited_sha256 string, finger
 def compare_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each text's digest, that of its edit (second half replaced by the next text's start), and their likeness."""
     spark = docs.sparkSession
+    ship(spark)
     cost = spark.sparkContext.broadcast(costs(byte_pairs(docs, text_col=text_col)))
     names = [x.split()[0] for x in RESULT.split(", ")]
 

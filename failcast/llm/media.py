@@ -5,7 +5,7 @@ last 32 bytes has its top bits zero, between ``LEAST`` and ``MOST`` bytes. A chu
 its digest. Chunks that a store has already are left out by an anti join, and the new
 ones are written once each, compressed, to a table bucketed by digest. Chunks are short, so
 they are compressed against a dictionary trained here on at most ``SAMPLE`` chunks (a
-documented bound) and kept beside the store. A media row is its
+documented bound) and kept beside a named store. A media row is its
 ordered list of digests; reading joins the lists to the store, puts the chunks in order and
 checks every chunk's digest and the file's SHA-256 before anything is computed from it.
 
@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -32,11 +31,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from failcast.llm.common import documents, free_shuffles, whole_text, written
+from failcast.deploy import ship
+from failcast.llm.common import documents, free_shuffles, temporary_table, whole_text, written
 
 FRAME = 192
 LEAST, MOST, CUT_BITS = 1024, 16384, 12
-LEVEL = 16
+LEVEL = 12
 DICTIONARY, SAMPLE = 112 * 1024, 4000
 RATE = 8000
 HOT_REFS = 20_000
@@ -109,15 +109,19 @@ def manifests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 def trained_dictionary(docs: DataFrame, *, text_col: str = "text") -> bytes:
     """A compression dictionary from chunks of texts chosen by hash; empty where there are too few."""
     text = whole_text(text_col)
-    share = int(1_000_000 * min(1.0, SAMPLE / max(1, docs.count())))
+    share = SAMPLE / max(1, docs.count())
+    # Texts whose 64-bit hash is under this share of its range; however many rows, about SAMPLE of them.
+    bound = -(1 << 63) + int(share * (1 << 64)) if share < 1 else (1 << 63) - 1
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gear = gear_table()
         for pdf in batches:
-            yield pd.DataFrame({"chunk": [c for t in pdf["text"] for c in chunks_of(media_file(padded(t)[0]), gear)]})
+            found = {digest_of(c): c for t in pdf["text"] for c in chunks_of(media_file(padded(t)[0]), gear)}
+            yield pd.DataFrame({"digest": list(found), "chunk": list(found.values())})
 
-    chosen = docs.select(text.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
-    sample = sorted({bytes(r.chunk) for r in chosen.mapInPandas(cut, "chunk binary").limit(SAMPLE).collect()})
+    chosen = docs.select(text.alias("text")).where(F.xxhash64("text") <= bound).mapInPandas(cut, "digest binary, chunk binary")
+    # The least digests, so that reruns train the same dictionary.
+    sample = [bytes(r.chunk) for r in chosen.dropDuplicates(["digest"]).orderBy("digest").limit(SAMPLE).collect()]
     try:
         return zstandard.train_dictionary(min(DICTIONARY, sum(map(len, sample)) // 8), sample).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few or too small
@@ -125,7 +129,11 @@ def trained_dictionary(docs: DataFrame, *, text_col: str = "text") -> bytes:
 
 
 def _with(dictionary: bytes) -> dict:
-    return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+    if not dictionary:
+        return {}
+    held = zstandard.ZstdCompressionDict(dictionary)
+    held.precompute_compress(level=LEVEL)  # else it is taken in again for every chunk
+    return {"dict_data": held}
 
 
 def chunks(docs: DataFrame, dictionary: bytes = b"", *, text_col: str = "text") -> DataFrame:
@@ -148,17 +156,20 @@ def chunks(docs: DataFrame, dictionary: bytes = b"", *, text_col: str = "text")
     return docs.select(F.col(text_col).alias("text")).mapInPandas(cut, "digest binary, packed binary")
 
 
-def store(new: DataFrame, known: DataFrame | None = None, name: str | None = None) -> DataFrame:
-    """Write the chunks that ``known`` lacks, each once, to a table bucketed by digest."""
+def store(new: DataFrame, name: str | None = None) -> DataFrame:
+    """Write chunks, each once, to a table bucketed by digest; of a table that is there already, those that it lacks.
+
+    Without a name the table goes when the driver ends.
+    """
     spark = new.sparkSession
-    if known is not None:
-        new = new.join(known.select("digest"), "digest", "left_anti")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = name or f"failcast_chunks_{uuid.uuid4().hex}"
-    new.repartition(n, "digest").dropDuplicates(["digest"]).write.bucketBy(n, "digest").option("compression", "none").saveAsTable(name)
-    out = spark.table(name)
-    out._stored_as = name  # type: ignore[attr-defined]
-    return out
+    if name and spark.catalog.tableExists(name):
+        known = spark.table(name)
+        n = int(spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'").first().data_type)
+        new = written(new.join(known.select("digest"), "digest", "left_anti"))
+    name = name or temporary_table("chunks")
+    new.repartition(n, "digest").dropDuplicates(["digest"]).write.bucketBy(n, "digest").option("compression", "none").mode("append").saveAsTable(name)
+    return spark.table(name)
 
 
 def rebuilt(lists: DataFrame, kept: DataFrame) -> DataFrame:
@@ -215,13 +226,23 @@ def read_back(parts: DataFrame, dictionary: bytes = b"") -> DataFrame:
     return parts.select("media_sha256", "n_chunks", "parts").mapInPandas(read, READ)
 
 
-def media_columns(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Store every text's media file, read it back and describe it: one row for each row of ``docs``."""
+def media_columns(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", name: str | None = None) -> DataFrame:
+    """Store every text's media file, read it back and describe it: one row for each row of ``docs``.
+
+    A named store stays, with its dictionary in the table ``name``_dictionary, and takes only
+    the chunks that it lacks when it is given more.
+    """
+    spark = docs.sparkSession
+    ship(spark)
     lists = written(manifests(docs, id_col=id_col, text_col=text_col))
-    dictionary = trained_dictionary(docs, text_col=text_col)
-    kept = store(chunks(docs, dictionary, text_col=text_col))
-    docs.sparkSession.createDataFrame([(dictionary,)], "dictionary binary").write.saveAsTable(f"{kept._stored_as}_dictionary")
-    free_shuffles(docs.sparkSession)
+    if name and spark.catalog.tableExists(f"{name}_dictionary"):
+        dictionary = bytes(spark.table(f"{name}_dictionary").first()[0])
+    else:
+        dictionary = trained_dictionary(docs, text_col=text_col)
+        if name:
+            spark.createDataFrame([(dictionary,)], "dictionary binary").write.saveAsTable(f"{name}_dictionary")
+    kept = store(chunks(docs, dictionary, text_col=text_col), name)
+    free_shuffles(spark)
     facts = read_back(rebuilt(lists.select("media_sha256", "digests"), kept), dictionary)
     out = lists.select("doc_id", "n_bytes", "media_sha256").join(facts, "media_sha256")
     return out.withColumn("media_sha256", F.lower(F.hex("media_sha256")))

@@ -27,7 +27,6 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +36,8 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from failcast.llm.common import documents, forget, free_shuffles, whole_text, written
+from failcast.deploy import ship
+from failcast.llm.common import documents, forget, free_shuffles, temporary_table, whole_text, written
 
 LENGTH = 50
 GRAM = 16
@@ -328,8 +328,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     if not GRAM < length <= GRAM + 47:
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + 47}")
     spark = docs.sparkSession
+    ship(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"failcast_texts_{uuid.uuid4().hex}"
+    table = temporary_table("texts")
     text = whole_text(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("key"), text.cast("binary").alias("data"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("t"), text).alias("h2"))
     # Bucketed by row, so that what is found out about a text meets it again without moving it.

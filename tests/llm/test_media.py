@@ -54,10 +54,10 @@ def test_cuts_follow_content():
 
 def test_chunks_are_stored_once_and_damage_shows(spark, docs_of):
     docs = docs_of(texts())
-    kept = media.store(media.chunks(docs))
-    assert kept.count() == kept.select("digest").distinct().count()
-    more = media.store(media.chunks(docs_of([*texts()[:8], "new"])), known=kept)
-    assert more.count() == 1
+    kept = media.store(media.chunks(docs), "kept_chunks")
+    n = kept.count()
+    assert n == kept.select("digest").distinct().count()
+    assert media.store(media.chunks(docs_of([*texts()[:8], "new"])), "kept_chunks").count() == n + 1
     lists = media.manifests(docs).select("media_sha256", "digests")
     with pytest.raises(Exception, match="cannot be put together"):
         media.read_back(media.rebuilt(lists, kept.where("length(packed) < 400"))).collect()
@@ -67,3 +67,17 @@ def test_repeats_and_empty(spark, docs_of):
     assert media.media_columns(docs_of([])).count() == 0
     rows = media.media_columns(docs_of(["a", "a", "b"], ids=[1, 1, None])).collect()
     assert sorted(str(r.doc_id) for r in rows) == ["1", "1", "None"]
+
+
+def test_named_stores_stay(spark, docs_of):
+    first = media.media_columns(docs_of(texts()), name="kept_media").collect()
+    n = spark.table("kept_media").count()
+    again = media.media_columns(docs_of([*texts(), "more"]), name="kept_media").collect()
+    assert len(again) == len(first) + 1 and spark.table("kept_media").count() == n + 1
+    assert {r.media_sha256 for r in first} < {r.media_sha256 for r in again}
+
+
+def test_the_sample_is_the_same_in_reruns(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(media, "SAMPLE", 12)
+    docs = docs_of([f"{i} " * (200 + i) for i in range(60)])
+    assert media.trained_dictionary(docs) == media.trained_dictionary(docs.repartition(5))

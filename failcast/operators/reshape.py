@@ -43,10 +43,10 @@ def unpivoted(rows: DataFrame, ids, names: dict[str, str]) -> DataFrame:
 def one_hot(rows: DataFrame, column: str, prefix: str = STATUS_PREFIX) -> DataFrame:
     """Every row with every value of ``column`` seen: a metric row that is 1 where they agree, else 0.
 
-    The distinct values are a side of their own, broadcast only if Spark knows that they are few.
+    The distinct values are one row, an array of them, so no rows are shuffled against each other.
     """
-    seen = rows.where(F.col(column).isNotNull()).select(F.col(column).alias("__seen")).distinct()
-    paired = rows.crossJoin(seen)
+    seen = rows.agg(F.array_sort(F.collect_set(column)).alias("__all"))
+    paired = rows.crossJoin(F.broadcast(seen)).withColumn("__seen", F.explode("__all")).drop("__all")
     return paired.withColumn("metric_name", F.concat(F.lit(prefix), F.col("__seen"))).withColumn("value", (F.col(column) == F.col("__seen")).cast("double")).drop("__seen")
 
 

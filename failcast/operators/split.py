@@ -21,25 +21,41 @@ class Cuts:
     val_to: int
 
 
-def _at_rank(per_time: DataFrame, rank: int) -> int:
-    """The time of the row of this rank, from counts per time; one narrow aggregate for each step.
+#: Counts that the driver gets for each rank and round.
+SLICES = 1 << 16
 
-    Times are cut into at most 1,024 slices and the slice that holds the rank is cut again, so
-    no task sorts all rows and the driver gets 1,024 counts at a time.
+
+def _at_ranks(values: DataFrame, ranks: list[int], low: int, high: int) -> list[tuple[int, int]]:
+    """(v long) between ``low`` and ``high`` -> for each rank the value of that rank, and how many are up to it.
+
+    The range is cut into at most ``SLICES`` slices, and the slice that holds a rank is cut
+    again; all ranks share a round, which is one narrow aggregate. No task sorts the values.
     """
-    low, high = per_time.agg(F.min("us"), F.max("us")).first()
-    before = 0
-    while low < high:
-        step = max(1, -(-(high - low + 1) // 1024))
-        counts = per_time.where(F.col("us").between(low, high)).groupBy(F.floor((F.col("us") - low) / step).cast("long").alias("slice")).agg(F.sum("n").alias("n")).orderBy("slice").collect()
-        for r in counts:
-            if before + r.n > rank:
-                low, high = low + r.slice * step, min(high, low + (r.slice + 1) * step - 1)
-                break
-            before += r.n
-        else:
-            raise ContractError("temporal_split: rank beyond the rows")
-    return low
+    found: list[tuple[int, int] | None] = [None] * len(ranks)
+    state = [(low, high, 0)] * len(ranks)
+    while open_ := [i for i, x in enumerate(found) if x is None]:
+        steps = {i: max(1, -(-(state[i][1] - state[i][0] + 1) // SLICES)) for i in open_}
+        # Ranks that are still in the same range share its counts.
+        same = {i: min(j for j in open_ if state[j] == state[i]) for i in open_}
+        places = [F.when(F.col("v").between(*state[i][:2]), F.struct(F.lit(i).alias("i"), F.floor((F.col("v") - F.lit(state[i][0])) / steps[i]).cast("long").alias("slice"))) for i in sorted(set(same.values()))]
+        counted = values.select(F.explode(F.array_compact(F.array(*places))).alias("x")).groupBy("x.i", "x.slice").agg(F.count("*").alias("n"))
+        by: dict[int, list] = {}
+        for r in sorted(counted.collect()):
+            by.setdefault(r.i, []).append((r.slice, r.n))
+        for i in open_:
+            start, end, before = state[i]
+            for at, n in by.get(same[i], ()):
+                if before + n > ranks[i]:
+                    start = start + at * steps[i]
+                    end = min(end, start + steps[i] - 1)
+                    state[i] = (start, end, before)
+                    if start == end:
+                        found[i] = (start, before + n)
+                    break
+                before += n
+            else:
+                raise ContractError("a rank beyond the rows")
+    return found  # type: ignore[return-value]
 
 
 def cut_times(df: DataFrame, *, time_col: str = TIME, train_frac: float = TRAIN_FRACTION, val_frac: float = VALIDATION_FRACTION) -> Cuts:
@@ -47,24 +63,18 @@ def cut_times(df: DataFrame, *, time_col: str = TIME, train_frac: float = TRAIN_
     if not (0 < train_frac < 1 and 0 < val_frac < 1 and train_frac + val_frac < 1):
         raise ValueError("fractions must be over 0 and leave a test part")
     require(df, [time_col], "temporal_split")
-    per_time = df.where(F.col(time_col).isNotNull()).groupBy(micros(df, time_col).alias("us")).agg(F.count("*").alias("n")).cache()
-    try:
-        n = per_time.agg(F.sum("n")).first()[0]
-        if not n:
-            raise ContractError("temporal_split: the frame is empty")
-        n_train, n_val = int(n * train_frac), int(n * val_frac)
-        if not n_train or not n_val:
-            raise ContractError("temporal_split: too few rows")
-        first = _at_rank(per_time, n_train - 1)
-        # Ties moved into train can reach into what would have been validation.
-        taken = per_time.where(F.col("us") <= first).agg(F.sum("n")).first()[0]
-        second = _at_rank(per_time, n_train + n_val - 1)
-        last = per_time.agg(F.max("us")).first()[0]
-        if taken >= n_train + n_val or second <= first or last <= second:
-            raise ContractError("temporal_split: a part collapsed")
-        return Cuts(first, second)
-    finally:
-        per_time.unpersist()
+    times = df.where(F.col(time_col).isNotNull()).select(micros(df, time_col).alias("v"))
+    n, low, high = times.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    if not n:
+        raise ContractError("temporal_split: the frame is empty")
+    n_train, n_val = int(n * train_frac), int(n * val_frac)
+    if not n_train or not n_val:
+        raise ContractError("temporal_split: too few rows")
+    (first, taken), (second, _) = _at_ranks(times, [n_train - 1, n_train + n_val - 1], low, high)
+    # Ties moved into train can reach into what would have been validation.
+    if taken >= n_train + n_val or second <= first or high <= second:
+        raise ContractError("temporal_split: a part collapsed")
+    return Cuts(first, second)
 
 
 def assigned(df: DataFrame, cuts: Cuts, *, time_col: str = TIME) -> DataFrame:
@@ -125,12 +135,13 @@ def negatives_to_keep(n_positive: int, n_negative: int, rate: float = POSITIVE_R
 def downsample_negatives(df: DataFrame, *, label_col: str = LABEL, target_positive_rate: float = POSITIVE_RATE, keys=None, random_state: int = 42) -> tuple[DataFrame, float]:
     """All positives and an exact number of negatives, the least by a seeded hash of ``keys``.
 
-    The bound on the hash is found by narrowing slices of its range, like a rank in time; rows
-    that tie at the bound are settled by a window over those rows alone.
+    Counts of the hashes' top bits find the bound like a rank in time; the slice that holds it is
+    counted finer. Rows that tie at the bound are settled by a window over those rows alone.
     """
     require(df, [label_col], "downsample_negatives")
     keys = list(keys or [c for c in df.columns if c != label_col])
-    marked = df.withColumn("__hash", F.xxhash64(F.lit(random_state), *keys))
+    # The hash is taken as a whole number below 2^63, so that ranges of it do not overflow.
+    marked = df.withColumn("__hash", F.shiftrightunsigned(F.xxhash64(F.lit(random_state), *keys), 1))
     positive = F.col(label_col) == 1
     n_pos, n_neg = df.agg(F.count_if(positive), F.count_if(~positive)).first()
     plan = negatives_to_keep(n_pos, n_neg, target_positive_rate)
@@ -138,17 +149,34 @@ def downsample_negatives(df: DataFrame, *, label_col: str = LABEL, target_positi
         return df, 1.0
     if plan.n_kept == 0:
         return df.where(positive), 0.0
-    per_hash = marked.where(~positive).groupBy(F.col("__hash").alias("us")).agg(F.count("*").alias("n"))
-    bound = _at_rank_wide(per_hash, plan.n_kept - 1)
-    below = marked.where(~positive & (F.col("__hash") < bound)).count()
-    at = marked.where(~positive & (F.col("__hash") == bound)).withColumn("__n", F.row_number().over(Window.partitionBy("__hash").orderBy(*keys))).where(F.col("__n") <= plan.n_kept - below)
-    kept = marked.where(positive | (F.col("__hash") < bound)).unionByName(at.drop("__n"))
+    bound, up_to = _hash_at_rank(marked.where(~positive).select(F.col("__hash").alias("v")), plan.n_kept - 1)
+    if up_to == plan.n_kept:  # no tie is cut
+        return marked.where(positive | (F.col("__hash") <= bound)).drop("__hash"), plan.sample_ratio
+    at = marked.where(~positive & (F.col("__hash") == bound)).withColumn("__n", F.row_number().over(Window.partitionBy("__hash").orderBy(*keys)))
+    tied = at.count()
+    kept = marked.where(positive | (F.col("__hash") < bound)).unionByName(at.where(F.col("__n") <= tied - (up_to - plan.n_kept)).drop("__n"))
     return kept.drop("__hash"), plan.sample_ratio
 
 
-def _at_rank_wide(per_key: DataFrame, rank: int) -> int:
-    """``_at_rank`` over the whole range of 64-bit hashes: by their top bits first."""
-    shifted = per_key.select(F.shiftright("us", 32).alias("us"), "n")
-    top = _at_rank(shifted.groupBy("us").agg(F.sum("n").alias("n")), rank)
-    before = shifted.where(F.col("us") < top).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return _at_rank(per_key.where(F.shiftright("us", 32) == top), rank - before)
+#: So many hashes of one slice are looked at one by one.
+LOOKED_AT = 100_000
+
+
+def _hash_at_rank(hashes: DataFrame, rank: int) -> tuple[int, int]:
+    """The hash of this rank and how many are up to it: one pass, or a few where there are billions, and one over a narrow slice."""
+    low, bits, before = 0, 63, 0
+    while True:
+        step = max(0, bits - 16)
+        inside = hashes.where(F.col("v").between(low, low + (1 << bits) - 1))
+        counts = inside.groupBy(F.shiftright("v", step).alias("slice")).agg(F.count("*").alias("n")).collect()
+        for r in sorted(counts):
+            if before + r.n > rank:
+                break
+            before += r.n
+        low, bits = r.slice << step, step
+        if not step:
+            return low, before + r.n
+        if r.n <= LOOKED_AT:
+            values = sorted(x[0] for x in hashes.where(F.col("v").between(low, low + (1 << bits) - 1)).collect())
+            value = values[rank - before]
+            return value, before + sum(v <= value for v in values)

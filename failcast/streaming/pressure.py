@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +34,13 @@ def node_pressure(long: DataFrame, *, metric: str = HEARTBEAT, every: str = "1 m
 def rolling_mean(long: DataFrame, *, seconds: int, late: str = LATE) -> DataFrame:
     """Each sample with the mean of its entity's and metric's samples in [t - seconds, t), in order of time within a batch.
 
-    State holds the samples of the last ``seconds`` before the newest and nothing else; it is
-    dropped when no sample came for that long in event time.
+    A row may come ``late`` behind the newest and look ``seconds`` back, so state holds the
+    samples of both lengths before the newest and nothing else; it is dropped when no sample
+    came for that long in event time.
     """
     keys = ["metric_name", *ENTITY]
     width = seconds * 1_000_000
+    behind = long.sparkSession.sql(f"SELECT unix_micros(TIMESTAMP '1970-01-01 00:00:00 UTC' + INTERVAL {late})").first()[0]
     rows = long.where(F.col("value").isNotNull() & ~F.isnan("value")).withWatermark(TIME, late)
     rows = rows.select(*keys, TIME, F.unix_micros(TIME).alias("us"), "value")
 
@@ -45,21 +48,22 @@ def rolling_mean(long: DataFrame, *, seconds: int, late: str = LATE) -> DataFram
         if state.hasTimedOut:
             state.remove()
             return
-        times, values = (list(x) for x in state.get) if state.exists else ([], [])
+        old_times, old_values = state.get if state.exists else ([], [])
         new = pd.concat(list(batches)).sort_values("us", kind="stable")
-        means = []
-        for us in new["us"]:
-            times_now = list(zip(times, values, strict=True)) + list(zip(new["us"], new["value"], strict=True))
-            inside = [v for t, v in times_now if us - width <= t < us]
-            means.append(sum(inside) / len(inside) if inside else None)
-        times, values = times + new["us"].tolist(), values + new["value"].tolist()
-        newest = max(times)
-        kept = [(t, v) for t, v in zip(times, values, strict=True) if t >= newest - width]
-        state.update(([t for t, _ in kept], [v for _, v in kept]))
-        expires = newest // 1000 + seconds * 1000
-        state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
+        us = new["us"].to_numpy(np.int64)
+        times = np.concatenate((np.array(old_times, np.int64), us))
+        values = np.concatenate((np.array(old_values, float), new["value"].to_numpy(float)))
+        order = np.argsort(times, kind="stable")
+        times, values = times[order], values[order]
+        sums = np.concatenate(([0], np.cumsum(values, dtype=np.longdouble)))
+        low, high = np.searchsorted(times, us - width), np.searchsorted(times, us)
+        means = ((sums[high] - sums[low]) / np.maximum(high - low, 1)).astype(float)
+        newest = int(times[-1])
+        kept = times >= newest - behind - width
+        state.update((times[kept].tolist(), values[kept].tolist()))
+        state.setTimeoutTimestamp(max((newest + behind + width) // 1000, state.getCurrentWatermarkMs() + 1))
         out = {k: [v] * len(new) for k, v in zip(keys, key, strict=True)}
-        yield pd.DataFrame(out | {"us": new["us"].to_numpy(), "value": new["value"].to_numpy(), "mean_before": pd.array(means, dtype="Float64")})
+        yield pd.DataFrame(out | {"us": us, "value": new["value"].to_numpy(), "mean_before": pd.arrays.FloatingArray(means, high <= low)})
 
     schema = "metric_name string, pod_uid string, container string, us long, value double, mean_before double"
     return rows.groupBy(*keys).applyInPandasWithState(step, schema, "times array<long>, vals array<double>", "append", GroupStateTimeout.EventTimeTimeout)

@@ -1,17 +1,18 @@
 """Remove strings that a document with a smaller id has too: distributed prefix doubling.
 
 A byte is removed if a string of ``length`` bytes that covers it also starts in a document
-with a smaller id. Positions are named by prefix doubling: the name of the 2k bytes at i
-comes from the names of the k bytes at i and at i + k, at growing offsets up to the threshold.
-
-Ranking every position of a corpus at every offset would move many times the corpus, so
-positions that turn out unique leave after the first round, which runs on a sparse sample
-that loses nothing: in every string of ``length`` bytes the ``GRAM``-byte prefix with the least
-name, leftmost of equals, is its anchor, and equal strings have equal anchors at equal places.
-Round one: Spark sorts the anchors' names with their positions; an anchor that only one
-document has drops out with all strings it stands for. Round two: the strings around the
-anchors that are left go to their anchor's partition, are sorted by name and document, get
-names at doubled offsets up to ``length``, and are compared with those of smaller documents.
+with a smaller id. Spark sorts positions by the names of 16, 32 and ``length`` bytes there, and
+what only one document has leaves after each round.
+
+Ranking every position of a corpus would move many times the corpus, so the first round
+runs on a sparse sample that loses nothing: in every string of ``length`` bytes the ``GRAM``-byte
+prefix with the least name, leftmost of equals, is its anchor, and equal strings have equal
+anchors at equal places. Round one sorts the anchors by their 16 bytes. Round two doubles them:
+every string around an anchor has the 16 bytes after it or those before it whole, so anchors
+are sorted by the 32 bytes to either side, each standing for the strings that hold these. In
+the last round the strings of what is left go where their 32 bytes lead, are sorted by
+document and compared at the full length. Names are hashes; two alike by chance
+only send a few more strings on, for in the last round the bytes themselves are compared.
 
 Copies of a whole text are settled first, by digest. Of equal anchors or equal strings that
 meet in one batch only one travels on, so a passage in a third of all documents sends a row
@@ -48,6 +49,8 @@ PIECE = 1_000_000
 HOT = 50_000
 #: So many hot names may be broadcast (8 bytes each); more are joined.
 BROADCAST_NAMES = 100_000
+#: Strings compared at once.
+COMPARED = 4_000
 MARKER = -1
 _PLACE = 24
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -94,7 +97,7 @@ def _pieces(offsets: np.ndarray, length: int) -> Iterator[list[tuple[int, int, i
 
 
 def anchors_of(data: np.ndarray, group: list[tuple[int, int, int]], length: int) -> tuple[np.ndarray, ...]:
-    """Of a group: name, row, first window and number of windows of every anchor."""
+    """Of a group: name, row, first window, number of windows and place of every anchor."""
     parts = [data[a:b] for _, a, b in group]
     size = np.array([len(p) for p in parts])
     begin = np.cumsum(size) - size
@@ -115,7 +118,7 @@ def anchors_of(data: np.ndarray, group: list[tuple[int, int, int]], length: int)
     part = which[first]
     rows = np.array([g[0] for g in group])[part]
     shift = np.array([g[1] for g in group])[part]
-    return (name[place[new]] >> np.uint64(16)).view(np.int64), rows, first - begin[part] + shift, n
+    return name[place[new]], rows, first - begin[part] + shift, n, place[new] - begin[part] + shift
 
 
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,34 +130,77 @@ def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 ANCHORS = "name long, uid long, at long, weight int"
 
 
-def anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(uid, data) -> anchors with their windows.
+def _leading(name: np.ndarray, uid: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """Rows of ``ANCHORS``. Of a name that several documents of a batch have, one row goes where it leads.
 
-    ``at`` is 64 times the first window plus the number of windows. Of an anchor that several
-    documents of a batch have, one row goes where its name leads, with their number as weight;
-    the others have weight 0 and go anywhere. Anchors of one document have weight 1. Names are
-    cut to 48 bits here; two that agree by chance only send a few more strings to round two.
+    That has their number as weight; the others have weight 0 and go anywhere. Names of one document
+    have weight 1. Names are cut to 48 bits here.
     """
+    name = (name >> np.uint64(16)).view(np.int64)
+    order = np.lexsort((uid, name))
+    name, uid, at = name[order], uid[order], at[order]
+    start, run = _groups(name)
+    stop = np.concatenate((start[1:], [len(name)])) - 1
+    known = (uid[start] != uid[stop])[run]
+    weight = np.where(known, 0, 1).astype(np.int32)
+    weight[start] = np.where(known[start], stop - start + 1, 1)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (name, uid, at, weight)], ["name", "uid", "at", "weight"])
+
+
+def anchors(texts: DataFrame, length: int) -> DataFrame:
+    """(uid, data) -> anchors with their windows: ``at`` holds the first, their number and how far the anchor is from the first."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = _binary(batch.column("data"))
             ids = batch.column("uid").to_numpy()
             for group in _pieces(offsets, length):
-                name, row, first, n = anchors_of(data, group, length)
-                uid, at = ids[row], (first - offsets[row]) * 64 + n
-                order = np.lexsort((uid, name))
-                name, uid, at = name[order], uid[order], at[order]
-                start, run = _groups(name)
-                stop = np.concatenate((start[1:], [len(name)])) - 1
-                known = (uid[start] != uid[stop])[run]
-                weight = np.where(known, 0, 1).astype(np.int32)
-                weight[start] = np.where(known[start], stop - start + 1, 1)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name, uid, at, weight)], ["name", "uid", "at", "weight"])
+                name, row, first, n, place = anchors_of(data, group, length)
+                yield _leading(name, ids[row], ((first - offsets[row]) * 64 + n) * 64 + place - first)
 
     return texts.select("uid", "data").mapInArrow(find, ANCHORS)
 
 
+def names_at(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """64-bit names of the 2 * ``GRAM`` bytes at some places."""
+    words = data[place[:, None] + np.arange(2 * GRAM)].view(np.uint64)
+    name = np.zeros(len(place), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(words.shape[1]):
+            name = (name ^ words[:, k]) * _M
+            name ^= name >> np.uint64(29)
+    return name
+
+
+def doubled(texts: DataFrame, length: int) -> DataFrame:
+    """(uid, data, at array) -> rows of ``ANCHORS`` for the 32 bytes from each anchor on and for those up to its end.
+
+    The first stand for the windows that hold them, the second for the rest; ``at`` holds the first window and their number.
+    """
+    reach = length - 2 * GRAM  # from a window's start to the last anchor whose next 16 bytes are inside
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = _binary(batch.column("data"))
+            ids, lists = batch.column("uid").to_numpy(), batch.column("at")
+            every = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
+            many = max(1, BATCH_BYTES // (4 * GRAM))
+            for low in range(0, len(every), many):
+                at, row = every[low : low + many], owner[low : low + many]
+                first, n = at >> 12, (at >> 6) & 63
+                place = first + (at & 63)
+                turn = np.clip(place - reach, first, first + n)  # the first window that holds the next 16 bytes
+                out = []
+                for side, begin, end, start in ((0, turn, first + n, place), (1, first, turn, place - GRAM)):
+                    some = np.flatnonzero(end > begin)
+                    name = names_at(data, offsets[row[some]] + start[some])
+                    out.append((name if not side else ~name, ids[row[some]], begin[some] * 64 + (end - begin)[some]))
+                yield _leading(*(np.concatenate(x) for x in zip(*out, strict=True)))
+
+    return texts.select("uid", "data", "at").mapInArrow(find, ANCHORS)
+
+
 def shared_anchors(found: DataFrame, parts: int) -> DataFrame:
     """(uid, at, name) of the anchors that at least two documents have; for a name with over ``HOT`` a row of uid ``MARKER`` too."""
     most = HOT
@@ -232,13 +278,24 @@ def strings(texts: DataFrame, length: int) -> DataFrame:
                 joined = data[np.repeat(f - begin, s) + np.arange(int(s.sum()))]
                 # The windows of a string: named alike if and only if the strings are alike.
                 whole = names(joined, length)
-                mark = whole[begin] ^ (whole[begin + s - length] * _M) ^ s.astype(np.uint64)
-                order = np.lexsort((keys[row[part]], mark))
+                mark = whole[begin] ^ (whole[begin + s - length] * _M)
+                order = np.lexsort((keys[row[part]], s, mark))
                 start, run = _groups(mark[order])
+                cut = np.flatnonzero(np.diff(s[order])) + 1  # names of different sizes may agree
+                start = np.union1d(start, cut)
+                run = np.searchsorted(start, np.arange(len(s)), "right") - 1
                 k = keys[row[part]][order]
                 again = k > k[start][run]
                 repeat = np.zeros(len(s), bool)
                 repeat[order] = again
+                holder = np.empty(len(s), np.int64)
+                holder[order] = order[start][run]
+                some = np.flatnonzero(repeat)
+                if len(some):  # strings of one name are of one size
+                    size_, at_ = s[some], np.cumsum(s[some]) - s[some]
+                    inner = np.arange(int(size_.sum())) - np.repeat(at_, size_)
+                    differ = joined[np.repeat(begin[some], size_) + inner] != joined[np.repeat(begin[holder[some]], size_) + inner]
+                    repeat[some[np.add.reduceat(differ, at_) > 0]] = False
                 where = np.concatenate((begin, [len(joined)])).astype(np.int32)
                 payload = pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer(where), pa.py_buffer(joined)])
                 payload = pa.compute.if_else(pa.array(repeat), pa.scalar(None, pa.binary()), payload)
@@ -248,49 +305,62 @@ def strings(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("uid", "key", "data", "at", "name", "hot").mapInArrow(cut, STRINGS)
 
 
-def repeated_spans(found: DataFrame, length: int, parts: int) -> DataFrame:
+def _least_holders(name: np.ndarray, key: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Of windows in order of key: the first with the same bytes. Names only say where to look."""
+    _, first, inverse = np.unique(name, return_index=True, return_inverse=True)
+    holder = first[inverse]
+    if (windows != windows[holder]).any():  # different bytes of one name
+        _, first, inverse = np.unique(np.ascontiguousarray(windows).view(f"V{windows.shape[1]}").ravel(), return_index=True, return_inverse=True)
+        holder = first[inverse]
+    return holder
+
+
+def repeated_spans(found: DataFrame, length: int, parts: int, name_of=names) -> DataFrame:
     """(uid, begin, end): byte ranges to remove; they may overlap."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: int | None = None  # the name whose strings may go on in the next batch, its windows and their least keys
-        seen, seen_key = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        last: int | None = None  # the name whose strings may go on in the next batch; of its different windows name, least key and bytes
+        seen, seen_key, seen_bytes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, length), np.uint8)
 
         def spans(uid: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(uid), pa.array(begin), pa.array(end)], ["uid", "begin", "end"])
 
-        for batch in batches:
-            lost = batch.column("data").is_null().to_numpy(zero_copy_only=False)
-            uid, at = batch.column("uid").to_numpy(), batch.column("at").to_numpy()
+        for whole in batches:
+            lost = whole.column("data").is_null().to_numpy(zero_copy_only=False)
+            uid, at = whole.column("uid").to_numpy(), whole.column("at").to_numpy()
             if lost.any():
                 yield spans(uid[lost], at[lost] // 64, at[lost] // 64 + at[lost] % 64 + length - 1)
-            batch = batch.filter(pa.array(~lost))
-            if not len(batch):
-                continue
-            data, offsets = _binary(batch.column("data"))
-            name, key, uid, at = (batch.column(c).to_numpy() for c in ("name", "key", "uid", "at"))
-            data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
-            n = at % 64
-            owner = np.repeat(np.arange(len(n)), n)
-            step = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-            own = names(data, length)[offsets[:-1][owner] + step]
-            if last is None or last != int(name[0]):
-                seen, seen_key = seen[:0], seen_key[:0]
-            every, every_key = np.concatenate((seen, own)), np.concatenate((seen_key, key[owner]))
-            # Rows come in order of key, so the first of equal names has the least key.
-            _, first, inverse = np.unique(every, return_index=True, return_inverse=True)
-            gone = (every_key[first][inverse] < every_key)[len(seen) :]
-            last = int(name[-1])
-            tail = np.concatenate((np.ones(len(seen), bool) if int(name[0]) == last else np.zeros(len(seen), bool), name[owner] == last))
-            stay = first[tail[first]]
-            seen, seen_key = every[stay], every_key[stay]
-            hit = np.flatnonzero(gone)
-            if len(hit):
-                new = np.concatenate(([True], (np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)))
-                a = np.flatnonzero(new)
-                b = np.concatenate((a[1:], [len(hit)])) - 1
-                o = owner[hit[a]]
-                start = at[o] // 64 + step[hit[a]]
-                yield spans(uid[o], start, start + (hit[b] - hit[a]) + length)
+            whole = whole.filter(pa.array(~lost))
+            for low in range(0, len(whole), COMPARED):
+                batch = whole.slice(low, COMPARED)
+                data, offsets = _binary(batch.column("data"))
+                name, key, uid, at = (batch.column(c).to_numpy() for c in ("name", "key", "uid", "at"))
+                n = at % 64
+                owner = np.repeat(np.arange(len(n)), n)
+                step = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+                place = offsets[:-1][owner] - offsets[0] + step
+                data = data[offsets[0] : offsets[-1]]
+                own = name_of(data, length)[place]
+                if last is None or last != int(name[0]):
+                    seen, seen_key, seen_bytes = seen[:0], seen_key[:0], seen_bytes[:0]
+                every, every_key = np.concatenate((seen, own)), np.concatenate((seen_key, key[owner]))
+                windows = np.concatenate((seen_bytes, data[place[:, None] + np.arange(length)]))
+                # Rows come in order of key, so the first of equal windows has the least key.
+                holder = _least_holders(every, every_key, windows)
+                gone = (every_key[holder] < every_key)[len(seen) :]
+                goes_on = int(name[0]) == last
+                last = int(name[-1])
+                tail = np.concatenate((np.full(len(seen), goes_on and int(name[0]) == last), name[owner] == last))
+                stay = np.flatnonzero(tail & (holder == np.arange(len(holder))))
+                seen, seen_key, seen_bytes = every[stay], every_key[stay], windows[stay]
+                hit = np.flatnonzero(gone)
+                if len(hit):
+                    new = np.concatenate(([True], (np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)))
+                    a = np.flatnonzero(new)
+                    b = np.concatenate((a[1:], [len(hit)])) - 1
+                    o = owner[hit[a]]
+                    start = at[o] // 64 + step[hit[a]]
+                    yield spans(uid[o], start, start + (hit[b] - hit[a]) + length)
 
     route = F.when(F.col("data").isNull(), F.xxhash64("uid", "at")).otherwise(F.col("name"))
     return found.repartition(parts, route).sortWithinPartitions("name", "key").mapInArrow(compare, "uid long, begin long, end long")
@@ -342,6 +412,14 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     own = texts.join(copies, texts["uid"] == F.col("copy"), "left_anti").where(F.octet_length("data") >= length)
     shared = written(shared_anchors(anchors(own, length), parts))
     free_shuffles(spark)
+    if length >= 3 * GRAM - 1:  # else a window may have neither the 16 bytes before its anchor nor those after it
+        lists = shared.where(F.col("uid") != MARKER).groupBy("uid").agg(F.collect_list("at").alias("at")).select(F.col("uid").alias("of"), "at")
+        again = written(shared_anchors(doubled(texts.select("uid", "data").join(lists, F.col("uid") == F.col("of")), length), parts))
+        free_shuffles(spark)
+        forget(shared)
+        shared = again
+    else:
+        shared = shared.withColumn("at", F.shiftright("at", 6))
     gathered = marked_hot(shared).groupBy("uid").agg(F.collect_list(F.struct("at", "name", "hot")).alias("x"))
     listed = gathered.select(F.col("uid").alias("of"), F.col("x.at").alias("at"), F.col("x.name").alias("name"), F.col("x.hot").alias("hot"))
     joined = texts.select("uid", "key", "data").join(listed, F.col("uid") == F.col("of"))

@@ -84,6 +84,24 @@ def test_names_tell_strings_apart():
         assert all(len(v) == 1 for v in by.values()) and len({min(v) for v in by.values()}) == len(by)
 
 
+def test_different_bytes_of_one_name(spark):
+    """Bytes decide where names agree by chance."""
+    strings = [f"{i % 4} and fifty more bytes so that this is long enough".encode() for i in range(9)]
+    rows = [(1, i, i, 1, x[:50]) for i, x in enumerate(strings)]
+    found = spark.createDataFrame(rows, "name long, key long, uid long, at long, data binary")
+    weak = lambda data, length: np.zeros(len(data), np.uint64)
+    got = sorted(r.uid for r in sd.repeated_spans(found, 50, 2, name_of=weak).collect())
+    assert got == [4, 5, 6, 7, 8]
+
+
+def test_lengths_without_a_doubled_round(spark, docs_of):
+    texts = corpus()[:30]
+    for length in (20, 46, 47, 63):
+        found = sd.remove_repeats(docs_of(texts), length=length).collect()
+        got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in found), key=str)
+        assert got == brute(list(enumerate(texts)), length)
+
+
 def test_empty_table(spark, docs_of):
     assert sd.remove_repeats(docs_of([])).count() == 0
 
@@ -92,6 +110,6 @@ def test_hot_names_are_marked_once(spark, docs_of, monkeypatch):
     monkeypatch.setattr(sd, "HOT", 9)
     texts = spark.createDataFrame([(i, f"{i} the same passage of over fifty bytes that every document has {i}".encode()) for i in range(40)], "uid long, data binary").repartition(5)
     shared = sd.shared_anchors(sd.anchors(texts, 50), 3)
-    marks = [r.name for r in shared.where("uid = -1").collect()]
+    marks = [r.name for r in shared.where(f"uid = {sd.MARKER}").collect()]
     assert marks and len(marks) == len(set(marks))
     assert {r.hot for r in sd.marked_hot(shared).where(f"name = {marks[0]}").collect()} == {True}

@@ -36,7 +36,7 @@ from failcast.llm.common import documents, free_shuffles, temporary_table, whole
 
 FRAME = 192
 LEAST, MOST, CUT_BITS = 1024, 16384, 12
-LEVEL = 12
+LEVEL = 13
 DICTIONARY, SAMPLE = 112 * 1024, 4000
 RATE = 8000
 HOT_REFS = 20_000

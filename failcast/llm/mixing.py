@@ -6,9 +6,10 @@ probability for the cube method. The flight phase takes three undecided document
 time and moves their probabilities along the null space of the two balancing
 constraints (documents and words), until one of the three is decided; both totals stay
 exactly what they were. Two undecided documents are left of each block, and blocks'
-leftovers meet again in fewer blocks. Of a source's last block, whatever other sources have left, ``LANDED`` documents, spread
-over its sizes, sit out the flight; they and the two that are left are landed together, on
-the choice nearest to the target.
+leftovers meet again in fewer blocks. Of a source with several blocks ``LANDED`` documents,
+chosen by hash, wait for its last block, whatever other sources have left. Of that block as many,
+spread over its sizes, sit out the flight; they and the two that are left are landed together,
+on the choice nearest to the target.
 
 Blocks hold at most ``BLOCK`` documents, whichever source they are of. Which documents are
 taken follows from ids, sizes and the seed alone, so reruns and retries agree.
@@ -27,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from failcast.deploy import ship
 from failcast.llm.common import documents, n_words, rank_of, small_side, whole_text, written
 
 WEIGHTS = (5, 2, 1)
@@ -118,22 +120,30 @@ def fly_and_land(p: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarra
 
 def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int = BLOCK) -> DataFrame:
     """(uid, group..., prob, size) -> (uid, chosen int): a sample balanced on number and size within every group."""
+    ship(units.sparkSession)
     keys = [*group, "block"]
     units = units.withColumn("prob", F.col("prob").cast("double")).withColumn("size", F.col("size").cast("double"))
-    now = units.where(f"prob > {NEAR} and prob < {1 - NEAR}").select("uid", *group, "prob", "size")
-    done = [units.where(f"prob <= {NEAR} or prob >= {1 - NEAR}").select("uid", F.round("prob").alias("prob"))]
+    open_ = f"prob > {NEAR} and prob < {1 - NEAR}"
+    now = units.where(open_).select("uid", *group, "prob", "size")
+    done = [units.where(f"not ({open_})").select("uid", F.round("prob").alias("prob"))]
     schema = now.schema
     turn = 0
+    waiting = None
     while True:
-        counts = now.groupBy(*group).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
-        counts = written(counts)
+        counts = written(now.groupBy(*group).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")))
         last = (counts.agg(F.max("blocks")).first()[0] or 1) == 1
         salt = F.lit(f"{seed}.{turn}")
         same = F.lit(True)
         for g in group:
             same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
         dealt = now.join(small_side(counts.select(*[F.col(g).alias(f"__{g}") for g in group], "blocks")), same).drop(*[f"__{g}" for g in group])
+        if waiting is None:
+            # One document of each stratum of hashes: ``LANDED`` at most for each group.
+            stratum = F.pmod(F.xxhash64("uid", F.lit("stratum")), F.lit(LANDED))
+            waiting = written(dealt.where("blocks > 1").groupBy(*group, stratum.alias("stratum")).agg(F.min("uid").alias("__waits")).select("__waits"))
         dealt = dealt.withColumn("block", F.pmod(F.xxhash64(salt, "uid"), F.col("blocks")).cast("int")).withColumn("draw", F.pmod(F.xxhash64("uid", salt), F.lit(1 << 30)) / float(1 << 30))
+        held = dealt.where("blocks > 1").join(small_side(waiting), F.col("uid") == F.col("__waits")).select("uid", *group, "prob", "size")
+        flying = dealt.join(small_side(waiting), (F.col("uid") == F.col("__waits")) & (F.col("blocks") > 1), "left_anti")
 
         def fly(pdf: pd.DataFrame) -> pd.DataFrame:
             landing = pdf["blocks"].iloc[0] == 1  # of this group; others may have more
@@ -142,11 +152,11 @@ def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int
             pdf["prob"] = (fly_and_land if landing else flight)(p, size, pdf["draw"].to_numpy(float))
             return pdf[[f.name for f in schema]]
 
-        flown = written(dealt.groupBy(*keys).applyInPandas(fly, schema))
-        done.append(flown.where(f"prob <= {NEAR} or prob >= {1 - NEAR}").select("uid", F.round("prob").alias("prob")))
+        flown = written(flying.groupBy(*keys).applyInPandas(fly, schema))
+        done.append(flown.where(f"not ({open_})").select("uid", F.round("prob").alias("prob")))
         if last:
             break
-        now = flown.where(f"prob > {NEAR} and prob < {1 - NEAR}")
+        now = written(flown.where(open_).unionByName(held))
         turn += 1
     out = done[0]
     for more in done[1:]:
@@ -177,14 +187,22 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
 
 
 def repeat_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """``docs`` as the mix takes them: rows left out, or repeated as often as they are taken."""
+    """``docs`` as the mix takes them: rows left out, or repeated as often as they are taken.
+
+    Rows alike in id, text and source share one line of how many of them are taken how often, so rows move once.
+    """
     found = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    times = found.select(F.col("uid").alias("__taken"), F.col("copies").alias("__copies")).where("__copies > 0")
-    order = Window.partitionBy(id_col, "__hash").orderBy(F.lit(0))
-    marked = docs.withColumn("__hash", F.xxhash64(whole_text(text_col), F.col(source_col)))
-    marked = marked.withColumn("__uid", uid(F.col(id_col), F.col("__hash"), F.row_number().over(order)))
-    taken = marked.join(times, F.col("__uid") == F.col("__taken")).withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return taken.select(*docs.columns)
+    keys = ["__id", "__hash"]
+    found = found.select(*[F.regexp_extract("uid", "^(.*):([0-9A-F]+):[0-9]+$", i + 1).alias(k) for i, k in enumerate(keys)], "copies")
+    per = found.groupBy(*keys, "copies").agg(F.count("*").alias("n"))
+    shares = per.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("copies", "n")), asc=False).alias("__shares"))
+    marked = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("string"), F.lit("-"))).withColumn("__hash", F.hex(F.xxhash64(whole_text(text_col), F.col(source_col))))
+    joined = marked.join(shares.where(F.col("__shares")[0]["copies"] > 0), keys)
+    # The first n of them by the first line, the next by the second: at most one line for each number of copies.
+    number = F.when(F.size("__shares") == 1, F.lit(1)).otherwise(F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+    turn = F.aggregate("__shares", F.struct(F.lit(0).cast("long").alias("to"), F.lit(-1).cast("long").alias("copies")), lambda a, x: F.struct((a["to"] + x["n"]).alias("to"), F.when((a["copies"] < 0) & (F.col("__number") <= a["to"] + x["n"]), x["copies"]).otherwise(a["copies"]).alias("copies")))
+    taken = joined.withColumn("__number", number).withColumn("__copies", turn["copies"]).where("__copies > 0")
+    return taken.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,4 +80,29 @@ def test_small_source_beside_one_of_many_blocks(spark):
     assert len(chosen) == len(rows)
     for g in range(20):
         words = [(chosen[u] * size, 0.37 * size) for u, of, _, size in rows if of == g]
-        assert abs(sum(x for x, _ in words) / sum(y for _, y in words) - 1) < 0.005
+        assert abs(sum(x for x, _ in words) / sum(y for _, y in words) - 1) < 0.001
+
+
+def test_few_blocks_land_on_as_many(spark):
+    """A source of three blocks lands on sixteen documents, not on the six that its flights leave."""
+    rng = np.random.default_rng(4)
+    rows = [(f"{g}.{i}", g, 0.37, float(round(10 ** rng.uniform(1, 4)))) for g in range(8) for i in range(70)]
+    chosen = {r.uid: r.chosen for r in mixing.cube_sample(spark.createDataFrame(rows, "uid string, g int, prob double, size double"), ["g"], block=25).collect()}
+    assert len(chosen) == len(rows)
+    for g in range(8):
+        words = [(chosen[u] * size, 0.37 * size) for u, of, _, size in rows if of == g]
+        assert abs(sum(x for x, _ in words) / sum(y for _, y in words) - 1) < 0.001
+
+
+def test_repeated_documents_are_what_the_mix_takes(spark, docs_of):
+    texts = [f"{i % 40} " * (1 + i % 7) for i in range(120)] + ["same words here"] * 9
+    ids = [*range(110), *[3] * 10, *[None] * 9]
+    sources = [["a", "b", None][i % 3] for i in range(120)] + ["a"] * 9
+    docs = docs_of(texts, ids=ids, sources=sources)
+    taken = {}
+    for r in mixing.mix(docs).collect():
+        taken[r.doc_id, r.source] = taken.get((r.doc_id, r.source), 0) + r.copies * r.size
+    got = {}
+    for r in mixing.repeat_documents(docs).collect():
+        got[r.doc_id, r.source] = got.get((r.doc_id, r.source), 0) + len(r.text.split())
+    assert {k: v for k, v in taken.items() if v} == got

@@ -9,10 +9,12 @@ agrees with one of the family's templates: the weight of the word pairs they sha
 smaller of both weights, is at least ``AGREE``. A pair weighs less the more families' templates
 have it. A family of one version needs that version in the paragraph.
 
-Grams of ``ORDINARY`` words alone are no features, but for ``DENYING`` words, which can only speak for the unknown class. So a paragraph without any
-other word of the vocabulary (``marks``) is unknown whatever else it says, and only paragraphs with such a word
-are scored: the SQL counterpart scores all of them. Scanning is DataFrame functions alone; the
-weights, whose number follows from the templates and examples, are a small literal table.
+Only grams of the templates can speak for a family; what counter-examples add, and ``DENYING``
+words, can only speak for the unknown class. Grams of ``ORDINARY`` words alone are no features,
+and ``EVERYDAY`` words (some are words of other languages) only in pairs. So a paragraph without any word or pair of
+``marks`` is unknown whatever else it says, and only paragraphs with one are scored: the SQL
+counterpart scores all of them. Scanning is DataFrame functions alone; the weights, whose
+number follows from the templates and examples, are a small literal table.
 
 Defined cases: a null or empty text is one empty paragraph and has no licence; rows that
 repeat an id each give a row, with the findings in all of that id's different paragraphs;
@@ -41,6 +43,11 @@ ORDINARY = frozenset(
     "a all also an and any are as at be been but by can do for from had has have he her his if in into is it its may no not of off on one or other our out she should so some such than that the their them then there these they this those to under up use used was we were what when where which who will with would you your".split()
 )
 
+# Words of the templates that everyday texts have too.
+EVERYDAY = frozenset(
+    "associated author binary charge compliance conditions confidential copy deal details distributed document documentation example except extent file files following form forms found free general governed granted hereby identifier law library mit modification modify number obtaining part permission permitted person possible prior program project provided public publication published publisher received related restriction rights see software source style subject terms text version work written 1.0 2 2.0 2.1 2024 3 4.0 v".split()
+)
+
 # Ordinary words that are features all the same; they speak for the unknown class alone.
 DENYING = ("cannot", "neither", "never", "no", "nor", "not", "without")
 
@@ -236,7 +243,8 @@ def trained() -> tuple[list[str], dict[str, list[float]], list[float]]:
     classes = [*TEMPLATES, UNKNOWN]
     learn, held = _examples(rng, 12, False), _examples(rng, 4, True)
     texts = [t for texts in TEMPLATES.values() for t in texts] + [*COUNTER_EXAMPLES, *counter_statements(False)]
-    vocabulary = sorted(g for g in set().union(*(grams(tokens(t)) for t in texts)) if not (ORDINARY | set(DENYING)).issuperset(g.split()) or g in DENYING)
+    plain = ORDINARY | set(DENYING)
+    vocabulary = sorted(g for g in set().union(*(grams(tokens(t)) for t in texts)) if g in DENYING or g not in EVERYDAY and not plain.issuperset(g.split()))
     place = {g: i for i, g in enumerate(vocabulary)}
 
     def matrix(rows: list[tuple[list[str], str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -252,15 +260,15 @@ def trained() -> tuple[list[str], dict[str, list[float]], list[float]]:
     x, y = matrix(learn)
     w, moved = np.zeros((x.shape[1], len(classes))), np.zeros((x.shape[1], len(classes)))
     one = np.eye(len(classes))[y]
-    denying = [place[g] for g in DENYING if g in place]
+    of_templates = set().union(*(grams(tokens(t)) for own in TEMPLATES.values() for t in own))
+    against = [i for g, i in place.items() if g in DENYING or g not in of_templates]
     for _ in range(200):
         z = x @ w
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         moved = 0.9 * moved - 1.5 * (x.T @ (p - one) / len(x) * 4 + 1e-4 * w)
         w += moved
-        # A denial may only speak for the unknown class.
-        w[denying, :-1] = np.minimum(w[denying, :-1], w[denying, -1:])
+        w[against, :-1] = np.minimum(w[against, :-1], w[against, -1:])
     hx, hy = matrix(held)
 
     def loss(t: float) -> float:
@@ -297,17 +305,33 @@ def _templates(spark: SparkSession) -> DataFrame:
 
 
 @lru_cache(maxsize=1)
-def marks() -> list[str]:
-    """The words of the features that are not ordinary: every feature that can speak for a family has at least one."""
-    return sorted({w for g in trained()[1] for w in g.split()} - ORDINARY - set(DENYING))
+def marks() -> tuple[list[str], list[str]]:
+    """Words and pairs that weigh more for some family than for the unknown class: no other can lift a paragraph out of it."""
+    found = [g for g, w in trained()[1].items() if max(w[:-1]) > w[-1]]
+    return [g for g in found if " " not in g], [g for g in found if " " in g]
 
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(text), F.lit(TOKEN), F.lit(0))
 
 
+def pairs_of(words: Column) -> Column:
+    """The different pairs of neighbours in an array of words."""
+    at = F.when(F.size(words) > 1, F.sequence(F.lit(1), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(at, lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1))))
+
+
 def _marked(text: Column) -> Column:
-    return F.arrays_overlap(words_of(text), F.array(*[F.lit(w) for w in marks()]))
+    singles, pairs = marks()
+    literal = lambda x: F.array(*[F.lit(g) for g in x])
+    # Pairs are made only where a line has the first word of one.
+    heads = sorted({p.split()[0] for p in pairs})
+
+    def any_of(words: Column) -> Column:
+        return F.arrays_overlap(words, literal(singles)) | (F.arrays_overlap(words, literal(heads)) & F.arrays_overlap(pairs_of(words), literal(pairs)))
+
+    # As an element of an array the words are made once.
+    return F.exists(F.array(words_of(text)), any_of)
 
 
 def candidate_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -322,11 +346,9 @@ def classify(paragraphs: DataFrame) -> DataFrame:
     classes, _, start = trained()
     keys = [c for c in paragraphs.columns if c != "line"]
     texts = paragraphs.select("line").distinct()  # many documents share a statement
-    words = texts.withColumn("words", words_of(F.col("line")))
-    at = F.when(F.size("words") > 1, F.sequence(F.lit(1), F.size("words") - 1)).otherwise(F.array().cast("array<int>"))
-    pairs = words.withColumn("pairs", F.array_distinct(F.transform(at, lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)))))
-    pairs = pairs.withColumn("pairs", F.when(F.size("pairs") > 0, F.col("pairs")).otherwise(F.col("words"))).withColumn("all", F.array_distinct(F.array_union("words", "pairs")))
-    pairs = written(pairs.select("line", "words", "pairs", "all"))
+    words = written(texts.withColumn("words", words_of(F.col("line"))))
+    pairs = words.withColumn("pairs", pairs_of(F.col("words")))
+    pairs = pairs.withColumn("pairs", F.when(F.size("pairs") > 0, F.col("pairs")).otherwise(F.array_distinct("words"))).withColumn("all", F.array_distinct(F.array_union("words", "pairs")))
     n = len(classes)
     hits = pairs.select("line", F.size("all").alias("n_grams"), F.explode("all").alias("gram")).join(F.broadcast(_weights(spark)), "gram")
     sums = hits.groupBy("line", "n_grams").agg(*[F.sum(F.element_at("w", j + 1)).alias(f"s{j}") for j in range(n)])

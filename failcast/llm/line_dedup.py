@@ -28,7 +28,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from failcast.llm.common import WHITE_SPACE, ascii_lower, whole_text, written
+from failcast.deploy import ship
+from failcast.llm.common import WHITE_SPACE, ascii_lower, small_side, whole_text, written
 
 SLOTS = 4
 MAX_KICKS = 500
@@ -39,6 +40,8 @@ PROBE_ROWS = 100_000
 BROADCAST_SHARDS = 100_000
 #: Of all filters together.
 BROADCAST_BYTES = 64 << 20
+#: Documents whose lost keys (16 bytes each) may be broadcast.
+BROADCAST_DOCS = 200_000
 #: Rows without an id are dealt by their text to so many groups.
 NULL_GROUPS = 4096
 
@@ -279,7 +282,9 @@ def _without(docs: DataFrame, gone: DataFrame, *, id_col: str, text_col: str, mi
 
     kept = F.when(F.col("__gone").isNull(), lines).otherwise(F.filter(lines, stays))
     same = F.col(id_col).eqNullSafe(F.col("__gone_id")) & (F.col("__part") == F.col("__gone_part"))
-    joined = docs.withColumn("__part", _group(F.col(id_col), whole_text(text_col))).join(gone, same, "left")
+    # Texts move only if the documents that lose lines are many.
+    side = small_side(written(gone), BROADCAST_DOCS)
+    joined = docs.withColumn("__part", _group(F.col(id_col), whole_text(text_col))).join(side, same, "left")
     return (
         joined.withColumn("__kept", kept)
         .withColumn("n_lines", F.size(lines).cast("long"))
@@ -291,6 +296,7 @@ def _without(docs: DataFrame, gone: DataFrame, *, id_col: str, text_col: str, mi
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """``docs`` with its text less the repeated lines, and ``n_lines``, ``n_dropped`` long (in place of columns so named)."""
+    ship(docs.sparkSession)
     state = written(postings(docs, id_col=id_col, text_col=text_col, min_chars=min_chars))
     return _without(docs, dropped_lines(state, min_docs=min_docs), id_col=id_col, text_col=text_col, min_chars=min_chars)
 

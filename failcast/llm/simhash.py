@@ -20,13 +20,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from failcast.llm.common import dealt_by, documents, written
+from failcast.deploy import ship
+from failcast.llm.common import dealt_by, documents, small_side, written
 from failcast.llm.components import components
 
 TILE = 1 << 15
 #: Bit counts of a half are grouped so wide.
 WIDTH = 4
 SEED = 42
+#: Ids (8 bytes each) that may be broadcast to drop their documents.
+ANTI_ROWS = 1_000_000
 
 
 def fingerprint_of(text: str | None, words_in_shingle: int = 4) -> int:
@@ -157,6 +160,7 @@ def links(prints: DataFrame, *, radius: int = 4, tile: int = TILE) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 4, radius: int = 4) -> DataFrame:
     """(doc_id, fp long, component_id): one row for each row of ``docs``."""
+    ship(docs.sparkSession)
     made = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), words_in_shingle).alias("fp")))
     distinct = made.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = components(links(distinct.select("fp"), radius=radius))
@@ -166,11 +170,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return made.join(of_print, F.col("fp") == F.col("of"), "left").select("doc_id", "fp", "component_id")
 
 
+def only_first(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without those that ``found`` (doc_id, component_id) has in another's group; texts move only if these are many."""
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    copies = written(found.groupBy("doc_id").agg(F.bool_or(own).alias("stays")).where("not stays").select(F.col("doc_id").alias("__copy")))
+    return docs.join(small_side(copies, ANTI_ROWS), F.col(id_col).eqNullSafe(F.col("__copy")), "left_anti")
+
+
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one document of each group: the smallest id (rows that repeat an id stay together)."""
-    found = near_duplicates(docs, id_col=id_col, **options)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stay")).distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("__stay")), "left_semi")
+    return only_first(docs, near_duplicates(docs, id_col=id_col, **options), id_col)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

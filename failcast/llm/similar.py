@@ -24,9 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from failcast.deploy import ship
 from failcast.llm.common import dealt_by, small_side, written
 from failcast.llm.components import components
-from failcast.llm.simhash import SEED, Joined
+from failcast.llm.simhash import SEED, Joined, only_first
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -136,6 +137,7 @@ def _candidates(nodes: DataFrame) -> DataFrame:
 
 def similar_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, component_id): one row for each row of ``docs``; components of pairs at least ``similarity`` alike."""
+    ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
 
     @F.pandas_udf("struct<node long, size int, " + ", ".join(f"{f} long" for f in PRINTS) + ">")
@@ -181,6 +183,4 @@ def similar_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 def keep_one_similar(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one document of each group: the smallest id (rows that repeat an id stay together)."""
-    found = similar_copies(docs, id_col=id_col, **options)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stay")).distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("__stay")), "left_semi")
+    return only_first(docs, similar_copies(docs, id_col=id_col, **options), id_col)

@@ -137,7 +137,7 @@ def test_conversations(spark):
             size = len(ids_of(text)) + 1
             want[conv] += [role == "assistant"] * size
     df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, start string").repartition(5)
-    limits = {"limit": 128, "segments": 6, "loss": 80}
+    limits = {"limit": 128, "segments": 6, "loss": 40}
     got = packing.pack_conversations(df, **limits).collect()
     by_conv, by_seq = defaultdict(list), defaultdict(list)
     for r in got:
@@ -155,6 +155,6 @@ def test_conversations(spark):
             at += r.length
         assert at == len(want[conv])
     sums = [(sum(r.length for r in x), sum(r.n_segments for r in x), sum(r.loss_tokens for r in x)) for x in by_seq.values()]
-    assert all(a <= 128 and b <= 6 and c <= 80 for a, b, c in sums)
-    assert any(b == 6 and a < 128 for a, b, _ in sums) and any(c > 70 and a < 128 for a, _, c in sums)
+    assert all(a <= 128 and b <= 6 and c <= 40 for a, b, c in sums)
+    assert any(b == 6 and a < 128 for a, b, _ in sums) and any(c == 40 and a < 128 for a, _, c in sums)
     assert packing.pack_conversations(df.limit(0)).count() == 0

@@ -37,7 +37,7 @@ class Calibrator:
         if method == "isotonic":
             model = IsotonicRegression(featuresCol="p", labelCol="y").fit(rows)
         else:
-            model = LogisticRegression(featuresCol="v", labelCol="y", regParam=0.0, maxIter=200).fit(VectorAssembler(inputCols=["p"], outputCol="v").transform(rows))
+            model = LogisticRegression(featuresCol="v", labelCol="y", regParam=0.0, maxIter=500, tol=1e-12).fit(VectorAssembler(inputCols=["p"], outputCol="v").transform(rows))
         return cls(method, model, score)
 
     def transform(self, df: DataFrame, output: str = "calibrated") -> DataFrame:

@@ -1,7 +1,10 @@
 """Gradient-boosted trees: search, scores, and exact per-row explanations.
 
 The search draws parameter sets from a seeded generator and scores each by average precision
-on validation rows, after the prior correction.
+on validation rows, after the prior correction. Every draw is first fitted with a share of
+the trees; the best of them go on to all trees, which stop early once validation rows no longer gain.
+The best one's number of trees is kept, and a model of so many trees is fitted again on
+training and validation rows together if asked.
 
 Explanations are Shapley values of the trees' log-odds for the distribution of training rows
 that the trees hold (node counts). For each tree a leaf's value is shared over the distinct
@@ -23,6 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from failcast.deploy import ship
 from failcast.functions.scalars import prior_corrected
 from failcast.operators.features import feature_columns
 from failcast.operators.metrics import headline_by
@@ -64,6 +68,7 @@ class Trained:
     params: dict
     sample_ratio: float
     pr_auc: float
+    trees: int = 0
     trials: list[dict] = field(default_factory=list)
 
     def score(self, df: DataFrame, output: str = "score", correct: bool = True) -> DataFrame:
@@ -80,29 +85,55 @@ def drawn_params(rng: random.Random) -> dict:
     return {"maxDepth": rng.choice([3, 4, 5, 6]), "stepSize": 10 ** rng.uniform(-1.5, -0.3), "subsamplingRate": rng.uniform(0.6, 1.0), "minInstancesPerNode": rng.choice([1, 5, 20, 50]), "maxBins": rng.choice([32, 64]), "featureSubsetStrategy": rng.choice(["all", "0.7"])}
 
 
-def train(train_df: DataFrame, val_df: DataFrame, *, sample_ratio: float = 1.0, trials: int = 50, max_trees: int = 100, label: str = LABEL, seed: int = 42) -> Trained:
-    """Search for the parameters of the best average precision on validation rows."""
+#: Of the draws that go on after the first rung, and of the trees that this has.
+KEPT_SHARE, FIRST_SHARE = 0.25, 0.125
+#: Less gain than this share on validation rows ends a fit.
+LEAST_GAIN = 0.001
+
+
+def train(train_df: DataFrame, val_df: DataFrame, *, sample_ratio: float = 1.0, trials: int = 50, max_trees: int = 100, label: str = LABEL, seed: int = 42, refit: bool = False) -> Trained:
+    """Search for the parameters of the best average precision on validation rows.
+
+    With over four trials the first rung prunes: only the best quarter is fitted in full, with early
+    stopping. ``trials`` of the result say for each draw its scores, its number of trees and whether it was pruned.
+    """
+    if trials < 1:
+        raise ValueError("trials must be at least 1")
     names = same_features(train_df, val_df)
     rng = random.Random(seed)
-    learn = assembled(train_df, names).select("__features", F.col(label).cast("double").alias("label")).cache()
-    check = assembled(val_df, names).select("__features", F.col(label).cast("int").alias(label)).cache()
-    best: Trained | None = None
-    log: list[dict] = []
+    learn = assembled(train_df, names).select("__features", F.col(label).cast("double").alias("label"), F.lit(False).alias("__check")).cache()
+    check = assembled(val_df, names).select("__features", F.col(label).cast("double").alias("label"), F.lit(True).alias("__check")).cache()
+    both = learn.unionByName(check)
+
+    def fit(params: dict, trees: int, rows: DataFrame, stops: bool) -> GBTClassificationModel:
+        made = GBTClassifier(featuresCol="__features", labelCol="label", maxIter=trees, seed=seed, **params)
+        return (made.setValidationIndicatorCol("__check").setValidationTol(LEAST_GAIN) if stops else made).fit(rows)
+
+    def judged(model: GBTClassificationModel) -> float:
+        scored = model.transform(check).select(F.col("label").cast("int").alias(label), prior_corrected(vector_to_array("probability")[1], sample_ratio).alias("score"))
+        return float(headline_by(scored, label=label).first()["pr_auc"] or 0.0)
+
     try:
-        for _ in range(trials):
-            params = drawn_params(rng)
-            model = GBTClassifier(featuresCol="__features", labelCol="label", maxIter=max_trees, seed=seed, **params).fit(learn)
-            scored = model.transform(check).withColumn("score", prior_corrected(vector_to_array("probability")[1], sample_ratio))
-            pr_auc = float(headline_by(scored, label=label).first()["pr_auc"] or 0.0)
-            log.append(params | {"pr_auc": pr_auc})
+        log = [drawn_params(rng) for _ in range(trials)]
+        going = list(range(trials))
+        if trials > 1 / KEPT_SHARE:
+            for i in going:
+                log[i] = log[i] | {"first_pr_auc": judged(fit(log[i], max(1, int(max_trees * FIRST_SHARE)), learn, False))}
+            going = sorted(going, key=lambda i: -log[i]["first_pr_auc"])[: max(1, int(trials * KEPT_SHARE))]
+        best: Trained | None = None
+        for i in sorted(going):
+            params = {k: v for k, v in log[i].items() if k != "first_pr_auc"}
+            model = fit(params, max_trees, both, True)
+            pr_auc = judged(model)
+            log[i] = log[i] | {"pr_auc": pr_auc, "trees": model.getNumTrees}
             if best is None or pr_auc > best.pr_auc:
-                best = Trained(model, names, params, sample_ratio, pr_auc)
+                best = Trained(model, names, params, sample_ratio, pr_auc, model.getNumTrees)
+        if refit:
+            best.model = fit(best.params, best.trees, both, False)
     finally:
         learn.unpersist()
         check.unpersist()
-    if best is None:
-        raise ValueError("trials must be at least 1")
-    best.trials = log
+    best.trials = [x | {"pruned": "pr_auc" not in x} for x in log]
     return best
 
 
@@ -185,8 +216,18 @@ def top_contributors(phi: np.ndarray, logodds: np.ndarray, names: list[str], k:
 
 def explained(df: DataFrame, model: GBTClassificationModel, names: list[str], k: int = 3) -> DataFrame:
     """``df`` with prediction, log-odds, base value and the top contributors of each row."""
-    trees = exported(model)
+    return explained_by(df, exported(model), names, k)
+
+
+def as_trees(nodes: list[dict]) -> list[dict]:
+    """Trees from plain lists, in the form of ``exported``."""
+    return [{k: np.array(v) for k, v in tree.items()} for tree in nodes]
+
+
+def explained_by(df: DataFrame, trees: list[dict], names: list[str], k: int = 3) -> DataFrame:
+    """``explained`` for trees that were exported before."""
     spark = df.sparkSession
+    ship(spark)
     held = spark.sparkContext.broadcast(trees)  # as large as the model, whatever the data
     vector = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in names])
 

@@ -106,8 +106,8 @@ def train(train_df: DataFrame, val_df: DataFrame, *, sample_ratio: float = 1.0,
     both = learn.unionByName(check)
 
     def fit(params: dict, trees: int, rows: DataFrame, stops: bool) -> GBTClassificationModel:
-        made = GBTClassifier(featuresCol="__features", labelCol="label", maxIter=trees, seed=seed, **params)
-        return (made.setValidationIndicatorCol("__check").setValidationTol(LEAST_GAIN) if stops else made).fit(rows)
+        stop = {"validationIndicatorCol": "__check", "validationTol": LEAST_GAIN} if stops else {}
+        return GBTClassifier(featuresCol="__features", labelCol="label", maxIter=trees, seed=seed, **params, **stop).fit(rows)
 
     def judged(model: GBTClassificationModel) -> float:
         scored = model.transform(check).select(F.col("label").cast("int").alias(label), prior_corrected(vector_to_array("probability")[1], sample_ratio).alias("score"))

@@ -40,11 +40,8 @@ ALL_METRICS = (
 METRIC_COLUMNS = tuple(m.column for m in ALL_METRICS)
 
 # Columns of the header-less trace tables, in file order.
-MACHINE_META_COLS = ("machine_id", "time_stamp", "failure_domain_1", "failure_domain_2", "cpu_num", "mem_size", "status")
-MACHINE_USAGE_COLS = ("machine_id", "time_stamp", "cpu_util_percent", "mem_util_percent", "mem_gps", "mkpi", "net_in", "net_out", "disk_io_percent")
 CONTAINER_META_COLS = ("container_id", "machine_id", "time_stamp", "app_du", "status", "cpu_request", "cpu_limit", "mem_size")
 CONTAINER_USAGE_COLS = ("container_id", "machine_id", "time_stamp", "cpu_util_percent", "mem_util_percent", "cpi", "mem_gps", "mpki", "net_in", "net_out", "disk_io_percent")
-BATCH_TASK_COLS = ("task_name", "instance_num", "job_name", "task_type", "status", "start_time", "end_time", "plan_cpu", "plan_mem")
 
 # Trace columns and the metric names they become.
 USAGE_METRICS = {

@@ -44,9 +44,9 @@ def parsed_time(text: str) -> datetime:
 def chunks(start: datetime, end: datetime, width: timedelta) -> list[tuple[datetime, datetime]]:
     """Consecutive chunks of a span; the last may be short."""
     if start.tzinfo is None or end.tzinfo is None:
-        raise ValueError("start and end must be timezone-aware")
+        raise ValueError("a span needs times with a zone")
     if end <= start:
-        raise ValueError("end must be > start")
+        raise ValueError("a span cannot end before it has begun")
     if width <= timedelta(0):
         raise ValueError("the chunk width must be over 0")
     n = -(-(end - start) // width)

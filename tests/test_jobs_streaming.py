@@ -78,3 +78,19 @@ def test_streams(spark, tmp_path):
     for r in rolled:
         inside = [v for u, t, v in flat if u == r.pod_uid and r.us - 120_000_000 <= t < r.us]
         assert r.mean_before == (pytest.approx(sum(inside) / len(inside)) if inside else None)
+
+
+def test_late_rows_see_all_their_samples(spark, tmp_path):
+    """A row behind the newest by less than the allowed lateness still gets the samples of its whole window."""
+    source = f"{tmp_path}/in"
+    for n, seconds in enumerate(([150], [300], [200])):
+        long_rows(spark, [(at(seconds=s), HEARTBEAT, float(s), "u1") for s in seconds]).coalesce(1).write.parquet(f"{source}/{n}")
+    rows = [r for n in range(3) for r in spark.read.parquet(f"{source}/{n}").collect()]
+    stream = f"{tmp_path}/stream"
+    for n, r in enumerate(rows):
+        spark.createDataFrame([r], LONG_SCHEMA).coalesce(1).write.mode("append").parquet(stream)
+        frame = spark.readStream.schema(LONG_SCHEMA).parquet(stream)
+        query = pressure.rolling_mean(frame, seconds=60, late="5 minutes").writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+        query.awaitTermination()
+    means = {r.value: r.mean_before for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert means == {150.0: None, 300.0: None, 200.0: 150.0}

@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 import numpy as np
 import pytest
@@ -161,3 +162,14 @@ def test_feature_checks(spark, trained):
         ml.same_features(df, df.drop("feat_0"))
     got = {r.feature: r for r in M.label_correlations(df.withColumn("feat_leak", F.col(LABEL) * 2), ["feat_0", "feat_leak"]).collect()}
     assert got["feat_leak"].suspicious and not got["feat_0"].suspicious
+
+
+def test_search_prunes_stops_early_and_refits(spark):
+    rng = random.Random(1)
+    rows = [(float(i % 7), rng.random(), int(i % 7 > 4 or rng.random() < 0.05)) for i in range(600)]
+    df = spark.createDataFrame(rows, f"feat_a double, feat_b double, {LABEL} int")
+    learn, check = df.limit(400), df.exceptAll(df.limit(400))
+    made = ml.train(learn, check, trials=5, max_trees=16, refit=True)
+    assert len(made.trials) == 5 and sum(not t["pruned"] for t in made.trials) == 1
+    whole = next(t for t in made.trials if not t["pruned"])
+    assert whole["trees"] == made.trees == made.model.getNumTrees <= 16 and made.pr_auc == whole["pr_auc"] > 0.8

@@ -19,9 +19,9 @@ def test_chunks():
     span = lambda m, w: RQ.chunks(T0, T0 + timedelta(minutes=m), timedelta(minutes=w))
     assert len(span(60, 15)) == 4
     assert span(20, 15)[-1][1] - span(20, 15)[-1][0] == timedelta(minutes=5)
-    with pytest.raises(ValueError, match="must be > start"):
+    with pytest.raises(ValueError, match="cannot end before"):
         span(-5, 15)
-    with pytest.raises(ValueError, match="timezone-aware"):
+    with pytest.raises(ValueError, match="zone"):
         RQ.chunks(datetime(2026, 1, 1), datetime(2026, 1, 2), timedelta(minutes=5))
     assert RQ.parsed_time("2026-05-18T14:00:00").utcoffset() == timedelta(0)
 
@@ -77,7 +77,7 @@ def test_range_source(spark, server, tmp_path):
     assert jobs.scrape(spark, f"{tmp_path}/none", **options, metrics="kube_pod_info") == []
     with pytest.raises(Exception, match="bad"):
         RQ.read_range(spark, **options, metrics="broken").count()
-    with pytest.raises(ValueError, match="must be > start"):
+    with pytest.raises(ValueError, match="cannot end before"):
         RQ.read_range(spark, url=url, start=options["end"], end=options["start"])
     assert asked
 

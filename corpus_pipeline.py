@@ -4,6 +4,12 @@ copy stays, sources are mixed to their targets, and what is taken is packed.
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return
 the columns of ``documents``. Each stage is written as Parquet in the shared folder and
 read again, so a lost executor costs work of one stage at most.
+
+Defined cases: null texts go through as empty ones; the toxicity stage judges each row by
+its own text, whatever its id; rows that repeat an id are one document for line dedup, and
+stay or go together in near-dedup; a null id is an id like any other there; the mix takes rows of
+a null source as a source of its own; an empty table, or stage that keeps nothing, gives an
+empty result; columns beside those of ``documents`` are dropped at the first stage.
 """
 
 from __future__ import annotations

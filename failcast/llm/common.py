@@ -127,8 +127,14 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with a task for each core at least, where a small table's files give fewer; larger ones stay as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan._jdf.queryExecution().toRdd().getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def rank_of(df: DataFrame, keys: list[Column], name: str, parts: int = 64) -> DataFrame:

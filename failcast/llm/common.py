@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import time
 import uuid
@@ -98,6 +100,20 @@ def free_shuffles(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
+def give_back() -> None:
+    """In a Python worker, at the end of a task: freed memory goes back, for workers are used again by later stages."""
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries need no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def value_once(sent) -> object:
+    """A broadcast's value, which the worker does not keep beside what is made of it."""
+    value = sent.value
+    if getattr(sent, "_path", None):  # it can be read again
+        vars(sent).pop("_value", None)
+    return value
+
+
 def dealt_by(df: DataFrame, groups: int, *keys: str) -> DataFrame:
     """Rows dealt by ``keys`` to as many tasks as there are groups, within bounds.
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from failcast.deploy import ship
-from failcast.llm.common import dealt_by, documents, written
+from failcast.llm.common import dealt_by, documents, give_back, written
 from failcast.llm.tokens import default_path, encoder
 
 LIMIT = 2048
@@ -63,6 +63,7 @@ def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", p
                     seen += 1
             made = pd.DataFrame(out)
             yield made.assign(loss_tokens=made["length"] - 1)[[x.split()[0] for x in PIECES.split(", ")]]
+        give_back()
 
     plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc_id"), F.col(id_col).isNull().alias("no_id"), F.col(text_col).alias("text"))
     return plain.mapInPandas(cut, PIECES)

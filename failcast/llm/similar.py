@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from failcast.deploy import ship
-from failcast.llm.common import dealt_by, small_side, written
+from failcast.llm.common import dealt_by, give_back, small_side, written
 from failcast.llm.components import components
 from failcast.llm.simhash import SEED, Joined, only_first
 
@@ -148,6 +148,7 @@ def similar_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 found = shingles_of(text)
                 rows[i, 0], rows[i, 1], rows[i, 2:] = xxhash.xxh64_intdigest(found.tobytes()), len(found), print_of(found)
             yield pd.DataFrame(rows.view(np.int64), columns=["node", "size", *PRINTS]).astype({"size": "int32"})
+        give_back()
 
     made = written(texts.select("doc_id", "th", printed("text").alias("p")).select("doc_id", "th", "p.*"))
     nodes = written(made.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("th").alias("th"), F.first("size").alias("size"), *[F.first(f).alias(f) for f in PRINTS]))

@@ -11,7 +11,7 @@ chosen by hash, wait for its last block, whatever other sources have left. Of th
 spread over its sizes, sit out the flight; they and the two that are left are landed together,
 on the choice nearest to the target.
 
-Blocks hold at most ``BLOCK`` documents, whichever source they are of. Which documents are
+Blocks hold about ``BLOCK`` documents (the last also those that waited), whichever source they are of. Which documents are
 taken follows from ids, sizes and the seed alone, so reruns and retries agree.
 
 Defined cases: a null text has size 0; a null source is a source of its own, ordered
@@ -35,6 +35,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 BLOCK = 4_000
+LEAST_BLOCK = 4
 NEAR = 1e-9
 LANDED = 14
 
@@ -119,31 +120,41 @@ def fly_and_land(p: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarra
 
 
 def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int = BLOCK) -> DataFrame:
-    """(uid, group..., prob, size) -> (uid, chosen int): a sample balanced on number and size within every group."""
+    """(uid, group..., prob, size) -> (uid, chosen int): a sample balanced on number and size within every group.
+
+    Blocks are dealt by the rows that fly; those that wait only join the last one. A turn leaves two
+    rows of each block at most, so with ``block`` at least 4 every turn has fewer rows than the one before.
+    """
+    if block < LEAST_BLOCK:
+        raise ValueError(f"cube_sample: a block of fewer than {LEAST_BLOCK} documents may decide none of them")
     ship(units.sparkSession)
     keys = [*group, "block"]
     units = units.withColumn("prob", F.col("prob").cast("double")).withColumn("size", F.col("size").cast("double"))
     open_ = f"prob > {NEAR} and prob < {1 - NEAR}"
-    now = units.where(open_).select("uid", *group, "prob", "size")
+    now = written(units.where(open_).select("uid", *group, "prob", "size", F.lit(False).alias("waits")))
     done = [units.where(f"not ({open_})").select("uid", F.round("prob").alias("prob"))]
     schema = now.schema
-    turn = 0
-    waiting = None
+    turn, before = 0, None
     while True:
-        counts = written(now.groupBy(*group).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")))
-        last = (counts.agg(F.max("blocks")).first()[0] or 1) == 1
+        flying = F.count_if(~F.col("waits"))
+        counts = written(now.groupBy(*group).agg(F.greatest(F.lit(1), F.ceil(flying / F.lit(block))).cast("int").alias("blocks"), flying.alias("flying")))
+        most, rows = counts.agg(F.max("blocks"), F.sum(F.when(F.col("blocks") > 1, F.col("flying")))).first()
+        last = (most or 1) == 1
+        if not last and before is not None and rows >= before:
+            raise RuntimeError(f"cube_sample: turn {turn} decided no document")
+        before = rows
         salt = F.lit(f"{seed}.{turn}")
         same = F.lit(True)
         for g in group:
             same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
         dealt = now.join(small_side(counts.select(*[F.col(g).alias(f"__{g}") for g in group], "blocks")), same).drop(*[f"__{g}" for g in group])
-        if waiting is None:
+        if turn == 0 and not last:
             # One document of each stratum of hashes: ``LANDED`` at most for each group.
             stratum = F.pmod(F.xxhash64("uid", F.lit("stratum")), F.lit(LANDED))
             waiting = written(dealt.where("blocks > 1").groupBy(*group, stratum.alias("stratum")).agg(F.min("uid").alias("__waits")).select("__waits"))
-        dealt = dealt.withColumn("block", F.pmod(F.xxhash64(salt, "uid"), F.col("blocks")).cast("int")).withColumn("draw", F.pmod(F.xxhash64("uid", salt), F.lit(1 << 30)) / float(1 << 30))
-        held = dealt.where("blocks > 1").join(small_side(waiting), F.col("uid") == F.col("__waits")).select("uid", *group, "prob", "size")
-        flying = dealt.join(small_side(waiting), (F.col("uid") == F.col("__waits")) & (F.col("blocks") > 1), "left_anti")
+            dealt = dealt.join(small_side(waiting), F.col("uid") == F.col("__waits"), "left").withColumn("waits", F.col("__waits").isNotNull()).drop("__waits")
+        held = F.col("waits") & (F.col("blocks") > 1)
+        flying_now = dealt.where(~held).withColumn("block", F.pmod(F.xxhash64(salt, "uid"), F.col("blocks")).cast("int")).withColumn("draw", F.pmod(F.xxhash64("uid", salt), F.lit(1 << 30)) / float(1 << 30))
 
         def fly(pdf: pd.DataFrame) -> pd.DataFrame:
             landing = pdf["blocks"].iloc[0] == 1  # of this group; others may have more
@@ -152,11 +163,11 @@ def cube_sample(units: DataFrame, group: list[str], *, seed: int = 9, block: int
             pdf["prob"] = (fly_and_land if landing else flight)(p, size, pdf["draw"].to_numpy(float))
             return pdf[[f.name for f in schema]]
 
-        flown = written(flying.groupBy(*keys).applyInPandas(fly, schema))
+        flown = written(flying_now.groupBy(*keys).applyInPandas(fly, schema))
         done.append(flown.where(f"not ({open_})").select("uid", F.round("prob").alias("prob")))
         if last:
             break
-        now = written(flown.where(open_).unionByName(held))
+        now = written(flown.where(open_).unionByName(dealt.where(held).select(*schema.names)))
         turn += 1
     out = done[0]
     for more in done[1:]:

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from failcast.llm import mixing
 
@@ -63,15 +64,27 @@ def test_targets_and_totals(spark, docs_of, tmp_path):
     assert all(abs(taken[s] - want[s]) <= 5 for s in sizes)
 
 
-def test_small_blocks_repeats_and_empty(spark, docs_of, monkeypatch):
+def test_small_blocks_repeats_and_empty(spark, docs_of):
     assert mixing.mix(docs_of([])).count() == 0
-    monkeypatch.setattr(mixing, "BLOCK", 8)
-    found = mixing.cube_sample(spark.range(200).selectExpr("cast(id as string) uid", "id % 2 as g", "0.25 as prob", "cast(id as double) as size"), ["g"], block=8).collect()
-    assert len(found) == 200 and abs(sum(r.chosen for r in found) - 50) <= 2
     rows = mixing.mix(docs_of(["a b"] * 6, ids=[1, 1, 1, None, None, 2])).collect()
     assert len(rows) == 6 and len({r.uid for r in rows}) == 6
 
 
+@pytest.mark.parametrize("block", [4, 8, 14, 17, 18])
+def test_every_block_comes_to_an_end(spark, block):
+    units = spark.range(200).selectExpr("cast(id as string) uid", "id % 2 as g", "0.25 as prob", "cast(id as double) as size")
+    found = mixing.cube_sample(units, ["g"], block=block).collect()
+    assert len(found) == 200 and abs(sum(r.chosen for r in found) - 50) <= 2
+    assert abs(sum(r.chosen * float(r.uid) for r in found) / (0.25 * 199 * 100) - 1) < 0.01
+
+
+def test_a_block_that_cannot_shrink_is_refused(spark):
+    units = spark.range(20).selectExpr("cast(id as string) uid", "0 as g", "0.25 as prob", "1.0 as size")
+    for block in (0, 2, 3):
+        with pytest.raises(ValueError):
+            mixing.cube_sample(units, ["g"], block=block)
+
+
 def test_small_source_beside_one_of_many_blocks(spark):
     rows = [(f"{g}.{i}", g, 0.37, float(round(10 ** ((i * 7919 + g * 31) % 997 / 300)))) for g in range(20) for i in range(50)]
     rows += [(f"hot.{i}", 99, 0.37, float(1 + i % 800)) for i in range(5000)]

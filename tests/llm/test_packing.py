@@ -129,8 +129,9 @@ def test_each_limit_binds():
 def test_conversations(spark):
     texts = ["Hello there", "", "word " * 90, "What is it?", None, "Yes. " * 40]
     rows, want = [], defaultdict(list)
-    for conv in [0, 1, 2, 3, None]:
-        n = {0: 40, 1: 1}.get(conv, 7)
+    # Conversation 4 is the one whose long turns are the assistant's, so that loss is full before tokens are.
+    for conv in [0, 1, 2, 3, 4, None]:
+        n = {0: 40, 1: 1, 4: 12}.get(conv, 7)
         for turn in range(n):
             role, text = ("assistant", "user", None)[(turn + (conv or 0)) % 3], texts[(turn * 5 + (conv or 0)) % 6]
             rows.append((conv, turn, role, text, "x"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from failcast.llm import fingerprints, licenses, line_dedup, media, mixing, packing, simhash, suffix_dedup, token_counts, toxicity
+from failcast.llm import fingerprints, licenses, line_dedup, media, mixing, packing, simhash, suffix_dedup, token_counts, toxicity, vector_codes
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
 }
 
 
@@ -23,4 +24,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_licenses": licenses.oracle_sql(),
         "op3_suffix_dedup": suffix_dedup.OP3_SQL,
         "op10_line_dedup": line_dedup.OP10_SQL,
+        "op11_vector_codes": vector_codes.oracle_sql(),
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from failcast.llm import fingerprints, licenses, line_dedup, media, mixing, packing, simhash, suffix_dedup, token_counts, toxicity, vector_codes
+from failcast.llm import fingerprints, lexical, licenses, line_dedup, media, mixing, packing, personal, simhash, suffix_dedup, token_counts, toxicity, vector_codes
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_pii": personal.op12_pii,
+    "op13_search": lexical.op13_search,
 }
 
 
@@ -25,4 +27,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_suffix_dedup": suffix_dedup.OP3_SQL,
         "op10_line_dedup": line_dedup.OP10_SQL,
         "op11_vector_codes": vector_codes.oracle_sql(),
+        "op12_pii": personal.oracle_sql(),
+        "op13_search": lexical.OP13_SQL,
     }

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from failcast.llm.common import LOWER, UPPER, ascii_lower, documents, whole_text
+from failcast.llm.common import LOWER, UPPER, documents, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 BEFORE, AFTER = 24, 8
@@ -44,6 +44,8 @@ CHUNK = 256
 class Pattern(NamedTuple):
     kind: str
     plain: str
+    #: What a text with a match has for certain, as SQL: a cheap test that spares most texts the pattern.
+    needs: str
     #: The same matches for an engine that tracks back; '' where the plain one is linear there too.
     linear: str = ""
 
@@ -62,33 +64,42 @@ def _from_run_start(run: str) -> str:
     return rf"(?:\G|(?<!{run})){run}++"
 
 
+def _has(*parts: str) -> str:
+    return "(" + " OR ".join(f"contains(text, '{p}')" for p in parts) + ")"
+
+
+_MAIL, _PLUS, _DIGIT, _RUN = _has("@"), _has("+"), "some_digit", "some_run"
+#: Tests on digits that several patterns share: any, and 14 with at most two separators between neighbours.
+_SHARED = {_DIGIT: "[0-9]", _RUN: r"[0-9](?:[./_\x20-]{0,2}[0-9]){13}"}
+_CLOSED = [f"{at}{by}" for at in ("at", "AT", "At", "@") for by in "])}"]
+
 # The base patterns, each with its own checks below.
 BASE = (
-    Pattern("email", rf"{_LOCAL}+@{_LABEL}+(?:\.{_LABEL}+)+", rf"{_from_run_start(_LOCAL)}@{_LABEL}++(?:\.{_LABEL}++)++"),
-    Pattern("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
-    Pattern("card", r"[0-9](?:[\x20-]?[0-9])+", r"[0-9](?:[\x20-]?+[0-9])++"),
-    Pattern("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    Pattern("email", rf"{_LOCAL}+@{_LABEL}+(?:\.{_LABEL}+)+", _MAIL, rf"{_from_run_start(_LOCAL)}@{_LABEL}++(?:\.{_LABEL}++)++"),
+    Pattern("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", _DIGIT, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
+    Pattern("card", r"[0-9](?:[\x20-]?[0-9])+", _RUN, r"[0-9](?:[\x20-]?+[0-9])++"),
+    Pattern("phone", r"\+[0-9][\x20().0-9-]+[0-9]", _PLUS),
 )
 
 _AT, _DOT = r"\x20?[\[({](?:at|AT|At|@)[\])}]\x20?", r"\x20?[\[({](?:dot|DOT|Dot|\.)[\])}]\x20?"
 
 # The generators of further candidates.
 GENERATORS = (
-    Pattern("email", rf"{_LOCAL}+{_AT}{_LABEL}+(?:{_DOT}{_LABEL}+|\.{_LABEL}+)+", rf"{_from_run_start(_LOCAL)}{_AT}{_LABEL}++(?:{_DOT}{_LABEL}++|\.{_LABEL}++)++"),
-    Pattern("email", rf"{_LOCAL}+\x20(?:at|AT)\x20{_LABEL}+(?:\x20(?:dot|DOT)\x20{_LABEL}+)+", rf"{_from_run_start(_LOCAL)}\x20(?:at|AT)\x20{_LABEL}++(?:\x20(?:dot|DOT)\x20{_LABEL}++)++"),
-    Pattern("email", rf"{_LOCAL}+\x20@\x20{_LABEL}+(?:\.{_LABEL}+)+", rf"{_from_run_start(_LOCAL)}\x20@\x20{_LABEL}++(?:\.{_LABEL}++)++"),
-    Pattern("email", rf"{_ANY}+@{_ANY_LABEL}+(?:\.{_ANY_LABEL}+)+", rf"{_from_run_start(_ANY)}@{_ANY_LABEL}++(?:\.{_ANY_LABEL}++)++"),
-    Pattern("ip", r"[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){2,7}"),
-    Pattern("ip", r"[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\]|\(dot\)|\x20\.\x20|\x20dot\x20)[0-9]{1,3}){3}"),
-    Pattern("card", r"[0-9]{4}[\x20-]?[0-9]{4}[\x20-]?[0-9]{4}[\x20-]?[0-9]{4}"),
-    Pattern("card", r"[0-9]{4}[\x20.-]?[0-9]{6}[\x20.-]?[0-9]{4,5}"),
-    Pattern("card", r"[0-9]{4}[./_\x20-]{1,2}[0-9]{4}[./_\x20-]{1,2}[0-9]{4}[./_\x20-]{1,2}[0-9]{4}"),
-    Pattern("phone", r"\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}"),
-    Pattern("phone", r"\+1[\x20.-]?\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}"),
-    Pattern("phone", r"\+[1-9][0-9]{0,2}(?:[\x20.-][0-9]{2,5}){2,4}"),
-    Pattern("phone", r"00[1-9][0-9]{0,2}[\x20().0-9-]{5,14}[0-9]"),
-    Pattern("phone", r"[0-9]{2,5}(?:[\x20./-][0-9]{2,5}){1,4}"),
-    Pattern("phone", r"[0-9]{7,12}"),
+    Pattern("email", rf"{_LOCAL}+{_AT}{_LABEL}+(?:{_DOT}{_LABEL}+|\.{_LABEL}+)+", _has(*_CLOSED), rf"{_from_run_start(_LOCAL)}{_AT}{_LABEL}++(?:{_DOT}{_LABEL}++|\.{_LABEL}++)++"),
+    Pattern("email", rf"{_LOCAL}+\x20(?:at|AT)\x20{_LABEL}+(?:\x20(?:dot|DOT)\x20{_LABEL}+)+", _has(" dot ", " DOT "), rf"{_from_run_start(_LOCAL)}\x20(?:at|AT)\x20{_LABEL}++(?:\x20(?:dot|DOT)\x20{_LABEL}++)++"),
+    Pattern("email", rf"{_LOCAL}+\x20@\x20{_LABEL}+(?:\.{_LABEL}+)+", _has(" @ "), rf"{_from_run_start(_LOCAL)}\x20@\x20{_LABEL}++(?:\.{_LABEL}++)++"),
+    Pattern("email", rf"{_ANY}+@{_ANY_LABEL}+(?:\.{_ANY_LABEL}+)+", _MAIL, rf"{_from_run_start(_ANY)}@{_ANY_LABEL}++(?:\.{_ANY_LABEL}++)++"),
+    Pattern("ip", r"[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){2,7}", _has(":")),
+    Pattern("ip", r"[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\]|\(dot\)|\x20\.\x20|\x20dot\x20)[0-9]{1,3}){3}", _has("[.]", "(.)", "[dot]", "(dot)", " . ", " dot ")),
+    Pattern("card", r"[0-9]{4}[\x20-]?[0-9]{4}[\x20-]?[0-9]{4}[\x20-]?[0-9]{4}", _RUN),
+    Pattern("card", r"[0-9]{4}[\x20.-]?[0-9]{6}[\x20.-]?[0-9]{4,5}", _RUN),
+    Pattern("card", r"[0-9]{4}[./_\x20-]{1,2}[0-9]{4}[./_\x20-]{1,2}[0-9]{4}[./_\x20-]{1,2}[0-9]{4}", _RUN),
+    Pattern("phone", r"\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}", _DIGIT),
+    Pattern("phone", r"\+1[\x20.-]?\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}", _PLUS),
+    Pattern("phone", r"\+[1-9][0-9]{0,2}(?:[\x20.-][0-9]{2,5}){2,4}", _PLUS),
+    Pattern("phone", r"00[1-9][0-9]{0,2}[\x20().0-9-]{5,14}[0-9]", _has("00")),
+    Pattern("phone", r"[0-9]{2,5}(?:[\x20./-][0-9]{2,5}){1,4}", _DIGIT),
+    Pattern("phone", r"[0-9]{7,12}", _DIGIT),
 )
 
 # Words before a candidate that speak for its kind, and those right before it that speak against any.
@@ -125,10 +136,12 @@ def features_of(generator: int, s: str, before: str, after: str) -> list[int]:
     return [generator, *counts, luhn(digits), has(QUAD, s), has(CUES[GENERATORS[generator].kind], lower), has(AGAINST, lower), has(TOUCHING_LEFT, before), has(TOUCHING_RIGHT, after), opens, has(DOMAIN, s.lower() if s.isascii() else s), has(r"[\[({]", s), has(WIDE, s)]
 
 
-def candidates_in(text: str) -> list[tuple[int, int, int, list[int]]]:
+def candidates_in(text: str, kind: str) -> list[tuple[int, int, int, list[int]]]:
     """(generator, start, end, features) of all candidates of one text, for training and tests."""
     out = []
     for g, pattern in enumerate(GENERATORS):
+        if pattern.kind != kind:
+            continue
         found = [m.span() for m in re.finditer(pattern.plain, text)]
         for i, (a, b) in enumerate(found):
             left = text[found[i - 1][1] if i else 0 : a]
@@ -280,7 +293,7 @@ def trained() -> dict[str, Model]:
 
         def judged(n: int) -> tuple[np.ndarray, np.ndarray]:
             # Parts of a true span are neither right nor wrong.
-            found = [(row, (a, b) == (start, end)) for text, start, end in _examples(rng, kind, n) for g, a, b, row in candidates_in(text) if GENERATORS[g].kind == kind and not (start <= a and b <= end and b - a < end - start)]  # noqa: B023
+            found = [(row, (a, b) == (start, end)) for text, start, end in _examples(rng, kind, n) for _, a, b, row in candidates_in(text, kind) if not (start <= a and b <= end and b - a < end - start)]  # noqa: B023
             return np.array([row for row, _ in found]), np.array([y for _, y in found], float)
 
         x, y = judged(3000)
@@ -319,96 +332,83 @@ def margin_sql(kind: str, prefix: str = "") -> str:
     return " + ".join(f"({_tree_sql(t, names)})" for t in trained()[kind].trees)
 
 
-def let(value: Column, use) -> Column:
-    """``use`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def _raw(pattern: str) -> str:
+    return f"r'{pattern}'"
 
 
-def _running(steps: Column) -> Column:
-    """The sum of all earlier steps, for each step; through chunks, as an array grows by copying."""
-    zero, none = F.lit(0), F.array().cast("array<int>")
-    state = lambda at: F.struct(at.alias("at"), none.alias("out"))
-    fold = lambda xs, at: F.aggregate(xs, state(at), lambda s, v: F.struct((s["at"] + v).alias("at"), F.array_append(s["out"], s["at"]).alias("out")), lambda s: s["out"])
-    chunks = F.transform(F.sequence(zero, F.floor((F.size(steps) - 1) / CHUNK).cast("int")), lambda c: F.slice(steps, c * CHUNK + 1, F.lit(CHUNK)))
-    offsets = lambda parts: fold(F.transform(parts, lambda x: F.aggregate(x, zero, lambda s, v: s + v)), zero)
-    return let(chunks, lambda parts: F.flatten(F.zip_with(parts, offsets(parts), fold)))
+def _let(value: str, name: str, use: str) -> str:
+    """``use`` of a value that is computed once, under a name."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
 
 
-def matches(text: Column, pattern: Pattern) -> Column:
-    """array<struct<start int, s, before, after string>> of all matches in order; null where there is none."""
+def _fold(steps: str, start: str) -> str:
+    state = "named_struct('upto', {0}, 'sums', {1})"
+    return f"aggregate({steps}, {state.format(start, 'CAST(array() AS ARRAY<INT>)')}, (z, v) -> {state.format('z.upto + v', 'array_append(z.sums, z.upto)')}, z -> z.sums)"
 
-    def placed(found: Column) -> Column:
-        def of_pieces(pieces: Column) -> Column:
-            steps = F.transform(found, lambda s, i: F.char_length(F.get(pieces, i)) + F.char_length(s))
 
-            def of_sums(before: Column) -> Column:
-                row = lambda s, i: F.struct(
-                    (F.get(before, i) + F.char_length(F.get(pieces, i))).alias("start"), s.alias("s"), F.right(F.get(pieces, i), F.lit(BEFORE)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(AFTER)).alias("after")
-                )
-                return F.transform(found, row)
-
-            return let(let(steps, _running), of_sums)
+def _running(steps: str) -> str:
+    """The sum of all earlier steps, for each step; through chunks, as an array grows by copying."""
+    chunks = f"transform(sequence(0, CAST(floor((size(st) - 1) / {CHUNK}) AS INT)), k -> slice(st, k * {CHUNK} + 1, {CHUNK}))"
+    totals = "transform(ch, x -> aggregate(x, 0, (t, v) -> t + v))"
+    return _let(steps, "st", _let(chunks, "ch", f"flatten(zip_with(ch, {_fold(totals, '0')}, (x, o) -> {_fold('x', 'o')}))"))
 
-        return F.when(F.size(found) > 0, let(F.split(text, pattern.java, -1), of_pieces))
 
-    return let(F.regexp_extract_all(text, F.lit(pattern.java), F.lit(0)), placed)
+def matches_sql(pattern: Pattern, text: str = "text") -> str:
+    """SQL for array<struct<start int, s, before, after string>> of all matches in order; null where there is none."""
+    row = f"named_struct('start', get(w, i) + char_length(get(p, i)), 's', s, 'before', right(get(p, i), {BEFORE}), 'after', left(get(p, i + 1), {AFTER}))"
+    steps = "transform(m, (s, i) -> char_length(get(p, i)) + char_length(s))"
+    placed = _let(f"split({text}, {_raw(pattern.java)}, -1)", "p", _let(_running(steps), "w", f"transform(m, (s, i) -> {row})"))
+    return _let(f"regexp_extract_all({text}, {_raw(pattern.java)}, 0)", "m", f"CASE WHEN size(m) > 0 THEN {placed} END")
 
 
-def _code(kind: str, start: Column, length: Column) -> Column:
+def _code_sql(kind: str, match: str) -> str:
     """Kind, start and length in one number, in whose order spans are listed."""
-    return F.lit(KINDS.index(kind) << 61) + start.cast("long") * (1 << 30) + length.cast("long")
-
+    return f"({KINDS.index(kind) << 61}L + CAST({match}.start AS BIGINT) * {1 << 30}L + char_length({match}.s))"
 
-def _digits(s: Column) -> Column:
-    return F.regexp_replace(s, "[^0-9]", "")
 
+def _digits_sql(s: str) -> str:
+    return f"regexp_replace({s}, '[^0-9]', '')"
 
-def _luhn(s: Column) -> Column:
-    def total(d: Column) -> Column:
-        n = F.char_length(d)
-        value = lambda i: F.substring(d, i, F.lit(1)).cast("int") * F.when((n - i) % 2 == 1, 2).otherwise(1)
-        add = lambda acc, i: acc + value(i) - F.when(value(i) > 9, 9).otherwise(0)
-        return F.when(n.between(12, 19), (F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add) % 10 == 0).cast("int")).otherwise(0)
 
-    return let(_digits(s), total)
+def _luhn_sql(s: str) -> str:
+    value = "CAST(substring(d, i, 1) AS INT)"
+    total = f"aggregate(sequence(1, char_length(d)), 0, (t, i) -> t + CASE WHEN (char_length(d) - i) % 2 = 1 THEN {value} * 2 - CASE WHEN {value} > 4 THEN 9 ELSE 0 END ELSE {value} END)"
+    return _let(_digits_sql(s), "d", f"CASE WHEN char_length(d) BETWEEN 12 AND 19 THEN CAST({total} % 10 = 0 AS INT) ELSE 0 END")
 
 
-def _valid(kind: str, s: Column) -> Column:
+def _valid_sql(kind: str, s: str) -> str:
     """The checks of the base patterns."""
-    n = F.char_length(_digits(s))
-    return {"email": F.lit(True), "ip": s.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}\z"), "card": n.between(16, 19) & (_luhn(s) == 1), "phone": n.between(8, 15)}[kind]
+    n = f"char_length({_digits_sql(s)})"
+    octets = _raw(rf"^{_OCTET}(?:\.{_OCTET}){{3}}\z")
+    return {"email": "true", "ip": f"{s} RLIKE {octets}", "card": f"{n} BETWEEN 16 AND 19 AND {_luhn_sql(s)} = 1", "phone": f"{n} BETWEEN 8 AND 15"}[kind]
 
 
-def _features(g: int, c: Column) -> Column:
-    s, before, after = c["s"], ascii_lower(c["before"]), c["after"]
-    has = lambda x, pattern: F.coalesce(x.rlike(pattern), F.lit(False)).cast("int")
-    counts = [F.char_length(_digits(s)), F.char_length(s), F.char_length(F.regexp_replace(s, "[^A-Za-z]", "")), F.regexp_count(s, F.lit("[^0-9A-Za-z]+")), F.regexp_count(s, F.lit(":"))]
-    ascii_only = F.when(s.rlike(WIDE), s).otherwise(ascii_lower(s))
-    made = [F.lit(g), *counts, _luhn(s), has(s, QUAD), has(before, CUES[GENERATORS[g].kind]), has(before, AGAINST), has(c["before"], TOUCHING_LEFT), has(after, TOUCHING_RIGHT), has(s, r"^(?:\+|00|\()"), has(ascii_only, DOMAIN), has(s, r"[\[({]"), has(s, WIDE)]
-    return F.struct(_code(GENERATORS[g].kind, c["start"], F.char_length(s)).alias("code"), *[v.alias(f) for v, f in zip(made, FEATURES, strict=True)])
-
-
-#: What a text must have for a pattern to match at all, as a cheap test before it.
-_NEEDS = {"email": r"@|(?:at|AT|At)[\])}]|\x20(?:at|AT)\x20", "ip": "[0-9A-Fa-f]", "card": "[0-9]", "phone": "[0-9]"}
+def _features_sql(g: int) -> str:
+    """SQL for the code and the features of a match ``c`` of generator ``g``."""
+    kind = GENERATORS[g].kind
+    lower = lambda x: f"translate({x}, '{UPPER}', '{LOWER}')"
+    has = lambda x, pattern: f"CAST({x} RLIKE {_raw(pattern)} AS INT)"
+    count = lambda pattern: f"regexp_count(c.s, {_raw(pattern)})"
+    before = lower("c.before")
+    made = [str(g), f"char_length({_digits_sql('c.s')})", "char_length(c.s)", "char_length(regexp_replace(c.s, '[^A-Za-z]', ''))", count("[^0-9A-Za-z]+"), count(":"), _luhn_sql("c.s"), has("c.s", QUAD), has(before, CUES[kind]), has(before, AGAINST)]
+    made += [has("c.before", TOUCHING_LEFT), f"coalesce({has('c.after', TOUCHING_RIGHT)}, 0)", has("c.s", r"^(?:\+|00|\()")]
+    made += [has(f"CASE WHEN c.s RLIKE {_raw(WIDE)} THEN c.s ELSE {lower('c.s')} END", DOMAIN), has("c.s", r"[\[({]"), has("c.s", WIDE)]
+    return f"named_struct('code', {_code_sql(kind, 'c')}, {', '.join(f'{chr(39)}{f}{chr(39)}, {v}' for f, v in zip(FEATURES, made, strict=True))})"
 
 
 def found_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, n_email, n_ip, n_card, n_phone, base array<long>, spans array<long>): spans as codes, in order."""
-    none = F.array().cast("array<long>")
     plain = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
-    gates = {k: F.col("text").rlike(_NEEDS[k]) for k in KINDS}
-
-    def base_codes(p: Pattern) -> Column:
-        kept = F.filter(matches(F.col("text"), p), lambda c: _valid(p.kind, c["s"]))
-        return F.coalesce(F.when(gates[p.kind], F.transform(kept, lambda c: _code(p.kind, c["start"], F.char_length(c["s"])))), none)
-
-    def candidates(g: int, p: Pattern) -> Column:
-        return F.when(gates[p.kind], F.transform(matches(F.col("text"), p), lambda c: _features(g, c)))
-
-    base = {f"base_{p.kind}": base_codes(p) for p in BASE}
-    judged = {f"cand_{g}": candidates(g, p) for g, p in enumerate(GENERATORS)}
-    seen = plain.withColumns(base | judged)
-    taken = [F.coalesce(F.expr(f"transform(filter(cand_{g}, c -> {margin_sql(p.kind, 'c.')} >= {trained()[p.kind].least}), c -> c.code)"), none) for g, p in enumerate(GENERATORS)]
+    plain = plain.withColumns({name: F.expr(f"text RLIKE {_raw(pattern)}") for name, pattern in _SHARED.items()})
+    none = "CAST(array() AS ARRAY<BIGINT>)"
+    made = {}
+    for p in BASE:
+        codes = f"transform(filter({matches_sql(p)}, c -> {_valid_sql(p.kind, 'c.s')}), c -> {_code_sql(p.kind, 'c')})"
+        made[f"base_{p.kind}"] = F.expr(f"coalesce(CASE WHEN {p.needs} THEN {codes} END, {none})")
+    for g, p in enumerate(GENERATORS):
+        made[f"cand_{g}"] = F.expr(f"CASE WHEN {p.needs} THEN transform({matches_sql(p)}, c -> {_features_sql(g)}) END")
+    seen = plain.withColumns(made)
+    taken = [F.expr(f"coalesce(transform(filter(cand_{g}, c -> {margin_sql(p.kind, 'c.')} >= {trained()[p.kind].least}), c -> c.code), {none})") for g, p in enumerate(GENERATORS)]
     counts = [F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in KINDS]
     own = F.concat(*[F.col(f"base_{k}") for k in KINDS])
     return seen.select("doc_id", "text", *counts, own.alias("base"), F.array_sort(F.array_distinct(F.concat(own, *taken))).alias("spans"))

@@ -11,10 +11,11 @@ counts are whole numbers, so differences of running sums are exact.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from failcast.functions.scalars import MICRO, calendar, clip, fraction, guarded_ratio, lineage, micros, null_if_nan
+from failcast.operators.histories import with_windows
 from failcast.operators.windows import growth, keyed, rolled, width
 from failcast.schema import ENTITY, IDENTITY, LABEL, TIME, USAGE_METRICS, ContractError, require
 
@@ -24,6 +25,8 @@ CPU, THROTTLED, PERIODS = "container_cpu_usage_seconds_rate", "container_cpu_thr
 RESTARTS = "kube_pod_container_status_restarts_total"
 TRACE_MEMORY, TRACE_CPU = USAGE_METRICS["mem_util_percent"], USAGE_METRICS["cpu_util_percent"]
 MEMORY_WINDOWS, CPU_WINDOWS = ("5min", "15min", "30min"), ("5min", "15min")
+#: The longest frame of an entity's features, that of restarts.
+LONGEST = "1h"
 PREFIX = "feat_"
 
 
@@ -57,46 +60,45 @@ def add_mem_pct_of_limit(df: DataFrame, dispatch: str = "frame") -> DataFrame:
     return df.withColumn("feat_mem_pct_of_limit", memory_share(df, dispatch))
 
 
-def _spread(df: DataFrame, name: str, window: str) -> Column:
+def _spread(df: DataFrame, over: WindowSpec, name: str, window: str) -> Column:
     """Largest less smallest in the window."""
-    over = keyed(df, ENTITY, TIME)
     return rolled(_value(df, name), over, window, "max") - rolled(_value(df, name), over, window, "min")
 
 
-def _memory(df: DataFrame) -> dict[str, Column]:
-    share, over = "feat_mem_pct_of_limit", keyed(df, ENTITY, TIME)
+def _memory(df: DataFrame, over: WindowSpec) -> dict[str, Column]:
+    share = "feat_mem_pct_of_limit"
     out = {f"{share}__{w}_{a}": rolled(share, over, w, a) for w in MEMORY_WINDOWS for a in ("mean", "max")}
     out |= {f"feat_mem_growth_rate__{w}": growth(share, over, w) for w in MEMORY_WINDOWS}
-    return out | _lab_memory(df)
+    return out | _lab_memory(df, over)
 
 
-def _lab_memory(df: DataFrame) -> dict[str, Column]:
+def _lab_memory(df: DataFrame, over: WindowSpec) -> dict[str, Column]:
     return {
         "feat_mem_ws_rss_gap_pct": guarded_ratio(_value(df, WORKING_SET) - _value(df, RSS), _value(df, MEMORY_LIMIT)),
-        "feat_mem_failcnt__5min_rate": _spread(df, FAILURES, "5min") if FAILURES in df.columns else F.lit(None).cast("double"),
+        "feat_mem_failcnt__5min_rate": _spread(df, over, FAILURES, "5min") if FAILURES in df.columns else F.lit(None).cast("double"),
     }
 
 
-def _cpu(df: DataFrame) -> dict[str, Column]:
-    over = keyed(df, ENTITY, TIME)
+def _cpu(over: WindowSpec) -> dict[str, Column]:
     return {f"{c}__{w}_mean": rolled(c, over, w, "mean") for w in CPU_WINDOWS for c in ("feat_cpu_util", "feat_cpu_throttle_ratio")}
 
 
-def _lifecycle(df: DataFrame) -> dict[str, Column]:
+def _lifecycle(df: DataFrame, over: WindowSpec) -> dict[str, Column]:
     us = micros(df, TIME)
+    first = F.min(us).over(over.rangeBetween(Window.unboundedPreceding, 0))
     return {
-        "feat_pod_age_sec": (us - F.min(us).over(Window.partitionBy(*ENTITY))) / F.lit(float(MICRO)),
-        "feat_restart_rate_1h": clip(_spread(df, RESTARTS, "1h"), low=0.0) if RESTARTS in df.columns else F.lit(None).cast("double"),
+        "feat_pod_age_sec": (us - first) / F.lit(float(MICRO)),
+        "feat_restart_rate_1h": clip(_spread(df, over, RESTARTS, "1h"), low=0.0) if RESTARTS in df.columns else F.lit(None).cast("double"),
     }
 
 
 def add_synth_only_features(df: DataFrame) -> DataFrame:
-    return df.withColumns(_lab_memory(df))
+    return df.withColumns(_lab_memory(df, keyed(df, ENTITY, TIME)))
 
 
 def add_memory_features(df: DataFrame, dispatch: str = "frame") -> DataFrame:
     out = add_mem_pct_of_limit(df, dispatch)
-    return out.withColumns(_memory(out))
+    return out.withColumns(_memory(out, keyed(out, ENTITY, TIME)))
 
 
 def add_cpu_throttle_ratio(df: DataFrame) -> DataFrame:
@@ -105,11 +107,11 @@ def add_cpu_throttle_ratio(df: DataFrame) -> DataFrame:
 
 def add_cpu_features(df: DataFrame, dispatch: str = "frame") -> DataFrame:
     out = add_cpu_throttle_ratio(df.withColumn("feat_cpu_util", cpu_share(df, dispatch)))
-    return out.withColumns(_cpu(out))
+    return out.withColumns(_cpu(keyed(out, ENTITY, TIME)))
 
 
 def add_lifecycle_features(df: DataFrame) -> DataFrame:
-    return df.withColumns(_lifecycle(df))
+    return df.withColumns(_lifecycle(df, keyed(df, ENTITY, TIME)))
 
 
 def add_node_cotenant_features(df: DataFrame) -> DataFrame:
@@ -152,14 +154,18 @@ def add_aggregation_features(df: DataFrame, label: str = LABEL) -> DataFrame:
     return lineage_rate(out, key=lineage_key(out), label=label)
 
 
-def build_features(wide: DataFrame, *, dispatch: str = "frame", label: str = LABEL, check_empty: bool = True) -> DataFrame:
-    """Labelled wide frame -> the same with all features."""
+def build_features(wide: DataFrame, *, dispatch: str = "frame", label: str = LABEL, check_empty: bool = True, rows_per_slice: int | None = None) -> DataFrame:
+    """Labelled wide frame -> the same with all features.
+
+    With ``rows_per_slice`` entities of longer histories are worked on in slices of time (see ``histories``).
+    """
     require(wide, [*IDENTITY, label], "build_features")
     if check_empty and wide.isEmpty():
         raise ContractError("build_features: the frame is empty")
     shares = {"feat_mem_pct_of_limit": memory_share(wide, dispatch), "feat_cpu_util": cpu_share(wide, dispatch)}
     out = add_cpu_throttle_ratio(wide.withColumns(calendar(TIME) | shares))
-    out = out.withColumns(_memory(out) | _cpu(out) | _lifecycle(out))
+    own = out
+    out = with_windows(own, lambda over: _memory(own, over) | _cpu(over) | _lifecycle(own, over), by=ENTITY, time_col=TIME, longest=LONGEST, rows_per_slice=rows_per_slice)
     return add_aggregation_features(out, label)
 
 

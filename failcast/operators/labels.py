@@ -13,29 +13,38 @@ from pyspark.sql import functions as F
 
 from failcast.functions.scalars import micros
 from failcast.operators.events import detect_oom_events, disappeared
+from failcast.operators.histories import sliced, time_cuts
 from failcast.operators.reshape import to_wide
 from failcast.operators.windows import width
 from failcast.schema import COOLDOWN_MINUTES, ENTITY, LABEL, LEAD_MINUTES, LONG_COLUMNS, TIME, require
 
 
-def near_events(rows: DataFrame, events: DataFrame, *, by=ENTITY, time: str = TIME) -> DataFrame:
-    """``rows`` with next_event_us (after the row) and last_event_us (at or before it)."""
+def near_events(rows: DataFrame, events: DataFrame, *, by=ENTITY, time: str = TIME, rows_per_slice: int | None = None) -> DataFrame:
+    """``rows`` with next_event_us (after the row) and last_event_us (at or before it).
+
+    With ``rows_per_slice`` longer entities are cut into slices of time, each with the nearest event on either side.
+    """
     mine = rows.select(F.struct(*[F.col(c) for c in rows.columns]).alias("__row"), *by, micros(rows, time).alias("__us"))
     marks = events.select(*by, micros(events, "event_ts").alias("__us"), F.lit(True).alias("__event"))
     both = mine.unionByName(marks, allowMissingColumns=True)
-    over = Window.partitionBy(*by).orderBy("__us")
+    keys, wanted = list(by), F.col("__row").isNotNull()
+    cuts = None if rows_per_slice is None else time_cuts(both, by=by, time_col=None, longest=0, rows_per_slice=rows_per_slice)
+    if cuts is not None:
+        both = sliced(both, cuts, by=by, time_col=None, carried=F.col("__event"), ahead=F.col("__event"))
+        keys, wanted = [*by, "__slice"], wanted & F.col("__own")
+    over = Window.partitionBy(*keys).orderBy("__us")
     at = F.when(F.col("__event"), F.col("__us"))
     # Running frames: each is one pass, forwards or (by descending order) backwards.
-    back = Window.partitionBy(*by).orderBy(F.desc("__us"))
+    back = Window.partitionBy(*keys).orderBy(F.desc("__us"))
     after = F.min(at).over(back.rangeBetween(Window.unboundedPreceding, -1))
     before = F.max(at).over(over.rangeBetween(Window.unboundedPreceding, 0))
-    found = both.withColumn("next_event_us", after).withColumn("last_event_us", before).where("__row is not null")
+    found = both.withColumn("next_event_us", after).withColumn("last_event_us", before).where(wanted)
     return found.select("__row.*", "next_event_us", "last_event_us")
 
 
-def labelled(rows: DataFrame, events: DataFrame, *, lead="30min", cooldown="5min", by=ENTITY, time: str = TIME, label: str = LABEL) -> DataFrame:
+def labelled(rows: DataFrame, events: DataFrame, *, lead="30min", cooldown="5min", by=ENTITY, time: str = TIME, label: str = LABEL, rows_per_slice: int | None = None) -> DataFrame:
     """``rows`` without the censored ones, with the label."""
-    found = near_events(rows, events, by=by, time=time)
+    found = near_events(rows, events, by=by, time=time, rows_per_slice=rows_per_slice)
     us = micros(rows, time)
     ahead = F.coalesce(F.col("next_event_us") - us <= width(lead), F.lit(False))
     censored = F.coalesce(us - F.col("last_event_us") <= width(cooldown), F.lit(False))

@@ -2,10 +2,11 @@
 
 Scores are counted per distinct value first. Running sums over the distinct scores of a group
 then give precision and recall at every threshold; average precision, ROC area and the best
-precision at a recall are sums and maxima over them. Running sums go through slices of the
-score range: totals of the slices (at most ``SLICES`` for scores between 0 and 1) are summed
-up first, then the scores inside each slice, so no task orders all scores of a group. Ties
-count together. NULL stands for an undefined number.
+precision at a recall are sums and maxima over them. Running sums go through ``SLICES`` ranges of
+scores, cut at quantiles of the distinct scores that there are, so that scores of a rare event, which
+are nearly all close to 0, spread as evenly as others: totals of the ranges are carried from
+one to the next first, then the scores inside each are summed up, so no task orders all scores of a
+group. Ties count together. NULL stands for an undefined number.
 """
 
 from __future__ import annotations
@@ -16,10 +17,18 @@ from pyspark.sql import functions as F
 from failcast.functions.scalars import MICRO, micros
 from failcast.schema import DECISION_THRESHOLD, ENTITY, HORIZONS_MINUTES, LABEL, LEAST_SLICE_ROWS, TIME, ContractError, require
 
-SLICES = 4096
+SLICES = 1024
 HEADLINE = ("brier_score", "pr_auc", "roc_auc", "precision_at_recall_0_5", "precision_at_recall_0_8", "recall_at_threshold", "precision_at_threshold")
 
 
+def with_score_ranges(counts: DataFrame, score: str = "p", output: str = "slice", ranges: int = SLICES) -> DataFrame:
+    """``counts`` with the number of the score's range, ascending; ranges hold about as many rows each. Null scores are in the first."""
+    cuts = counts.agg(F.percentile_approx(score, [i / ranges for i in range(1, ranges)], 20 * ranges)).scalar()
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range((ranges - 1).bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get("__cuts", at + step - 1) <= F.col(score), step).otherwise(F.lit(0)))
+    return counts.withColumn("__cuts", cuts).withColumn(output, found).drop("__cuts")
+
+
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b)
 
@@ -28,7 +37,8 @@ def headline_by(df: DataFrame, by=(), *, label: str = LABEL, score: str = "score
     """One row of headline metrics for each group (one row in all without ``by``)."""
     require(df, [label, score, *by], "headline_by")
     p, y = F.col(score).cast("double"), (F.col(label) == 1).cast("long")
-    counts = df.groupBy(*by, p.alias("p")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")).withColumn("slice", F.floor(F.coalesce("p", F.lit(0.0)) * SLICES))
+    counts = df.groupBy(*by, p.alias("p")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    counts = with_score_ranges(counts)
     slices = counts.groupBy(*by, "slice").agg(F.sum("pos").alias("s_pos"), F.sum("neg").alias("s_neg"))
     group = [F.col(c) for c in by] or [F.lit(0)]
     above = Window.partitionBy(*group).orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)

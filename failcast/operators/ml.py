@@ -1,19 +1,20 @@
 """Gradient-boosted trees: search, scores, and exact per-row explanations.
 
-The search draws parameter sets from a seeded generator and scores each by average precision
-on validation rows, after the prior correction. Every draw is first fitted with a share of
-the trees; the best of them go on to all trees, which stop early once validation rows no longer gain.
+The search (see ``search``) proposes parameter sets from what earlier ones scored and fits them in brackets
+of successive halving, with trees as the resource; a score is the average precision on validation rows, after
+the prior correction. A fit of all trees stops early once validation rows no longer gain.
 The best one's number of trees is kept, and a model of so many trees is fitted again on
 training and validation rows together if asked.
 
 Explanations are Shapley values of the trees' log-odds for the distribution of training rows
 that the trees hold (node counts). For each tree a leaf's value is shared over the distinct
-features on its path by the weighted sum over their subsets, which is exact.
+features on its path by the weighted sum over their subsets, which is exact. Which of a path's splits a
+row follows is one of few sets, so each leaf has a table of what it adds for every such set, made
+once for a model; a row costs one lookup for each leaf.
 """
 
 from __future__ import annotations
 
-import random
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import factorial
@@ -30,6 +31,7 @@ from failcast.deploy import ship
 from failcast.functions.scalars import prior_corrected
 from failcast.operators.features import feature_columns
 from failcast.operators.metrics import headline_by
+from failcast.operators.search import Choice, Range, search
 from failcast.schema import LABEL, ContractError, require
 
 # The response's contributor rows.
@@ -81,12 +83,21 @@ class Trained:
         return explained(df, self.model, self.names, k)
 
 
-def drawn_params(rng: random.Random) -> dict:
-    return {"maxDepth": rng.choice([3, 4, 5, 6]), "stepSize": 10 ** rng.uniform(-1.5, -0.3), "subsamplingRate": rng.uniform(0.6, 1.0), "minInstancesPerNode": rng.choice([1, 5, 20, 50]), "maxBins": rng.choice([32, 64]), "featureSubsetStrategy": rng.choice(["all", "0.7"])}
+#: What the search may choose.
+SPACE = {
+    "maxDepth": Choice((3, 4, 5, 6)),
+    "stepSize": Range(10**-1.5, 10**-0.3, log=True),
+    "subsamplingRate": Range(0.6, 1.0),
+    "minInstancesPerNode": Choice((1, 5, 20, 50)),
+    "maxBins": Choice((32, 64)),
+    "featureSubsetStrategy": Choice(("all", "0.7")),
+}
 
 
-#: Of the draws that go on after the first rung, and of the trees that this has.
-KEPT_SHARE, FIRST_SHARE = 0.25, 0.125
+#: Paths of more features have no table, which would double with each.
+TABLE_FEATURES = 10
+#: Of the trees, what the first rung of the widest bracket has.
+FIRST_SHARE = 0.125
 #: Less gain than this share on validation rows ends a fit.
 LEAST_GAIN = 0.001
 
@@ -94,46 +105,38 @@ LEAST_GAIN = 0.001
 def train(train_df: DataFrame, val_df: DataFrame, *, sample_ratio: float = 1.0, trials: int = 50, max_trees: int = 100, label: str = LABEL, seed: int = 42, refit: bool = False) -> Trained:
     """Search for the parameters of the best average precision on validation rows.
 
-    With over four trials the first rung prunes: only the best quarter is fitted in full, with early
-    stopping. ``trials`` of the result say for each draw its scores, its number of trees and whether it was pruned.
+    ``trials`` of the result say for each its parameters, its score after so many trees in each rung, and whether it was pruned.
     """
     if trials < 1:
         raise ValueError("trials must be at least 1")
     names = same_features(train_df, val_df)
-    rng = random.Random(seed)
     learn = assembled(train_df, names).select("__features", F.col(label).cast("double").alias("label"), F.lit(False).alias("__check")).cache()
     check = assembled(val_df, names).select("__features", F.col(label).cast("double").alias("label"), F.lit(True).alias("__check")).cache()
     both = learn.unionByName(check)
+    whole: list[tuple[float, dict, GBTClassificationModel]] = []
 
     def fit(params: dict, trees: int, rows: DataFrame, stops: bool) -> GBTClassificationModel:
         stop = {"validationIndicatorCol": "__check", "validationTol": LEAST_GAIN} if stops else {}
         return GBTClassifier(featuresCol="__features", labelCol="label", maxIter=trees, seed=seed, **params, **stop).fit(rows)
 
-    def judged(model: GBTClassificationModel) -> float:
+    def judged(params: dict, trees: int) -> float:
+        model = fit(params, trees, both if trees == max_trees else learn, trees == max_trees)
         scored = model.transform(check).select(F.col("label").cast("int").alias(label), prior_corrected(vector_to_array("probability")[1], sample_ratio).alias("score"))
-        return float(headline_by(scored, label=label).first()["pr_auc"] or 0.0)
+        pr_auc = float(headline_by(scored, label=label).first()["pr_auc"] or 0.0)
+        if trees == max_trees and (not whole or pr_auc > whole[0][0]):
+            whole[:] = [(pr_auc, params, model)]
+        return pr_auc
 
     try:
-        log = [drawn_params(rng) for _ in range(trials)]
-        going = list(range(trials))
-        if trials > 1 / KEPT_SHARE:
-            for i in going:
-                log[i] = log[i] | {"first_pr_auc": judged(fit(log[i], max(1, int(max_trees * FIRST_SHARE)), learn, False))}
-            going = sorted(going, key=lambda i: -log[i]["first_pr_auc"])[: max(1, int(trials * KEPT_SHARE))]
-        best: Trained | None = None
-        for i in sorted(going):
-            params = {k: v for k, v in log[i].items() if k != "first_pr_auc"}
-            model = fit(params, max_trees, both, True)
-            pr_auc = judged(model)
-            log[i] = log[i] | {"pr_auc": pr_auc, "trees": model.getNumTrees}
-            if best is None or pr_auc > best.pr_auc:
-                best = Trained(model, names, params, sample_ratio, pr_auc, model.getNumTrees)
+        done = search(SPACE, judged, trials=trials, most=max_trees, least=max(1, int(max_trees * FIRST_SHARE)), seed=seed)
+        pr_auc, params, model = whole[0]
+        best = Trained(model, names, params, sample_ratio, pr_auc, model.getNumTrees)
         if refit:
-            best.model = fit(best.params, best.trees, both, False)
+            best.model = fit(params, best.trees, both, False)
     finally:
         learn.unpersist()
         check.unpersist()
-    best.trials = [x | {"pruned": "pr_auc" not in x} for x in log]
+    best.trials = [t.params | {"pr_auc_by_trees": {str(k): v for k, v in t.scores.items()}, "pruned": t.pruned} for t in done]
     return best
 
 
@@ -177,28 +180,74 @@ def _paths(tree: dict) -> list[tuple[float, list[tuple[int, float, float, float]
     return out
 
 
-def shapley(trees: list[dict], x: np.ndarray) -> tuple[np.ndarray, float]:
-    """Contributions (rows x features) and the base value, in log-odds."""
-    phi, base = np.zeros(x.shape), 0.0
+@dataclass(frozen=True)
+class Leaf:
+    """A leaf's value, and the features on its path with their bounds and the share of rows that follow each."""
+
+    value: float
+    features: list[int]
+    low: list[float]
+    high: list[float]
+    share: np.ndarray
+    #: (m, 2^m): what the leaf adds to each feature for every set of splits that a row may follow, as bits; None where m is large.
+    table: np.ndarray | None
+
+
+def _added(value: float, share: np.ndarray, follows: np.ndarray) -> np.ndarray:
+    """(m, rows): what a leaf adds to the features on its path, for 0/1 rows of the splits followed."""
+    m = len(share)
+    out = np.empty(follows.shape)
+    weight = np.array([factorial(s) * factorial(m - 1 - s) / factorial(m) for s in range(m)])
+    for j in range(m):
+        # Elementary sums over subsets of the other features, by subset size.
+        sums = np.zeros(follows.shape)
+        sums[0] = 1
+        for i in range(m):
+            if i != j:
+                sums[1:] = sums[1:] * share[i] + sums[:-1] * follows[i]
+                sums[0] = sums[0] * share[i]
+        out[j] = value * (follows[j] - share[j]) * (weight @ sums)
+    return out
+
+
+def _leaf(value: float, path: list[tuple[int, float, float, float]]) -> Leaf:
+    m, share = len(path), np.array([p[3] for p in path])
+    table = None
+    if m <= TABLE_FEATURES:
+        table = _added(value, share, ((np.arange(1 << m) >> np.arange(m)[:, None]) & 1).astype(float))
+    return Leaf(value, [p[0] for p in path], [p[1] for p in path], [p[2] for p in path], share, table)
+
+
+def leaf_tables(trees: list[dict]) -> tuple[list[Leaf], float]:
+    """Every leaf below a split, and the base value; made once for a model."""
+    leaves, base = [], 0.0
     for tree in trees:
         for value, path in _paths(tree):
-            m = len(path)
-            share = np.array([p[3] for p in path])
-            base += value * float(share.prod())
-            if not m:
-                continue
-            follows = np.stack([(x[:, f] > low) & (x[:, f] <= high) for f, low, high, _ in path]).astype(float)
-            for j in range(m):
-                # Elementary sums over subsets of the other features, by subset size.
-                sums = np.zeros((m, len(x)))
-                sums[0] = 1
-                for i in range(m):
-                    if i != j:
-                        sums[1:] = sums[1:] * share[i] + sums[:-1] * follows[i]
-                        sums[0] = sums[0] * share[i]
-                weight = np.array([factorial(s) * factorial(m - 1 - s) / factorial(m) for s in range(m)])
-                phi[:, path[j][0]] += value * (follows[j] - share[j]) * (weight @ sums)
-    return phi, base
+            base += value * float(np.prod([p[3] for p in path]))
+            if path:
+                leaves.append(_leaf(value, path))
+    return leaves, base
+
+
+def shapley_by_tables(leaves: list[Leaf], x: np.ndarray) -> np.ndarray:
+    """Contributions (rows x features) in log-odds: one lookup for each row, leaf and feature on its path."""
+    phi = np.zeros((x.shape[1], len(x)))  # features first: a leaf adds to whole columns
+    columns = np.ascontiguousarray(x.T)
+    for leaf in leaves:
+        follows = [(columns[f] > low) & (columns[f] <= high) for f, low, high in zip(leaf.features, leaf.low, leaf.high, strict=True)]
+        if leaf.table is None:
+            found = _added(leaf.value, leaf.share, np.stack(follows).astype(float))
+        else:
+            found = leaf.table[:, sum(f.astype(np.int64) << bit for bit, f in enumerate(follows))]
+        for f, own in zip(leaf.features, found, strict=True):
+            phi[f] += own
+    return phi.T
+
+
+def shapley(trees: list[dict], x: np.ndarray) -> tuple[np.ndarray, float]:
+    """Contributions (rows x features) and the base value, in log-odds."""
+    tables, base = leaf_tables(trees)
+    return shapley_by_tables(tables, x), base
 
 
 def top_contributors(phi: np.ndarray, logodds: np.ndarray, names: list[str], k: int) -> list[list[dict]]:
@@ -228,14 +277,15 @@ def explained_by(df: DataFrame, trees: list[dict], names: list[str], k: int = 3)
     """``explained`` for trees that were exported before."""
     spark = df.sparkSession
     ship(spark)
-    held = spark.sparkContext.broadcast(trees)  # as large as the model, whatever the data
+    held = spark.sparkContext.broadcast(leaf_tables(trees))  # as large as the model, whatever the data
     vector = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in names])
 
     @F.pandas_udf(EXPLAINED)
     def explain(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        tables, base = held.value
         for x in batches:
             matrix = np.array(x.tolist(), float).reshape(len(x), len(names))
-            phi, base = shapley(held.value, matrix)
+            phi = shapley_by_tables(tables, matrix)
             logodds = base + phi.sum(1)
             yield pd.DataFrame({"prediction": 1 / (1 + np.exp(-logodds)), "prediction_logodds": logodds, "base_value": base, "top_contributors": top_contributors(phi, logodds, names, k)})
 

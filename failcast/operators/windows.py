@@ -65,28 +65,46 @@ def growth(value: str | Column, over: WindowSpec, window: str | int) -> Column:
     return F.when(F.abs(old) > TINY, (new - old) / old)
 
 
-def grouped_time_rolling(df: DataFrame, *, by, time_col: str, value_col: str, window: str | int, agg: str, new_col: str) -> DataFrame:
+def grouped_time_rolling(df: DataFrame, *, by, time_col: str, value_col: str, window: str | int, agg: str, new_col: str, rows_per_slice: int | None = None) -> DataFrame:
+    """``df`` with a left-closed rolling aggregate. Medians come from ``long_frame_rolling``, whose time does not grow with the frames'.
+
+    With ``rows_per_slice`` the histories of longer entities are cut into slices (see ``histories``).
+    """
+    from failcast.operators import histories
+
     require(df, [*by, time_col, value_col], "grouped_time_rolling")
-    return df.withColumn(new_col, rolled(value_col, keyed(df, by, time_col), window, agg))
+    if agg == "median":
+        return histories.long_frame_rolling(df, {new_col: (value_col, window, agg)}, by=by, time_col=time_col, rows_per_slice=rows_per_slice)
+    return histories.with_windows(df, lambda over: {new_col: rolled(value_col, over, window, agg)}, by=by, time_col=time_col, longest=window, rows_per_slice=rows_per_slice)
 
 
-def grouped_time_growth_rate(df: DataFrame, *, by, time_col: str, value_col: str, window: str | int, new_col: str) -> DataFrame:
+def grouped_time_growth_rate(df: DataFrame, *, by, time_col: str, value_col: str, window: str | int, new_col: str, rows_per_slice: int | None = None) -> DataFrame:
+    from failcast.operators import histories
+
     require(df, [*by, time_col, value_col], "grouped_time_growth_rate")
-    return df.withColumn(new_col, growth(value_col, keyed(df, by, time_col), window))
+    return histories.with_windows(df, lambda over: {new_col: growth(value_col, over, window)}, by=by, time_col=time_col, longest=window, rows_per_slice=rows_per_slice)
 
 
-def asof_join(left: DataFrame, right: DataFrame, *, by, time_col: str, values, tolerance: str | int | None = None) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, *, by, time_col: str, values, tolerance: str | int | None = None, rows_per_slice: int | None = None) -> DataFrame:
     """Each row of ``left`` with the values of the last row of ``right`` at or before it, by key.
 
     One union and one window instead of an inequality join: rows are never paired. A row of
-    ``right`` at the same time counts. Null values are taken as they are.
+    ``right`` at the same time counts. Null values are taken as they are. With ``rows_per_slice``
+    longer keys are cut into slices, each of which starts with the last row of ``right`` before it.
     """
+    from failcast.operators import histories
+
     mine = left.withColumn("__side", F.lit(1)).withColumn("__row", F.struct(*[F.col(c) for c in left.columns]))
     packed = F.struct(micros(right, time_col).alias("us"), *[F.col(c) for c in values])
     theirs = right.select(*by, micros(right, time_col).alias("__us"), F.lit(0).alias("__side"), packed.alias("__found"))
     both = mine.select(*by, micros(left, time_col).alias("__us"), "__side", "__row").unionByName(theirs, allowMissingColumns=True)
-    order = Window.partitionBy(*by).orderBy("__us", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    matched = both.withColumn("__last", F.last("__found", ignorenulls=True).over(order)).where("__side = 1")
+    keys, wanted = list(by), F.col("__side") == 1
+    cuts = None if rows_per_slice is None else histories.time_cuts(both, by=by, time_col=None, longest=0, rows_per_slice=rows_per_slice)
+    if cuts is not None:
+        both = histories.sliced(both, cuts, by=by, time_col=None, carried=F.col("__side") == 0)
+        keys, wanted = [*by, "__slice"], wanted & F.col("__own")
+    order = Window.partitionBy(*keys).orderBy("__us", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    matched = both.withColumn("__last", F.last("__found", ignorenulls=True).over(order)).where(wanted)
     near = F.lit(True) if tolerance is None else F.col("__us") - F.col("__last.us") <= width(tolerance)
     return matched.select("__row.*", *[F.when(near, F.col(f"__last.`{c}`")).alias(c) for c in values])
 

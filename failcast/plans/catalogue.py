@@ -642,7 +642,7 @@ def gbt_scores(spark, sf):
     names = FE.feature_columns(rows)
     train, val, test, _ = SP.temporal_split(rows.select("event_id", TIME, *names, LABEL).cache())
     kept, ratio = SP.downsample_negatives(train, keys=["event_id"], target_positive_rate=0.3)
-    made = ml.train(kept, val, sample_ratio=ratio, trials=1, max_trees=5)
+    made = ml.train(kept, val, sample_ratio=ratio, trials=9, max_trees=9)  # one bracket of three rungs
     return made.score(test).select("event_id", F.col(LABEL).cast("int").alias("label"), r6("score").alias("score"))
 
 

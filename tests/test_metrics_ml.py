@@ -1,6 +1,8 @@
+import dataclasses
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from failcast.functions.scalars import prior_corrected
 from failcast.operators import metrics as M
 from failcast.operators import ml
-from failcast.operators.calibrate import Calibrator
+from failcast.operators.calibrate import Calibrator, isotonic_pools
 from failcast.schema import LABEL, TIME, ContractError
 from helpers import at
 
@@ -154,6 +156,72 @@ def test_shapley_equals_the_definition(trained):
             assert math.isclose(phi[i, j], want, abs_tol=1e-9)
 
 
+def test_long_paths_have_no_table_and_the_same_values(trained, monkeypatch):
+    _, made = trained
+    trees, x = ml.exported(made.model), np.random.default_rng(4).standard_normal((50, 5))
+    want, base = ml.shapley(trees, x)
+    monkeypatch.setattr(ml, "TABLE_FEATURES", 1)
+    got, same = ml.shapley(trees, x)
+    assert np.allclose(got, want, atol=1e-12) and base == same
+    assert any(leaf.table is None for leaf in ml.leaf_tables(trees)[0])
+
+
+def test_tables_are_faster_than_subsets():
+    """100 trees of depth 6 over 12 features."""
+    rng = np.random.default_rng(5)
+
+    def grown(depth):
+        nodes = {k: [] for k in ("feature", "threshold", "left", "right", "value", "cover")}
+
+        def add(level, cover):
+            at = len(nodes["feature"])
+            for k, v in (("feature", int(rng.integers(12)) if level else -1), ("threshold", float(rng.normal())), ("left", -1), ("right", -1), ("value", float(rng.normal())), ("cover", cover)):
+                nodes[k].append(v)
+            if level:
+                nodes["left"][at], nodes["right"][at] = add(level - 1, cover * 0.6), add(level - 1, cover * 0.4)
+            return at
+
+        add(depth, 1000.0)
+        return {k: np.array(v) for k, v in nodes.items()}
+
+    trees, x = [grown(6) for _ in range(100)], rng.normal(size=(400, 12))
+    leaves, _ = ml.leaf_tables(trees)
+    began = time.perf_counter()
+    fast = ml.shapley_by_tables(leaves, x)
+    middle = time.perf_counter()
+    slow = ml.shapley_by_tables([dataclasses.replace(leaf, table=None) for leaf in leaves], x)
+    assert np.allclose(fast, slow, atol=1e-9) and time.perf_counter() - middle > 3 * (middle - began)
+
+
+def test_isotonic_pools_equal_adjacent_violators(spark):
+    rng = np.random.default_rng(7)
+    for scores, ranges in ((rng.random(1500) * 1e-4, 64), (rng.integers(0, 30, 800) / 30, 1024), (rng.random(300), 2), (np.full(9, 0.5), 8)):
+        y = (rng.random(len(scores)) < scores / scores.max()).astype(int)
+        blocks = []  # [sum, n, low, high] of pools, merged while they fall
+        for p in sorted(set(scores)):
+            blocks.append([int(y[scores == p].sum()), int((scores == p).sum()), p, p])
+            while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+                s, n, _, high = blocks.pop()
+                blocks[-1] = [blocks[-1][0] + s, blocks[-1][1] + n, blocks[-1][2], high]
+        df = pairs(spark, y, scores)
+        got = [tuple(r) for r in isotonic_pools(df, ranges=ranges).orderBy("low").collect()]
+        assert got == [(low, high, s / n, n) for s, n, low, high in blocks]
+
+
+def test_ranges_of_rare_scores_are_even(spark):
+    """All scores below 0.0002, half of them nearly the same."""
+    rng = np.random.default_rng(9)
+    p = np.concatenate((rng.random(20_000) * 2e-4, 1e-5 + rng.random(20_000) * 1e-9))
+    df = pairs(spark, (rng.random(40_000) < 0.01).astype(int), p)
+    sizes = [r["count"] for r in M.with_score_ranges(df.withColumnRenamed("score", "p")).groupBy("slice").count().collect()]
+    assert len(sizes) > 900 and max(sizes) < 3 * 40_000 / M.SLICES
+    few = df.limit(1500).cache()
+    got = M.headline_metrics(few)
+    rows = few.collect()
+    for k, v in brute([r[LABEL] for r in rows], [r.score for r in rows]).items():
+        assert math.isclose(got[k], v, abs_tol=1e-12), k
+
+
 def test_feature_checks(spark, trained):
     df, _ = trained
     with pytest.raises(ContractError, match="no feat_"):
@@ -170,6 +238,7 @@ def test_search_prunes_stops_early_and_refits(spark):
     df = spark.createDataFrame(rows, f"feat_a double, feat_b double, {LABEL} int")
     learn, check = df.limit(400), df.exceptAll(df.limit(400))
     made = ml.train(learn, check, trials=5, max_trees=16, refit=True)
-    assert len(made.trials) == 5 and sum(not t["pruned"] for t in made.trials) == 1
-    whole = next(t for t in made.trials if not t["pruned"])
-    assert whole["trees"] == made.trees == made.model.getNumTrees <= 16 and made.pr_auc == whole["pr_auc"] > 0.8
+    assert len(made.trials) == 5 and 1 <= sum(not t["pruned"] for t in made.trials) < 5
+    assert all(("16" in t["pr_auc_by_trees"]) == (not t["pruned"]) for t in made.trials)
+    assert made.trees == made.model.getNumTrees <= 16
+    assert made.pr_auc == max(t["pr_auc_by_trees"].get("16", 0) for t in made.trials) > 0.8

@@ -129,6 +129,26 @@ def small_side(df: DataFrame, most: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+#: Keys with at least this share of all rows are hot; there are at most 1 / ``HOT_SHARE`` of them.
+HOT_SHARE = 1e-4
+
+
+def hot_join(rows: DataFrame, unique: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of written ``rows`` with written ``unique``, which has each key once.
+
+    Rows of hot keys meet their partner by broadcast, so no key's rows go to one task; the others are joined as usual.
+    """
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
+    total = rows.count()
+    hot = counts.where(F.col("__n") >= max(2.0, total * HOT_SHARE)).select(*keys)
+    partner = written(unique.join(F.broadcast(hot), keys, "left_semi"))
+    if partner.isEmpty():
+        return rows.join(unique, keys)
+    few = F.broadcast(partner)
+    rest = rows.join(F.broadcast(partner.select(*keys)), keys, "left_anti").join(unique, keys)
+    return rows.join(few, keys).unionByName(rest)
+
+
 def whole_text(text: str | Column = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

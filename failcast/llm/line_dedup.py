@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from failcast.deploy import ship
-from failcast.llm.common import WHITE_SPACE, ascii_lower, small_side, whole_text, written
+from failcast.llm.common import WHITE_SPACE, ascii_lower, hot_join, small_side, whole_text, written
 
 SLOTS = 4
 MAX_KICKS = 500
@@ -41,6 +41,7 @@ BROADCAST_SHARDS = 100_000
 #: Of all filters together.
 BROADCAST_BYTES = 64 << 20
 #: Documents whose lost keys (16 bytes each) may be broadcast.
+BROADCAST_LINES = 100_000
 BROADCAST_DOCS = 200_000
 #: Rows without an id are dealt by their text to so many groups.
 NULL_GROUPS = 4096
@@ -262,7 +263,10 @@ def _probe_by_shard(state: DataFrame, filters: DataFrame, shards: int) -> DataFr
 
 def _lost(maybe: DataFrame, frequent: DataFrame) -> DataFrame:
     """(__gone_id, __gone_part, __gone): the keys that a document loses, by postings that may be frequent and the exact table."""
-    sure = maybe.join(frequent, ["h1", "h2"]).where(F.col("doc_id").isNull() & F.col("keeper").isNotNull() | (F.col("doc_id") < F.col("keeper")))
+    # Very many documents may have one line.
+    keys = ["h1", "h2"]
+    found = maybe.join(F.broadcast(frequent), keys) if frequent.count() <= BROADCAST_LINES else hot_join(written(maybe), frequent, keys)
+    sure = found.where(F.col("doc_id").isNull() & F.col("keeper").isNotNull() | (F.col("doc_id") < F.col("keeper")))
     return sure.groupBy(F.col("doc_id").alias("__gone_id"), F.col("part").alias("__gone_part")).agg(F.collect_list(F.struct("h1", "h2")).alias("__gone"))
 
 
@@ -367,7 +371,7 @@ class Store:
         own = postings(docs, id_col=id_col, text_col=text_col, min_chars=self.min_chars)
         maybe = written(probe(own, self.filters(), self.shards))
         wanted = self.postings().join(maybe.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
-        gone = _lost(maybe, reference_counts(wanted).where(F.col("refs") >= self.min_docs))
+        gone = _lost(maybe, written(reference_counts(wanted).where(F.col("refs") >= self.min_docs)))
         return _without(docs, gone, id_col=id_col, text_col=text_col, min_chars=self.min_chars)
 
 

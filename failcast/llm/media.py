@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from failcast.deploy import ship
-from failcast.llm.common import documents, free_shuffles, temporary_table, whole_text, written
+from failcast.llm.common import documents, free_shuffles, hot_join, temporary_table, whole_text, written
 
 FRAME = 192
 LEAST, MOST, CUT_BITS = 1024, 16384, 12
@@ -243,8 +243,9 @@ def media_columns(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             spark.createDataFrame([(dictionary,)], "dictionary binary").write.saveAsTable(f"{name}_dictionary")
     kept = store(chunks(docs, dictionary, text_col=text_col), name)
     free_shuffles(spark)
-    facts = read_back(rebuilt(lists.select("media_sha256", "digests"), kept), dictionary)
-    out = lists.select("doc_id", "n_bytes", "media_sha256").join(facts, "media_sha256")
+    facts = written(read_back(rebuilt(lists.select("media_sha256", "digests"), kept), dictionary))
+    # All rows of one text, such as all empty ones, have one media file.
+    out = hot_join(lists.select("doc_id", "n_bytes", "media_sha256"), facts, ["media_sha256"])
     return out.withColumn("media_sha256", F.lower(F.hex("media_sha256")))
 
 

@@ -23,6 +23,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.add_argument("--lead", type=float, default=30)
     p.add_argument("--cooldown", type=float, default=5)
+    p.add_argument("--table", help="also keep the frame as a table laid out by entity")
     p = sub.add_parser("trace", help="trace CSVs to a labelled wide frame")
     for name in ("--source", "--work", "--out"):
         p.add_argument(name, required=True)
@@ -30,7 +31,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--base-url", required=True)
     p.add_argument("--target", required=True)
     p = sub.add_parser("features", help="labelled frames to split feature frames")
-    p.add_argument("--inputs", nargs="+", required=True)
+    source = p.add_mutually_exclusive_group(required=True)
+    source.add_argument("--inputs", nargs="+", default=[])
+    source.add_argument("--table", help="a table that label has kept")
     p.add_argument("--out", required=True)
     p.add_argument("--dispatch", choices=("frame", "row"), default="frame")
     p = sub.add_parser("train", help="baseline and boosted trees")
@@ -61,11 +64,11 @@ def main(args: list[str] | None = None, spark=None) -> int:
             print("no samples in the span", file=sys.stderr)
             return 2
     elif a.command == "label":
-        made = jobs.label(spark, a.source, a.out, lead_minutes=a.lead, cooldown_minutes=a.cooldown)
+        made = jobs.label(spark, a.source, a.out, lead_minutes=a.lead, cooldown_minutes=a.cooldown, table=a.table)
     elif a.command == "trace":
         made = jobs.label_trace(spark, a.source, a.work, a.out)
     elif a.command == "features":
-        made = jobs.features(spark, a.inputs, a.out, a.dispatch)
+        made = jobs.features(spark, a.inputs, a.out, a.dispatch, table=a.table)
     else:
         made = jobs.train(spark, a.source, a.out, dataset=a.dataset, trials=a.trials)["gates"]
     print(json.dumps(made, default=str))

@@ -30,7 +30,7 @@ LONGEST = "1h"
 PREFIX = "feat_"
 
 
-def _value(df: DataFrame, name: str) -> Column:
+def value_of(df: DataFrame, name: str) -> Column:
     return null_if_nan(F.col(name).cast("double")) if name in df.columns else F.lit(None).cast("double")
 
 
@@ -43,12 +43,12 @@ def _dispatched(df: DataFrame, trace_column: str, trace: Column, own: Column, di
 
 
 def memory_share(df: DataFrame, dispatch: str = "frame") -> Column:
-    own = guarded_ratio(_value(df, WORKING_SET), _value(df, MEMORY_LIMIT))
-    return _dispatched(df, TRACE_MEMORY, fraction(_value(df, TRACE_MEMORY)), own, dispatch)
+    own = guarded_ratio(value_of(df, WORKING_SET), value_of(df, MEMORY_LIMIT))
+    return _dispatched(df, TRACE_MEMORY, fraction(value_of(df, TRACE_MEMORY)), own, dispatch)
 
 
 def cpu_share(df: DataFrame, dispatch: str = "frame") -> Column:
-    return _dispatched(df, TRACE_CPU, fraction(_value(df, TRACE_CPU)), _value(df, CPU), dispatch)
+    return _dispatched(df, TRACE_CPU, fraction(value_of(df, TRACE_CPU)), value_of(df, CPU), dispatch)
 
 
 def add_temporal_features(df: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def add_mem_pct_of_limit(df: DataFrame, dispatch: str = "frame") -> DataFrame:
 
 def _spread(df: DataFrame, over: WindowSpec, name: str, window: str) -> Column:
     """Largest less smallest in the window."""
-    return rolled(_value(df, name), over, window, "max") - rolled(_value(df, name), over, window, "min")
+    return rolled(value_of(df, name), over, window, "max") - rolled(value_of(df, name), over, window, "min")
 
 
 def _memory(df: DataFrame, over: WindowSpec) -> dict[str, Column]:
@@ -72,9 +72,13 @@ def _memory(df: DataFrame, over: WindowSpec) -> dict[str, Column]:
     return out | _lab_memory(df, over)
 
 
+def rss_gap(df: DataFrame) -> Column:
+    return guarded_ratio(value_of(df, WORKING_SET) - value_of(df, RSS), value_of(df, MEMORY_LIMIT))
+
+
 def _lab_memory(df: DataFrame, over: WindowSpec) -> dict[str, Column]:
     return {
-        "feat_mem_ws_rss_gap_pct": guarded_ratio(_value(df, WORKING_SET) - _value(df, RSS), _value(df, MEMORY_LIMIT)),
+        "feat_mem_ws_rss_gap_pct": rss_gap(df),
         "feat_mem_failcnt__5min_rate": _spread(df, over, FAILURES, "5min") if FAILURES in df.columns else F.lit(None).cast("double"),
     }
 
@@ -101,8 +105,12 @@ def add_memory_features(df: DataFrame, dispatch: str = "frame") -> DataFrame:
     return out.withColumns(_memory(out, keyed(out, ENTITY, TIME)))
 
 
+def throttle_ratio(df: DataFrame) -> Column:
+    return guarded_ratio(value_of(df, THROTTLED), value_of(df, PERIODS))
+
+
 def add_cpu_throttle_ratio(df: DataFrame) -> DataFrame:
-    return df.withColumn("feat_cpu_throttle_ratio", guarded_ratio(_value(df, THROTTLED), _value(df, PERIODS)))
+    return df.withColumn("feat_cpu_throttle_ratio", throttle_ratio(df))
 
 
 def add_cpu_features(df: DataFrame, dispatch: str = "frame") -> DataFrame:

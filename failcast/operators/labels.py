@@ -8,7 +8,7 @@ either side, which two running windows give: no join of rows with intervals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from failcast.functions.scalars import micros
@@ -67,7 +67,16 @@ def generate_trace_labels(long: DataFrame, *, lead_minutes: float = LEAD_MINUTES
     return _generate(long, disappeared(long, **detector), lead_minutes, cooldown_minutes, metrics)
 
 
+def summary_columns(label: str = LABEL) -> dict[str, Column]:
+    """Aggregates of a label summary that can be observed while a frame is written."""
+    return {"n_positive": F.coalesce(F.sum(F.col(label).cast("long")), F.lit(0)), "n_labelled": F.count(label)}
+
+
+def summarised(n_rows: int, n_positive: int, n_labelled: int, n_entities: int) -> dict:
+    return {"n_rows": n_rows, "n_positive": int(n_positive), "positive_rate": round(n_positive / n_labelled, 4) if n_labelled else 0.0, "n_entities": n_entities}
+
+
 def label_summary(rows: DataFrame, label: str = LABEL) -> dict:
     """Rows, positives, rate and entities, in one aggregate."""
-    out = rows.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(label), F.lit(0)).alias("n_positive"), F.avg(F.col(label).cast("double")).alias("rate"), F.count_distinct(*ENTITY).alias("n_entities")).first()
-    return {"n_rows": out["n_rows"], "n_positive": int(out["n_positive"]), "positive_rate": round(out["rate"] or 0.0, 4), "n_entities": out["n_entities"]}
+    out = rows.agg(F.count("*").alias("n_rows"), *[c.alias(name) for name, c in summary_columns(label).items()], F.count_distinct(*ENTITY).alias("n_entities")).first()
+    return summarised(out["n_rows"], out["n_positive"], out["n_labelled"], out["n_entities"])

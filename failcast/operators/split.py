@@ -6,7 +6,7 @@ import json
 from dataclasses import asdict, dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from failcast.functions.scalars import micros
@@ -132,8 +132,10 @@ def negatives_to_keep(n_positive: int, n_negative: int, rate: float = POSITIVE_R
     return Balance(n_positive, n_negative, min(n_negative, round(n_positive * (1 - rate) / rate)))
 
 
-def downsample_negatives(df: DataFrame, *, label_col: str = LABEL, target_positive_rate: float = POSITIVE_RATE, keys=None, random_state: int = 42) -> tuple[DataFrame, float]:
-    """All positives and an exact number of negatives, the least by a seeded hash of ``keys``.
+def downsample_negatives(df: DataFrame, *, label_col: str = LABEL, target_positive_rate: float = POSITIVE_RATE, keys=None, random_state: int = 42, order: Column | None = None) -> tuple[DataFrame, float]:
+    """All positives and an exact number of negatives, the least by a seeded hash of ``keys``, or by ``order``.
+
+    ``order`` is a whole number from 0 to 2^63 - 1 for each row, for a choice that other systems can make too.
 
     Counts of the hashes' top bits find the bound like a rank in time; the slice that holds it is
     counted finer. Rows that tie at the bound are settled by a window over those rows alone.
@@ -141,7 +143,8 @@ def downsample_negatives(df: DataFrame, *, label_col: str = LABEL, target_positi
     require(df, [label_col], "downsample_negatives")
     keys = list(keys or [c for c in df.columns if c != label_col])
     # The hash is taken as a whole number below 2^63, so that ranges of it do not overflow.
-    marked = df.withColumn("__hash", F.shiftrightunsigned(F.xxhash64(F.lit(random_state), *keys), 1))
+    hashed = F.shiftrightunsigned(F.xxhash64(F.lit(random_state), *keys), 1) if order is None else order.cast("long")
+    marked = df.withColumn("__hash", hashed)
     positive = F.col(label_col) == 1
     n_pos, n_neg = df.agg(F.count_if(positive), F.count_if(~positive)).first()
     plan = negatives_to_keep(n_pos, n_neg, target_positive_rate)

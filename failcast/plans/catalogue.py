@@ -97,6 +97,65 @@ for _agg in W.AGGREGATES:
     _rolling(_agg)
 
 
+_HOT = "CASE WHEN event_id % 2 = 0 THEN 0 ELSE user_id END"
+#: Rows of a slice of the queries over one entity that has half of all rows.
+_HOT_SLICE = 500
+
+
+def _hot(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").withColumn("user_id", F.expr(_HOT))
+
+
+@query(f"""SELECT event_id, round(avg(value) OVER w, 6) AS mean, round(max(value) OVER w, 6) AS most, round(stddev_samp(value) OVER w, 6) AS std,
+round((epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY {_HOT}))) / 1000000.0::DOUBLE, 6) AS age_sec
+FROM events WINDOW w AS (PARTITION BY {_HOT} ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""")
+def hot_entity_windows(spark, sf):
+    """One entity has half of the rows; its history is cut into slices of time."""
+    from failcast.operators.histories import with_windows
+
+    rows = _hot(spark, sf).select("event_id", "user_id", "ts", "value")
+    us = S.micros(rows, "ts")
+
+    def columns(over):
+        first = F.min(us).over(over.rangeBetween(-(1 << 62), 0))
+        return {"mean": W.rolled("value", over, "6h", "mean"), "most": W.rolled("value", over, "6h", "max"), "std": W.rolled("value", over, "6h", "std"), "age_sec": (us - first) / F.lit(1e6)}
+
+    out = with_windows(rows, columns, by=["user_id"], time_col="ts", longest="6h", rows_per_slice=_HOT_SLICE)
+    return out.select("event_id", *[r6(c).alias(c) for c in ("mean", "most", "std", "age_sec")])
+
+
+@query(f"""WITH e AS (SELECT event_id, {_HOT} AS u, ts, event_type FROM events)
+SELECT a.event_id, max(b.ts) AS error_ts FROM (SELECT * FROM e WHERE event_type <> 'error') a
+LEFT JOIN (SELECT * FROM e WHERE event_type = 'error') b ON a.u = b.u AND b.ts <= a.ts GROUP BY a.event_id""")
+def hot_entity_asof(spark, sf):
+    rows = _hot(spark, sf)
+    left = rows.where("event_type <> 'error'").select("event_id", "user_id", "ts")
+    right = rows.where("event_type = 'error'").select("user_id", "ts", F.col("ts").alias("error_ts"))
+    return W.asof_join(left, right, by=["user_id"], time_col="ts", values=["error_ts"], rows_per_slice=_HOT_SLICE).select("event_id", "error_ts")
+
+
+@query(f"""WITH e AS (SELECT event_id, {_HOT} AS u, ts, event_type FROM events), x AS (SELECT u, ts FROM e WHERE event_type = 'error')
+SELECT event_id, (EXISTS (SELECT 1 FROM x WHERE x.u = e.u AND e.ts >= x.ts - INTERVAL 1 HOUR AND e.ts < x.ts))::INT AS label
+FROM e WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.u = e.u AND e.ts >= x.ts AND e.ts <= x.ts + INTERVAL 10 MINUTE)""")
+def hot_entity_labels(spark, sf):
+    rows = _hot(spark, sf).select("event_id", "event_type", F.col("ts").alias(TIME), F.col("user_id").cast("string").alias("pod_uid"), F.lit("c").alias("container"))
+    events = rows.where("event_type = 'error'").select("pod_uid", "container", F.col(TIME).alias("event_ts"))
+    out = L.labelled(rows, events, lead="1h", cooldown="10min", rows_per_slice=_HOT_SLICE)
+    return out.select("event_id", F.col(LABEL).cast("int").alias("label"))
+
+
+@query("""SELECT event_id, round(median(value) OVER w, 6) AS median, round(max(value) OVER w, 6) AS most, round(min(value) OVER w, 6) AS least, round(sum(value) OVER w, 6) AS total, round(stddev_samp(value) OVER w, 6) AS std
+FROM events WINDOW w AS (PARTITION BY user_id % 5 ORDER BY ts RANGE BETWEEN INTERVAL 10 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""")
+def rolling_long_frames(spark, sf):
+    """Frames of a third of an entity's history, for five entities."""
+    from failcast.operators.histories import long_frame_rolling
+
+    rows = table(spark, sf, "events").select("event_id", (F.col("user_id") % 5).alias("entity"), "ts", "value")
+    names = {"median": "median", "most": "max", "least": "min", "total": "sum", "std": "std"}
+    out = long_frame_rolling(rows, {n: ("value", "10d", a) for n, a in names.items()}, by=["entity"], time_col="ts")
+    return out.select("event_id", *[r6(n).alias(n) for n in names])
+
+
 @query("""SELECT a.event_id, round(CASE WHEN abs(b.value) > 1e-12 THEN (a.value - b.value) / b.value END, 6) AS growth
 FROM events a ASOF LEFT JOIN events b ON a.user_id = b.user_id AND a.ts - INTERVAL 1 DAY >= b.ts""")
 def asof_growth_rate(spark, sf):
@@ -399,6 +458,18 @@ def downsample_counts(spark, sf):
     return kept.groupBy("label").agg(F.count("*").alias("n"))
 
 
+@query("""WITH r AS (SELECT event_id, (event_type = 'error')::INT AS label, ('0x' || substr(md5(event_id::VARCHAR), 1, 15))::BIGINT AS h FROM events),
+k AS (SELECT least(count(*) FILTER (WHERE label = 0), round_even(count(*) FILTER (WHERE label = 1) * 0.7 / 0.3, 0))::BIGINT AS n FROM r)
+SELECT event_id, label FROM r WHERE label = 1
+UNION ALL SELECT event_id, label FROM (SELECT *, row_number() OVER (ORDER BY h, event_id) AS i FROM r WHERE label = 0), k WHERE i <= n""")
+def downsampled_rows(spark, sf):
+    """Which rows are kept, by an order that both sides can compute."""
+    rows = table(spark, sf, "events").select("event_id", (F.col("event_type") == "error").cast("int").alias("label"))
+    order = F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 15), 16, 10)
+    kept, _ = SP.downsample_negatives(rows, label_col="label", target_positive_rate=0.3, keys=["event_id"], order=order)
+    return kept.select("event_id", "label")
+
+
 # Ranking metrics ----------------------------------------------------------------------------
 
 

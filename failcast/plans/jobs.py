@@ -15,9 +15,10 @@ from failcast.operators import features as FE
 from failcast.operators import metrics as M
 from failcast.operators import ml
 from failcast.operators.calibrate import Calibrator
-from failcast.operators.labels import generate_labels, generate_trace_labels, label_summary
+from failcast.operators.histories import SLICE_ROWS
+from failcast.operators.labels import generate_labels, generate_trace_labels, summarised, summary_columns
 from failcast.operators.split import downsample_negatives, temporal_split
-from failcast.schema import BASELINE_THRESHOLD, COOLDOWN_MINUTES, DECISION_THRESHOLD, LEAD_MINUTES, TIME, TRACE_NAMESPACE, ContractError
+from failcast.schema import BASELINE_THRESHOLD, COOLDOWN_MINUTES, DECISION_THRESHOLD, ENTITY, LEAD_MINUTES, TIME, TRACE_NAMESPACE, ContractError
 from failcast.sources import files, trace
 from failcast.sources.range_query import read_range
 
@@ -36,14 +37,21 @@ def scrape(spark: SparkSession, out: str, **options) -> list[dict]:
         long.unpersist()
 
 
-def label(spark: SparkSession, source: str, out: str, *, lead_minutes: float = LEAD_MINUTES, cooldown_minutes: float = COOLDOWN_MINUTES, trace_events: bool = False, namespace: str | None = None) -> dict:
-    """Long frames -> one labelled wide frame and its summary."""
+def label(spark: SparkSession, source: str, out: str, *, lead_minutes: float = LEAD_MINUTES, cooldown_minutes: float = COOLDOWN_MINUTES, trace_events: bool = False, namespace: str | None = None, table: str | None = None) -> dict:
+    """Long frames -> one labelled wide frame and its summary, which is counted while the frame is written.
+
+    With ``table`` the frame is also kept as a table laid out by entity, which ``features`` reads without an exchange.
+    """
     long = files.read_long(spark, source)
     if namespace:
         long = long.where(F.col("namespace") == namespace)
     make = generate_trace_labels if trace_events else generate_labels
-    files.write_parquet(make(long, lead_minutes=lead_minutes, cooldown_minutes=cooldown_minutes), out)
-    summary = label_summary(spark.read.parquet(out))
+    made, seen = files.counted(make(long, lead_minutes=lead_minutes, cooldown_minutes=cooldown_minutes), **summary_columns())
+    files.write_parquet(made, out)
+    n_entities = spark.read.parquet(out).select(*ENTITY).distinct().count()  # two columns of what was written
+    summary = summarised(n_entities=n_entities, **seen.get)
+    if table:
+        files.write_entity_table(spark.read.parquet(out), table)
     files.write_json(spark, f"{out}.metrics.json", summary)
     return summary
 
@@ -56,18 +64,21 @@ def label_trace(spark: SparkSession, source: str, work: str, out: str, **options
     return label(spark, f"{work}/*.parquet", out, trace_events=True, namespace=TRACE_NAMESPACE, **options)
 
 
-def features(spark: SparkSession, inputs: list[str], out: str, dispatch: str = "frame") -> dict:
-    """Labelled frames -> train, val and test feature frames with their JSON records."""
-    wide = files.read_union(spark, inputs)
-    n_in = wide.count()
-    model = FE.select_model_columns(FE.build_features(wide, dispatch=dispatch))
+def features(spark: SparkSession, inputs: list[str], out: str, dispatch: str = "frame", *, table: str | None = None, rows_per_slice: int | None = SLICE_ROWS) -> dict:
+    """Labelled frames, or a table of them, -> train, val and test feature frames with their JSON records.
+
+    Entities of more than ``rows_per_slice`` rows are worked on in slices of time.
+    """
+    wide = spark.table(table) if table else files.read_union(spark, inputs)
+    n_in = wide.count()  # reads no column
+    model, seen = files.counted(FE.select_model_columns(FE.build_features(wide, dispatch=dispatch, rows_per_slice=rows_per_slice)))
     files.write_parquet(model, f"{out}/all.parquet")
     model = spark.read.parquet(f"{out}/all.parquet")
     train, val, test, metrics = temporal_split(model)
     for name, part in (("train", train), ("val", val), ("test", test)):
         files.write_parquet(part, f"{out}/{name}.parquet")
     names = FE.feature_columns(model)
-    record = {"n_input_rows": n_in, "n_output_rows": model.count(), "n_features": len(names)}
+    record = {"n_input_rows": n_in, "n_output_rows": seen.get["n_rows"], "n_features": len(names)}
     files.write_json(spark, f"{out}/feature_list.json", names)
     files.write_json(spark, f"{out}/feature_metrics.json", record)
     files.write_json(spark, f"{out}/split_metrics.json", {r["split"]: r.asDict() for r in metrics.collect()})

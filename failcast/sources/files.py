@@ -7,11 +7,11 @@ import math
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from failcast.schema import LONG_COLUMNS, LONG_SCHEMA, TIME, ContractError, require
+from failcast.schema import ENTITY, LONG_COLUMNS, LONG_SCHEMA, TIME, ContractError, require
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -74,6 +74,21 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_entity_table(df: DataFrame, name: str, *, buckets: int = 64, by=ENTITY, time: str = TIME) -> None:
+    """A table whose files hold an entity each as a whole, sorted by time: windows over entities read it without an exchange.
+
+    The table lies in the warehouse, which all executors must share.
+    """
+    require(df, [*by, time], "write_entity_table")
+    df.repartition(buckets, *by).write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by, time).saveAsTable(name)
+
+
+def counted(df: DataFrame, **sums) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of its rows (n_rows) and of ``sums``, made in the pass that writes it."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *[c.alias(name) for name, c in sums.items()]), seen
+
+
 def empty_long(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LONG_SCHEMA)
 

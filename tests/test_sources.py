@@ -6,8 +6,9 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 from urllib.parse import parse_qs, urlparse
 
 import pytest
+from pyspark.sql import functions as F
 
-from failcast.schema import LONG_COLUMNS, META_METRICS, TIME, USAGE_METRICS, ContractError
+from failcast.schema import LABEL, LONG_COLUMNS, LONG_SCHEMA, META_METRICS, TIME, USAGE_METRICS, ContractError
 from failcast.sources import fetch, files, trace
 from failcast.sources import range_query as RQ
 from helpers import T0, at, long_rows
@@ -164,3 +165,59 @@ def test_archives_resume_and_check_their_size(tmp_path):
     with pytest.raises(fetch.ArchiveError, match="whole"):
         fetch.fetch(url, tmp_path / "x", [fetch.Archive("tiny", 5, 6)])
     http.shutdown()
+
+
+def test_filters_reach_the_server(spark, server):
+    url, asked = server
+    options = {"url": url, "start": T0.isoformat(), "end": (T0 + timedelta(hours=2)).isoformat(), "metrics": "container_memory_rss,container_memory_cache,container_memory_failcnt"}
+    df = RQ.read_range(spark, **options)
+    want = df.collect()
+    assert len(asked) == 3 * 8
+    lines = [
+        (F.col("metric_name") == "container_memory_rss", 8),
+        (F.col("metric_name").isin("container_memory_rss", "container_memory_cache", "other"), 16),
+        ((F.col(TIME) >= F.lit(T0 + timedelta(minutes=61))) & (F.col("metric_name") == "container_memory_cache"), 4),
+        ((F.col(TIME) > F.lit(T0 + timedelta(minutes=20))) & (F.col(TIME) < F.lit(T0 + timedelta(minutes=35))), 6),
+        (F.col("metric_name") == "none of them", 0),
+    ]
+    for condition, n in lines:
+        asked.clear()
+        got = RQ.read_range(spark, **options).where(condition).collect()
+        assert len(asked) == n
+        assert sorted(map(str, got)) == sorted(map(str, spark.createDataFrame(want, df.schema).where(condition).collect()))
+
+
+def test_stream_goes_on_where_it_stopped(spark, server, tmp_path):
+    url, asked = server
+
+    def run(minutes):
+        options = {"url": url, "start": T0.isoformat(), "end": (T0 + timedelta(minutes=minutes)).isoformat(), "metrics": "container_memory_rss,container_memory_cache", "step": 60, "chunk_minutes": 10}
+        query = RQ.stream_range(spark, **options).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    for minutes in (20, 20, 45, 60):
+        run(minutes)
+    spans = sorted((float(q["start"]) - T0.timestamp(), float(q["end"]) - T0.timestamp()) for q in asked if q["query"].startswith("container_memory_rss"))
+    grid = [t for a, b in spans for t in range(int(a), int(b) + 1, 60)]
+    assert sorted(grid) == list(range(0, 3600, 60)) and max(b - a for a, b in spans) <= 540
+    rows = spark.read.schema(LONG_SCHEMA).parquet(f"{tmp_path}/out").collect()
+    assert len(rows) == len({(r[TIME], r.metric_name) for r in rows}) == len(asked)
+
+
+def test_entity_table_is_read_without_an_exchange(spark):
+    from failcast.operators import features as FE
+
+    rows = [(at(seconds=15 * i), f"u{i % 7}", "c", "ns", f"pod-{i % 7}-x", f"n{i % 2}", float(i % 11), 20.0, int(i % 40 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, f"{TIME} timestamp, pod_uid string, container string, namespace string, pod string, node string, `{FE.WORKING_SET}` double, `{FE.MEMORY_LIMIT}` double, {LABEL} int")
+    files.write_entity_table(df, "entity_rows", buckets=4)
+    entity_exchange = lambda x: x._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(pod_uid")
+    laid, plain = FE.build_features(spark.table("entity_rows")), FE.build_features(df)
+    assert entity_exchange(laid) == 0 and entity_exchange(plain) > 0
+    assert sorted(map(str, laid.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    spark.sql("DROP TABLE entity_rows")
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    df, seen = files.counted(spark.range(50), total=F.sum("id"))
+    files.write_parquet(df, f"{tmp_path}/x")
+    assert seen.get == {"n_rows": 50, "total": 1225}

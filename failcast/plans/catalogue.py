@@ -106,7 +106,7 @@ def _hot(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").withColumn("user_id", F.expr(_HOT))
 
 
-@query(f"""SELECT event_id, round(avg(value) OVER w, 6) AS mean, round(max(value) OVER w, 6) AS most, round(stddev_samp(value) OVER w, 6) AS std,
+@query(f"""SELECT event_id, round(sum(value) OVER w, 6) AS total, round(max(value) OVER w, 6) AS most, round(stddev_samp(value) OVER w, 6) AS std,
 round((epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY {_HOT}))) / 1000000.0::DOUBLE, 6) AS age_sec
 FROM events WINDOW w AS (PARTITION BY {_HOT} ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""")
 def hot_entity_windows(spark, sf):
@@ -118,10 +118,10 @@ def hot_entity_windows(spark, sf):
 
     def columns(over):
         first = F.min(us).over(over.rangeBetween(-(1 << 62), 0))
-        return {"mean": W.rolled("value", over, "6h", "mean"), "most": W.rolled("value", over, "6h", "max"), "std": W.rolled("value", over, "6h", "std"), "age_sec": (us - first) / F.lit(1e6)}
+        return {"total": W.rolled("value", over, "6h", "sum"), "most": W.rolled("value", over, "6h", "max"), "std": W.rolled("value", over, "6h", "std"), "age_sec": (us - first) / F.lit(1e6)}
 
     out = with_windows(rows, columns, by=["user_id"], time_col="ts", longest="6h", rows_per_slice=_HOT_SLICE)
-    return out.select("event_id", *[r6(c).alias(c) for c in ("mean", "most", "std", "age_sec")])
+    return out.select("event_id", *[r6(c).alias(c) for c in ("total", "most", "std", "age_sec")])
 
 
 @query(f"""WITH e AS (SELECT event_id, {_HOT} AS u, ts, event_type FROM events)
@@ -713,7 +713,7 @@ def gbt_scores(spark, sf):
     names = FE.feature_columns(rows)
     train, val, test, _ = SP.temporal_split(rows.select("event_id", TIME, *names, LABEL).cache())
     kept, ratio = SP.downsample_negatives(train, keys=["event_id"], target_positive_rate=0.3)
-    made = ml.train(kept, val, sample_ratio=ratio, trials=9, max_trees=9)  # one bracket of three rungs
+    made = ml.train(kept, val, sample_ratio=ratio, trials=5, max_trees=9)  # one bracket of two rungs
     return made.score(test).select("event_id", F.col(LABEL).cast("int").alias("label"), r6("score").alias("score"))
 
 

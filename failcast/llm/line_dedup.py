@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -310,27 +311,46 @@ class Store:
 
     A batch is a folder ``batch=N`` with rows of sign 1 (came) or -1 (went). A version counts
     once its filters are written, last, so a batch that was cut off is as if it had never begun. A batch only
-    moves its own rows, its keys and the postings of these.
+    moves its own rows, its keys and the postings of these. After every ``compact_every`` batches the postings that
+    are left are written together, in a folder for each shard of keys, so reading the state takes one such version and
+    the few batches since, however long the log is.
     """
 
-    def __init__(self, spark: SparkSession, path: str, *, min_chars: int = 40, min_docs: int = 5, shards: int = 64):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, *, min_chars: int = 40, min_docs: int = 5, shards: int = 64, compact_every: int = 16):
+        self.spark, self.path, self.compact_every = spark, path.rstrip("/"), compact_every
         self.min_chars, self.min_docs, self.shards = min_chars, min_docs, shards
 
-    def version(self) -> int:
-        """Of the last whole batch; -1 if there is none."""
+    def _whole(self, kind: str) -> list[int]:
+        """Versions of a kind that were written to their end."""
         jvm = self.spark._jvm
-        found = jvm.org.apache.hadoop.fs.Path(f"{self.path}/filters/version=*/_SUCCESS")
+        found = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/version=*/_SUCCESS")
         done = found.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(found)
-        return max((int(x.getPath().getParent().getName().split("=")[1]) for x in done), default=-1)
+        return sorted(int(x.getPath().getParent().getName().split("=")[1]) for x in done)
+
+    def version(self) -> int:
+        """Of the last whole batch; -1 if there is none."""
+        return max(self._whole("filters"), default=-1)
+
+    def _log(self, to: int) -> DataFrame:
+        """Signed postings: those of the last compacted version up to ``to`` and of the batches since."""
+        base = max((v for v in self._whole("compacted") if v <= to), default=-1)
+        parts = [self.spark.read.parquet(f"{self.path}/compacted/version={base}").select("h1", "h2", "doc_id", "part", F.lit(1).alias("sign"))] if base >= 0 else []
+        if base < to:
+            parts.append(self.spark.read.parquet(*[f"{self.path}/postings/batch={i}" for i in range(base + 1, to + 1)]).select("h1", "h2", "doc_id", "part", "sign"))
+        return reduce(DataFrame.unionByName, parts)
 
     def postings(self) -> DataFrame:
         """The postings now."""
         n = self.version()
         if n < 0:
             return self.spark.createDataFrame([], "h1 long, h2 long, doc_id long, part int")
-        log = self.spark.read.parquet(*[f"{self.path}/postings/batch={i}" for i in range(n + 1)])
-        return log.groupBy("h1", "h2", "doc_id", "part").agg(F.sum("sign").alias("sign")).where("sign > 0").drop("sign")
+        return self._log(n).groupBy("h1", "h2", "doc_id", "part").agg(F.sum("sign").alias("sign")).where("sign > 0").drop("sign")
+
+    def compact(self) -> None:
+        """Write the postings now as one version, by shards of keys."""
+        n = self.version()
+        if n >= 0:
+            self.postings().withColumn("shard", _shard(self.shards)).repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(f"{self.path}/compacted/version={n}")
 
     def filters(self) -> DataFrame:
         n = self.version()
@@ -350,6 +370,8 @@ class Store:
         rest = reference_counts(before.join(keys, ["h1", "h2"], "left_anti")).where(enough)
         made = update_filters(old, became, ceased, self.shards, now.unionByName(rest))
         made.write.mode("overwrite").parquet(f"{self.path}/filters/version={n}")
+        if (n + 1) % self.compact_every == 0:
+            self.compact()
 
     def insert(self, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> None:
         """Documents come in; what is there already stays as it is."""

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from failcast.deploy import ship
-from failcast.llm.common import dealt_by, documents, give_back, written
+from failcast.llm.common import dealt_by, documents, give_back, spread, written
 from failcast.llm.tokens import default_path, encoder
 
 LIMIT = 2048
@@ -196,3 +196,9 @@ def pack_conversations(conversations: DataFrame, *, path: str | None = None, lim
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pack_documents(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def conversation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruction data: conversations packed under limits on tokens, turns and the assistant's tokens, all of which can bind."""
+    found = pack_conversations(spread(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+    return found.withColumn("loss_spans", F.array_join("loss_spans", ","))

@@ -18,6 +18,7 @@ QUERIES = {
     "op11_vector_codes": vector_codes.op11_vector_codes,
     "op12_pii": personal.op12_pii,
     "op13_search": lexical.op13_search,
+    "conversation_packing": packing.conversation_packing,
 }
 
 

@@ -133,20 +133,23 @@ def small_side(df: DataFrame, most: int = 100_000) -> DataFrame:
 HOT_SHARE = 1e-4
 
 
+def hot_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Written (keys...): the hot keys of written ``rows``."""
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
+    return written(counts.where(F.col("__n") >= max(2.0, rows.count() * HOT_SHARE)).select(*keys))
+
+
 def hot_join(rows: DataFrame, unique: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join of written ``rows`` with written ``unique``, which has each key once.
 
     Rows of hot keys meet their partner by broadcast, so no key's rows go to one task; the others are joined as usual.
     """
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
-    total = rows.count()
-    hot = counts.where(F.col("__n") >= max(2.0, total * HOT_SHARE)).select(*keys)
+    hot = hot_keys(rows, keys)
     partner = written(unique.join(F.broadcast(hot), keys, "left_semi"))
     if partner.isEmpty():
         return rows.join(unique, keys)
-    few = F.broadcast(partner)
     rest = rows.join(F.broadcast(partner.select(*keys)), keys, "left_anti").join(unique, keys)
-    return rows.join(few, keys).unionByName(rest)
+    return rows.join(F.broadcast(partner), keys).unionByName(rest)
 
 
 def whole_text(text: str | Column = "text") -> Column:

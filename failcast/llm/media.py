@@ -23,6 +23,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from failcast.deploy import ship
-from failcast.llm.common import documents, free_shuffles, hot_join, temporary_table, whole_text, written
+from failcast.llm.common import documents, free_shuffles, hot_keys, temporary_table, whole_text, written
 
 FRAME = 192
 LEAST, MOST, CUT_BITS = 1024, 16384, 12
@@ -243,9 +244,15 @@ def media_columns(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             spark.createDataFrame([(dictionary,)], "dictionary binary").write.saveAsTable(f"{name}_dictionary")
     kept = store(chunks(docs, dictionary, text_col=text_col), name)
     free_shuffles(spark)
-    facts = written(read_back(rebuilt(lists.select("media_sha256", "digests"), kept), dictionary))
-    # All rows of one text, such as all empty ones, have one media file.
-    out = hot_join(lists.select("doc_id", "n_bytes", "media_sha256"), facts, ["media_sha256"])
+    # All rows of one text, such as all empty ones, have one media file: its facts are broadcast where they are many.
+    key = F.col("media_sha256") == F.col("__hot")
+    hot = hot_keys(lists, ["media_sha256"]).withColumnRenamed("media_sha256", "__hot")
+    parts = []
+    for how in ("left_anti",) if hot.isEmpty() else ("left_semi", "left_anti"):
+        own = lists.join(F.broadcast(hot), key, how)
+        facts = read_back(rebuilt(own.select("media_sha256", "digests"), kept), dictionary)
+        parts.append(own.select("doc_id", "n_bytes", "media_sha256").join(F.broadcast(facts) if how == "left_semi" else facts, "media_sha256"))
+    out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("media_sha256", F.lower(F.hex("media_sha256")))
 
 

@@ -53,14 +53,20 @@ def sigmoid(c: str | Column) -> Column:
     return 1 / (1 + F.exp(-col_(c)))
 
 
-def prior_corrected(p: str | Column, sample_ratio: float) -> Column:
-    """Probability under the true prior after negatives were kept at ``sample_ratio``."""
+def prior_corrected(p: str | Column, sample_ratio: float, *, clipped: bool = True) -> Column:
+    """Probability under the true prior after negatives were kept at ``sample_ratio``.
+
+    ``p`` is clipped to [1e-12, 1 - 1e-12]; with ``clipped`` False the formula takes any number as it is, and is infinite
+    where it divides by 0.
+    """
     if not 0 < sample_ratio <= 1:
         raise ValueError("sample_ratio must be over 0 and at most 1")
     if sample_ratio == 1:
         return col_(p).cast("double")
-    safe = clip(col_(p).cast("double"), 1e-12, 1 - 1e-12)
-    return safe / (safe + (1 - safe) / F.lit(float(sample_ratio)))
+    p = col_(p).cast("double")
+    safe = clip(p, 1e-12, 1 - 1e-12) if clipped else p
+    below = safe + (1 - safe) / F.lit(float(sample_ratio))
+    return safe / below if clipped else F.when(below == 0, F.signum(safe) * F.lit(float("inf"))).otherwise(safe / below)
 
 
 def lineage(pod: str | Column) -> Column:

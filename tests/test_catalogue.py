@@ -1,3 +1,4 @@
+import math
 import os
 
 import duckdb
@@ -28,6 +29,15 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted(repr(tuple(r)) for r in df.select(*columns).collect()) == sorted(repr(tuple(r[i] for i in at)) for r in want.fetchall())
 
 
+def test_elkan_correct_of_values_that_are_no_probabilities(spark, tmp_path):
+    values = [0.0, 250.0, 500.0, 508.9, 540.11, 555.5555555555555, 555.5555555555557, 1e6, -20.0, math.nan, None]
+    spark.createDataFrame(list(enumerate(values)), "event_id long, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = catalogue.QUERIES["elkan_correct"](spark, str(tmp_path)).select("event_id", "p").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert sorted(repr(tuple(r)) for r in got) == sorted(repr(r) for r in con.sql(catalogue.ORACLE_SQL["elkan_correct"]).fetchall())
+
+
 def test_entry_and_names(spark):
     assert entry.entry(spark).columns
     assert set(entry.oracle_sql()) <= set(entry.queries())

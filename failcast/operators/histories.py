@@ -80,39 +80,47 @@ def time_cuts(df: DataFrame, *, by, time_col: str | None, longest: int, rows_per
     return df.sparkSession.createDataFrame(made, df.select(*by).schema.add(_CUTS, T.ArrayType(T.LongType())))
 
 
-def _cuts_up_to(us: Column, most: int) -> Column:
-    """How many of a row's cuts are at or before a time, by halving; 0 without cuts."""
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, most).bit_length()))])
-    found = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(_CUTS, at + step - 1) <= us, step).otherwise(F.lit(0)))
-    return F.when(F.col(_CUTS).isNull(), F.lit(0)).otherwise(found)
+def _with_cuts_up_to(df: DataFrame, name: str, us: Column, most: int) -> DataFrame:
+    """``df`` with the number of a row's cuts at or before a time, by halving; 0 without cuts.
+
+    Each step is a projection of its own that generated code runs through, so no row copies its cuts.
+    """
+    out = df.withColumn(name, F.lit(0))
+    for step in (1 << k for k in reversed(range(max(1, most).bit_length()))):
+        out = out.withColumn(name, F.col(name) + F.when(F.get(_CUTS, F.col(name) + step - 1) <= us, step).otherwise(0))
+    return out
 
 
-def sliced(df: DataFrame, cuts: DataFrame, *, by, time_col: str | None, longest: int = 0, carried: Column | None = None, ahead: Column | None = None) -> DataFrame:
+def sliced(df: DataFrame, cuts: DataFrame, *, by, time_col: str | None, longest: int = 0, carried: Column | None = None, ahead: Column | None = None, first: bool = True) -> DataFrame:
     """``df`` with __us, __slice and __own, and the halo and carried rows of every slice.
 
     ``carried`` says which rows a lookup back may need, all by default; rows that a lookup ahead
-    may need are those of ``ahead``. With ``time_col`` None there is a __us already.
+    may need are those of ``ahead``; ``first`` carries the entity's first row. With ``time_col`` None there is a __us already.
     """
     rows = df if time_col is None else df.withColumn(_US, micros(df, time_col))
     most = cuts.agg(F.max(F.size(_CUTS))).first()[0] or 0
     marked = rows.join(F.broadcast(_named(cuts, by, "__c_")), _same(by, "__c_"), "left").drop(*[f"__c_{c}" for c in by])
-    marked = marked.withColumn(_SLICE, _cuts_up_to(F.col(_US), most))
+    # Slices 0 to b of a row have it in reach or before them; b is where the halo of the next begins.
+    marked = _with_cuts_up_to(marked, _SLICE, F.col(_US), most)
+    marked = _with_cuts_up_to(marked, "__b", F.col(_US) + longest, most) if longest else marked.withColumn("__b", F.col(_SLICE))
+    # An entity's cuts are far larger than a row: they go before anything sorts, moves or explodes it.
+    marked = marked.withColumn("__n", F.when(F.col(_CUTS).isNotNull(), F.size(_CUTS))).drop(_CUTS)
     place = lambda k, own: F.struct(k.alias(_SLICE), F.lit(own).alias(_OWN))
     here = F.array(place(F.col(_SLICE), True))
-    near = F.get(_CUTS, F.col(_SLICE)) <= F.col(_US) + longest if longest else F.lit(False)
-    placed = marked.withColumn("__at", F.explode(F.when(near, F.concat(here, F.array(place(F.col(_SLICE) + 1, False)))).otherwise(here)))
+    both = F.concat(here, F.array(place(F.col(_SLICE) + 1, False)))
+    placed = marked.withColumn("__at", F.explode(F.when(F.col("__b") > F.col(_SLICE), both).otherwise(here)) if longest else here[0])
     out = placed.select(*rows.columns, f"__at.{_SLICE}", f"__at.{_OWN}")
 
-    held = marked.where(F.col(_CUTS).isNotNull())
-    row, n_cuts = F.struct(*[F.col(c) for c in rows.columns]), F.size(_CUTS)
+    held = marked.where(F.col("__n").isNotNull())
+    row = F.struct(*[F.col(c) for c in rows.columns])
     order = Window.partitionBy(*by).orderBy("__b")
     spans = []
-    # Slices 0 to b of a row have it in reach or before them; b is where the halo of the next begins.
     back = held.where(carried) if carried is not None else held
-    back = back.withColumn("__b", _cuts_up_to(F.col(_US) + longest, most)).groupBy(*by, "__b").agg(F.max_by(row, _US).alias("__row"), F.max(n_cuts).alias("__n"))
+    back = back.groupBy(*by, "__b").agg(F.max_by(row, _US).alias("__row"), F.max("__n").alias("__n"))
     spans.append(back.withColumns({"__from": F.col("__b") + 1, "__to": F.coalesce(F.lead("__b").over(order), F.col("__n"))}))
-    first = held.groupBy(*by).agg(F.min_by(row, _US).alias("__row"), F.max(n_cuts).alias("__n"), F.min(_cuts_up_to(F.col(_US) + longest, most)).alias("__b"))
-    spans.append(first.withColumns({"__from": F.col("__b") + 1, "__to": F.col("__n")}))
+    if first:
+        start = held.groupBy(*by).agg(F.min_by(row, _US).alias("__row"), F.max("__n").alias("__n"), F.min("__b").alias("__b"))
+        spans.append(start.withColumns({"__from": F.col("__b") + 1, "__to": F.col("__n")}))
     if ahead is not None:
         later = held.where(ahead).groupBy(*by, F.col(_SLICE).alias("__b")).agg(F.min_by(row, _US).alias("__row"))
         spans.append(later.withColumns({"__from": F.coalesce(F.lag("__b").over(order), F.lit(0)), "__to": F.col("__b") - 1}))

@@ -101,7 +101,7 @@ def asof_join(left: DataFrame, right: DataFrame, *, by, time_col: str, values, t
     keys, wanted = list(by), F.col("__side") == 1
     cuts = None if rows_per_slice is None else histories.time_cuts(both, by=by, time_col=None, longest=0, rows_per_slice=rows_per_slice)
     if cuts is not None:
-        both = histories.sliced(both, cuts, by=by, time_col=None, carried=F.col("__side") == 0)
+        both = histories.sliced(both, cuts, by=by, time_col=None, carried=F.col("__side") == 0, first=False)
         keys, wanted = [*by, "__slice"], wanted & F.col("__own")
     order = Window.partitionBy(*keys).orderBy("__us", "__side").rowsBetween(Window.unboundedPreceding, 0)
     matched = both.withColumn("__last", F.last("__found", ignorenulls=True).over(order)).where(wanted)

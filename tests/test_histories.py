@@ -76,6 +76,19 @@ def test_asof_join_in_slices(spark):
         same(*joined)
 
 
+def moved(df):
+    """What sorts, exchanges and aggregates of the plan say of themselves."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [x for x in lines if x.lstrip(" :+-*()0123456789").startswith(("Sort", "Exchange", "ObjectHashAggregate", "HashAggregate"))]
+
+
+def test_asof_join_moves_no_cuts(spark):
+    """Cuts of a long history are thousands of numbers: a row that is sorted with them is larger by as many."""
+    df = uneven(spark)
+    plan = moved(W.asof_join(df.where("i % 3 > 0"), df.where("i % 3 = 0").withColumnRenamed("i", "j"), by=["k"], time_col="t", values=["j"], rows_per_slice=SLICED))
+    assert plan and not [x for x in plan if "__cuts" in x]
+
+
 def test_nearest_events_in_slices(spark):
     df = uneven(spark)
     for share in (1, 7, 200):

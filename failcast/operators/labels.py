@@ -30,7 +30,7 @@ def near_events(rows: DataFrame, events: DataFrame, *, by=ENTITY, time: str = TI
     keys, wanted = list(by), F.col("__row").isNotNull()
     cuts = None if rows_per_slice is None else time_cuts(both, by=by, time_col=None, longest=0, rows_per_slice=rows_per_slice)
     if cuts is not None:
-        both = sliced(both, cuts, by=by, time_col=None, carried=F.col("__event"), ahead=F.col("__event"))
+        both = sliced(both, cuts, by=by, time_col=None, carried=F.col("__event"), ahead=F.col("__event"), first=False)
         keys, wanted = [*by, "__slice"], wanted & F.col("__own")
     over = Window.partitionBy(*keys).orderBy("__us")
     at = F.when(F.col("__event"), F.col("__us"))

@@ -97,6 +97,12 @@ def test_nearest_events_in_slices(spark):
         same(*near)
 
 
+def test_nearest_events_move_no_cuts(spark):
+    df = uneven(spark)
+    plan = moved(L.near_events(df, df.where("i % 7 = 0").select("k", F.col("t").alias("event_ts")), by=["k"], time="t", rows_per_slice=SLICED))
+    assert plan and not [x for x in plan if "__cuts" in x]
+
+
 @pytest.mark.parametrize("rows_per_slice", [SLICED, None])
 def test_long_frames_equal_windows(spark, rows_per_slice):
     df = uneven(spark, 600).withColumn("w", F.when(F.col("i") % 4 > 0, F.col("i") % 5))

@@ -21,6 +21,7 @@ import math
 from collections.abc import Callable
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,9 +146,11 @@ def with_windows(df: DataFrame, columns: Callable[[WindowSpec], dict[str, Column
     return rows.withColumns(columns(over)).where(_OWN).drop(_OWN, _SLICE, _US)
 
 
-def long_frame_rolling(df: DataFrame, specs: dict[str, tuple[str, str | int, str]], *, by, time_col: str, rows_per_slice: int | None = SLICE_ROWS // 4) -> DataFrame:
+def long_frame_rolling(df: DataFrame, specs: dict[str, tuple[str, str | int, str]], *, by, time_col: str, rows_per_slice: int | None = SLICE_ROWS // 4, age_col: str | None = None) -> DataFrame:
     """``df`` with left-closed rolling aggregates whose frames may hold very many rows: new column -> (value, window, aggregate).
 
+    ``age_col`` names a column of seconds since the entity's first row.
+
     Frames are not evaluated row by row: each slice of an entity is one Arrow table, in which sums and
     extremes come from blocks of doubling length and medians from a wavelet matrix, all in
     time near linear. Results are those of ``rolled``.
@@ -162,11 +165,12 @@ def long_frame_rolling(df: DataFrame, specs: dict[str, tuple[str, str | int, str
     if cuts is None:
         rows = df.withColumns({_US: micros(df, time_col), _SLICE: F.lit(0), _OWN: F.lit(True)})
     else:
-        rows = sliced(df, cuts, by=by, time_col=time_col, longest=longest)
+        # Frames end within the halo, so only the first row is carried.
+        rows = sliced(df, cuts, by=by, time_col=time_col, longest=longest, carried=F.lit(False), first=age_col is not None)
     columns = list(dict.fromkeys(v for v, _, _ in specs.values()))
     names = [f"__v{i}" for i in range(len(columns))]
     asked = [(name, names[columns.index(v)], width(w), agg) for name, (v, w, agg) in specs.items()]
-    schema = T.StructType([*df.schema.fields, *[T.StructField(name, T.DoubleType()) for name in specs]])
+    schema = T.StructType([*df.schema.fields, *[T.StructField(name, T.DoubleType()) for name in [*specs, *([age_col] if age_col else [])]]])
 
     def run(part: pa.Table) -> pa.Table:
         us = part.column(_US).to_numpy()
@@ -176,6 +180,8 @@ def long_frame_rolling(df: DataFrame, specs: dict[str, tuple[str, str | int, str
         out = part.drop_columns([_US, _SLICE, _OWN, *names])
         for (name, *_), column in zip(asked, found, strict=True):
             out = out.append_column(name, pa.array(column, pa.float64(), from_pandas=True))
+        if age_col:
+            out = out.append_column(age_col, pa.array((us - (pc.min(part.column(_US)).as_py() or 0)) / 1e6, pa.float64(), from_pandas=True))
         return out.filter(own)
 
     return rows.withColumns({n: F.col(c).cast("double") for n, c in zip(names, columns, strict=True)}).groupBy(*by, _SLICE).applyInArrow(run, schema)

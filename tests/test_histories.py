@@ -11,6 +11,7 @@ from failcast.operators import features as FE
 from failcast.operators import frames, histories
 from failcast.operators import labels as L
 from failcast.operators import windows as W
+from failcast.plans import catalogue
 from failcast.schema import IDENTITY, LABEL, TIME
 from helpers import at
 
@@ -112,6 +113,25 @@ def test_long_frames_equal_windows(spark, rows_per_slice):
     same(histories.long_frame_rolling(df, specs, by=["k"], time_col="t", rows_per_slice=rows_per_slice).collect(), want.collect())
 
 
+@pytest.mark.parametrize("rows_per_slice", [SLICED, None])
+def test_long_frames_know_the_first_row(spark, rows_per_slice):
+    df = uneven(spark).drop("v").withColumn("v", F.col("i").cast("double"))
+    got = histories.long_frame_rolling(df, {"s": ("v", "1min", "sum")}, by=["k"], time_col="t", rows_per_slice=rows_per_slice, age_col="age")
+    first = F.min(F.unix_micros("t")).over(Window.partitionBy("k"))
+    want = df.withColumn("s", W.rolled("v", W.keyed(df, ["k"], "t"), "1min", "sum")).withColumn("age", (F.unix_micros("t") - first) / 1e6)
+    same(got.collect(), want.collect())
+
+
+def test_dense_frames_of_a_hot_entity_are_not_gone_through_row_by_row(spark, tmp_path):
+    """40,000 rows in two hours: window expressions would go through 400 million."""
+    rows = spark.range(40_000).select(F.col("id").alias("event_id"), F.lit(0).cast("bigint").alias("user_id"), F.timestamp_seconds(F.col("id") * 0.18).alias("ts"), (F.col("id") % 7).cast("double").alias("value"))
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    out = catalogue.QUERIES["hot_entity_windows"](spark, str(tmp_path))
+    assert not [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if x.lstrip(" :+-").startswith("Window [sum")]
+    last = out.where("event_id = 39998").first()
+    assert (last.total, last.most) == (float(sum(i % 7 for i in range(39_998))), 6.0) and abs(last.age_sec - 39_998 * 0.18) < 1e-5
+
+
 def test_long_frames_of_empty_and_wrong(spark):
     df = uneven(spark, 10)
     out = histories.long_frame_rolling(df.limit(0), {"m": ("v", "1h", "median")}, by=["k"], time_col="t", rows_per_slice=5)
